@@ -42,7 +42,7 @@ def _rows_before(buckets: DataFrame, groups: list[str]) -> DataFrame:
 
 
 def surrogate_key(df: DataFrame, natural_id: str, key: str, rows_bounded: bool = False) -> DataFrame:
-    """Number the rows 1..n by ``natural_id``, a unique text column.
+    """Number the rows 1..n by ``natural_id``, a unique text column; a missing id comes last.
 
     ``rows_bounded`` promises a table that stays small whatever the facts grow
     to (regions, warehouses); such a table is numbered by one plain window.
@@ -51,14 +51,12 @@ def surrogate_key(df: DataFrame, natural_id: str, key: str, rows_bounded: bool =
         order = Window.orderBy(F.col(natural_id).asc_nulls_last())
         return df.select(F.row_number().over(order).cast("bigint").alias(key), "*")
     ids = df.select(natural_id)
-    # A missing id sorts last, after every real bucket.
     prefix = F.left(F.col(natural_id), _prefix_length(ids, natural_id))
-    bucket = F.struct(F.col(natural_id).isNull().alias("missing"), prefix.alias("prefix"))
+    bucket = F.coalesce(F.concat(F.lit("0"), prefix), F.lit("1"))
     before = _rows_before(ids.select(bucket.alias(_BUCKET)), [])
     inside = Window.partitionBy(_BUCKET).orderBy(natural_id)
     numbered = df.withColumn(_BUCKET, bucket).withColumn(key, F.row_number().over(inside))
-    joined = numbered.join(before, numbered[_BUCKET].eqNullSafe(before[_BUCKET]))
-    return joined.select((F.col(key) + F.col(_BEFORE)).cast("bigint").alias(key), *[df[c] for c in df.columns])
+    return numbered.join(before, _BUCKET).select((F.col(key) + F.col(_BEFORE)).alias(key), *df.columns)
 
 
 def dense_rank_desc(df: DataFrame, group: str, value: str, rank: str, steps_per_doubling: int = 256) -> DataFrame:
@@ -69,16 +67,18 @@ def dense_rank_desc(df: DataFrame, group: str, value: str, rank: str, steps_per_
     (``steps_per_doubling`` each time the value doubles), then the ranks are
     joined back.  A NULL value ranks first, as descending order puts it there.
     """
-    values = df.select(group, value).distinct()
-    magnitude = F.log2(F.abs(F.col(value).cast("double")) + 1.0) * steps_per_doubling
-    step = F.floor(-F.signum(F.col(value).cast("double")) * magnitude)
-    bucketed = values.withColumn(_BUCKET, step)
-    before = _rows_before(bucketed, [group])
-    inside = Window.partitionBy(group, _BUCKET).orderBy(F.col(value).desc_nulls_first())
-    local = bucketed.withColumn(rank, F.row_number().over(inside))
-    same_bucket = local[group].eqNullSafe(before[group]) & local[_BUCKET].eqNullSafe(before[_BUCKET])
-    ranks = local.join(before, same_bucket).select(
-        local[group].alias("_g"), local[value].alias("_v"), (F.col(rank) + F.col(_BEFORE)).cast("int").alias(rank)
+    # Structs compare NULL fields as equal, so a plain join finds NULL groups too.
+    in_group = F.struct(F.col(group)).alias("_group")
+    number = F.col(value).cast("double")
+    step = F.floor(-F.signum(number) * F.log2(F.abs(number) + 1.0) * steps_per_doubling)
+    first = F.lit(-(2**62))
+    distinct = df.select(in_group, value).distinct()
+    bucketed = distinct.withColumn(_BUCKET, F.coalesce(step, F.lit(-(2**62))))
+    before = _rows_before(bucketed, ["_group"])
+    inside = Window.partitionBy("_group", _BUCKET).orderBy(F.col(value).desc_nulls_first())
+    ranks = (
+        bucketed.withColumn(rank, F.row_number().over(inside))
+        .join(before, ["_group", _BUCKET])
+        .select(F.struct("_group", value).alias("_at"), (F.col(rank) + F.col(_BEFORE)).cast("int").alias(rank))
     )
-    same_value = df[group].eqNullSafe(F.col("_g")) & df[value].eqNullSafe(F.col("_v"))
-    return df.join(ranks, same_value).drop("_g", "_v")
+    return df.withColumn("_at", F.struct(in_group, F.col(value))).join(ranks, "_at").drop("_at")

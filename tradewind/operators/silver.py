@@ -116,8 +116,11 @@ def silver_inventory(
 
 
 def silver_iot(raw: DataFrame, arrival: str | None = ARRIVAL, limit_c: float = fixed.COLD_CHAIN_LIMIT_C) -> DataFrame:
-    rows = _unique_rows(raw, "raw_iot_sensors", arrival).withColumns(
+    # The limit is checked before the reading is rounded to its stored scale.
+    breach = m.exceeds(coerce_number(F.col("temperature_c")), limit_c)
+    return _unique_rows(raw, "raw_iot_sensors", arrival).withColumns(
         {
+            "is_temp_breach": breach,
             "latitude": coerce_number(F.col("latitude"), "decimal(9,6)"),
             "longitude": coerce_number(F.col("longitude"), "decimal(9,6)"),
             "temperature_c": coerce_number(F.col("temperature_c"), "decimal(5,2)"),
@@ -126,4 +129,3 @@ def silver_iot(raw: DataFrame, arrival: str | None = ARRIVAL, limit_c: float = f
             "recorded_at": coerce_timestamp(F.col("recorded_at")),
         }
     )
-    return rows.withColumn("is_temp_breach", m.exceeds(F.col("temperature_c"), limit_c))

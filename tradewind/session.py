@@ -30,6 +30,7 @@ def local_session(name: str, cores: str = "8", memory: str = "12g") -> SparkSess
         .appName(name)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores) if cores != "*" else "8")
         .getOrCreate()
     )
