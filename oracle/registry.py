@@ -1,6 +1,6 @@
 """DuckDB SQL per registered query."""
 
-from oracle import reports, tables
+from oracle import checks, reports, streams, tables
 
 _TABLES = """
 silver_suppliers silver_warehouses silver_products silver_customers silver_orders silver_shipments silver_inventory
@@ -11,4 +11,4 @@ fact_orders fact_orders_dbt temp_breach_counts fact_shipments fact_shipments_dbt
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: tables.query(f"SELECT * FROM {name}") for name in _TABLES} | reports.SQL
+    return {name: tables.query(f"SELECT * FROM {name}") for name in _TABLES} | reports.SQL | checks.SQL | streams.SQL

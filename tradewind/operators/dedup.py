@@ -21,10 +21,6 @@ def _first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
-def _ties(df: DataFrame, used: Sequence[str]) -> list[Column]:
-    return [F.col(c).asc_nulls_first() for c in df.columns if c not in used]
-
-
 def dedup_keep_first(df: DataFrame, keys: Sequence[str], arrival: Sequence[str] = ()) -> DataFrame:
     """Earliest row of each key by the ``arrival`` columns; NULL keys count as one key.
 
@@ -32,13 +28,14 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], arrival: Sequence[str]
     the survivor is the same however the rows are partitioned.  Select the
     columns you need first, as all of them travel with the shuffle.
     """
-    order = [F.col(c).asc_nulls_first() for c in arrival]
-    return _first_per_key(df, keys, order + _ties(df, [*keys, *arrival]))
+    ties = [c for c in df.columns if c not in keys and c not in arrival]
+    return _first_per_key(df, keys, [F.col(c).asc_nulls_first() for c in [*arrival, *ties]])
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], moment: str) -> DataFrame:
-    """Newest row of each key; ties fall to the smallest remaining columns."""
-    return _first_per_key(df, keys, [F.col(moment).desc_nulls_last()] + _ties(df, [*keys, moment]))
+    """Newest row of each key; among equally new rows the greatest one."""
+    ties = [c for c in df.columns if c not in keys and c != moment]
+    return _first_per_key(df, keys, [F.col(c).desc_nulls_last() for c in [moment, *ties]])
 
 
 def require_key(df: DataFrame, *keys: str) -> DataFrame:

@@ -8,9 +8,14 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewind import schemas
-from tradewind.operators import kpis, reports
+from pyspark.sql import functions as F
+
+from tradewind.operators import forecasting, kpis, reports, scorecards
 from tradewind.plans.medallion import Medallion
+from tradewind.plans.registered_io import IO, STREAMS
+from tradewind.plans.registered_kernels import KERNELS, QUALITY
 from tradewind.sources import driver_tables
+from tradewind.sources.shared import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +102,43 @@ KPIS = {
 }
 
 
+def _risk(m: Medallion) -> DataFrame:
+    scored = scorecards.supplier_risk(m.suppliers, m.orders, m.inventory, m.products)
+    return scored.select("supplier_id", "composite_risk_score", "risk_level", "dimension_breakdown.*")
+
+
+def _demand_forecast(m: Medallion) -> DataFrame:
+    """Fit on all months but the last, which measures the confidence."""
+    features = staged(forecasting.demand_features(m.orders), "demand-features")
+    last = features.agg(F.max("month_start")).scalar()
+    model = forecasting.fit_demand_model(features.filter(F.col("month_start") < last))
+    confidence = forecasting.forecast_confidence(model, features.filter(F.col("month_start") == last))
+    return forecasting.demand_forecast(forecasting.upcoming_demand(m.orders), model, confidence)
+
+
+def _delay_features(m: Medallion) -> DataFrame:
+    return forecasting.delay_features(m.shipments, m.warehouses, m.iot_sensors)
+
+
+def _delay_prediction(m: Medallion) -> DataFrame:
+    features = staged(_delay_features(m), "delay-features")
+    predicted = forecasting.delay_prediction(features, forecasting.fit_delay_model(features))
+    return predicted.select("shipment_id", "delay_probability_pct", "risk_level", "key_factors.*")
+
+
+SCORES = {
+    "composite_risk": _risk,
+    "risk_level": lambda m: scorecards.lane_delay_level(m.shipments),
+    "carbon_kg": lambda m: scorecards.shipment_emissions(m.shipments, m.orders, m.products, m.warehouses),
+    "demand_features": lambda m: forecasting.demand_features(m.orders),
+    "upcoming_demand": lambda m: forecasting.upcoming_demand(m.orders),
+    "demand_forecast": _demand_forecast,
+    "delay_features": _delay_features,
+    "delay_prediction": _delay_prediction,
+}
+
+
 def queries() -> dict[str, Query]:
-    groups = [SILVER, STAGED, GOLD, REPORTS, KPIS]
-    return {name: _over(build) for group in groups for name, build in group.items()}
+    groups = [KERNELS, SILVER, STAGED, GOLD, REPORTS, KPIS, QUALITY, SCORES]
+    over_tables = {name: _over(build) for group in groups for name, build in group.items()}
+    return over_tables | IO | STREAMS
