@@ -1,10 +1,13 @@
 """Dense numbering and ranking without sorting everything in one task.
 
-A window without partitions, or with a hot partition, sorts in a single task.
-Here each row first gets a *bucket*: an order-preserving function of the sort
-value, so all of bucket 1 sorts before all of bucket 2.  Rows are numbered
-inside their bucket, in parallel, and the number of rows in earlier buckets is
-added.  Only one row per bucket takes part in the running total.
+A window without partitions, or with a hot one, sorts in a single task.  Here
+Spark sorts the rows by range over all tasks, each row takes its place within
+its task, and the sorted rows are written once to the shared folder.  The
+number of rows in earlier tasks is then added from one row per task, so the
+only data brought together is as small as the number of tasks.
+
+Writing fixes the places: reading the rows again, or losing an executor, can
+not number them differently.
 """
 
 from __future__ import annotations
@@ -12,73 +15,51 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BUCKET, _BEFORE, _SIZE = "_bucket", "_before", "_size"
-
-# A running total over at most this many buckets is small work for one task.
-MAX_BUCKETS = 1_000_000
-_PREFIX_LENGTHS = range(1, 33)
-
+from tradewind.sources.shared import staged
 
-def _prefix_length(ids: DataFrame, column: str) -> Column:
-    """Longest prefix that still splits the ids into at most ``MAX_BUCKETS`` buckets."""
-    counts = ids.agg(
-        *[
-            F.approx_count_distinct(F.left(F.col(column), F.lit(n))).alias(f"n{n}")
-            for n in _PREFIX_LENGTHS
-        ]
-    )
-    fitting = F.greatest(
-        *[F.when(F.col(f"n{n}") <= MAX_BUCKETS, n).otherwise(1) for n in _PREFIX_LENGTHS]
-    )
-    return counts.select(fitting).scalar()
+# Layout of monotonically_increasing_id: task number above, place below.
+_PLACE_BITS = 33
 
 
-def _rows_before(buckets: DataFrame, groups: list[str]) -> DataFrame:
-    """Per bucket, the rows of all earlier buckets of its group."""
-    earlier = Window.partitionBy(*groups).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    sums = buckets.groupBy(*groups, _BUCKET).agg(F.count("*").alias(_SIZE))
-    total = F.coalesce(F.sum(_SIZE).over(earlier), F.lit(0))
-    return sums.select(*groups, _BUCKET, total.alias(_BEFORE))
+def numbered(df: DataFrame, *order: Column, position: str) -> DataFrame:
+    """The rows with their 1-based position in the given total order."""
+    placed = staged(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), "numbered")
+    task = F.shiftright("_place", _PLACE_BITS)
+    place = F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(task.alias("_task")).agg(F.count("*").alias("_rows"))
+    before = sizes.select("_task", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    # One row per task that wrote: bounded by the number of shuffle partitions.
+    joined = placed.withColumn("_task", task).join(F.broadcast(before), "_task")
+    return joined.select((F.col("_before") + place + 1).alias(position), *df.columns)
 
 
 def surrogate_key(df: DataFrame, natural_id: str, key: str, rows_bounded: bool = False) -> DataFrame:
-    """Number the rows 1..n by ``natural_id``, a unique text column; a missing id comes last.
+    """Number the rows 1..n by ``natural_id``; a missing id comes last.
 
     ``rows_bounded`` promises a table that stays small whatever the facts grow
     to (regions, warehouses); such a table is numbered by one plain window.
     """
+    order = F.col(natural_id).asc_nulls_last()
     if rows_bounded:
-        order = Window.orderBy(F.col(natural_id).asc_nulls_last())
-        return df.select(F.row_number().over(order).cast("bigint").alias(key), "*")
-    ids = df.select(natural_id)
-    prefix = F.left(F.col(natural_id), _prefix_length(ids, natural_id))
-    bucket = F.coalesce(F.concat(F.lit("0"), prefix), F.lit("1"))
-    before = _rows_before(ids.select(bucket.alias(_BUCKET)), [])
-    inside = Window.partitionBy(_BUCKET).orderBy(natural_id)
-    numbered = df.withColumn(_BUCKET, bucket).withColumn(key, F.row_number().over(inside))
-    return numbered.join(before, _BUCKET).select((F.col(key) + F.col(_BEFORE)).alias(key), *df.columns)
+        return df.select(F.row_number().over(Window.orderBy(order)).cast("bigint").alias(key), "*")
+    return numbered(df, order, position=key)
 
 
-def dense_rank_desc(df: DataFrame, group: str, value: str, rank: str, steps_per_doubling: int = 256) -> DataFrame:
-    """Dense rank of ``value``, largest first, inside ``group``.
+def dense_rank_desc(df: DataFrame, group: str, value: str, rank: str) -> DataFrame:
+    """Dense rank of ``value``, largest first, inside ``group``; NULL ranks first.
 
-    Ranks the distinct values only, so neither a hot group nor a value shared
-    by many rows gathers in one task: buckets are steps on a logarithmic scale
-    (``steps_per_doubling`` each time the value doubles), then the ranks are
-    joined back.  A NULL value ranks first, as descending order puts it there.
+    Only the distinct values are put in order, all groups at once, and the
+    rank is the distance to the first value of the group.  So neither a hot
+    group nor a value shared by many rows gathers in one task.  ``df`` is read
+    twice: pass a written table.
     """
-    # Structs compare NULL fields as equal, so a plain join finds NULL groups too.
-    in_group = F.struct(F.col(group)).alias("_group")
-    number = F.col(value).cast("double")
-    step = F.floor(-F.signum(number) * F.log2(F.abs(number) + 1.0) * steps_per_doubling)
-    first = F.lit(-(2**62))
-    distinct = df.select(in_group, value).distinct()
-    bucketed = distinct.withColumn(_BUCKET, F.coalesce(step, F.lit(-(2**62))))
-    before = _rows_before(bucketed, ["_group"])
-    inside = Window.partitionBy("_group", _BUCKET).orderBy(F.col(value).desc_nulls_first())
-    ranks = (
-        bucketed.withColumn(rank, F.row_number().over(inside))
-        .join(before, ["_group", _BUCKET])
-        .select(F.struct("_group", value).alias("_at"), (F.col(rank) + F.col(_BEFORE)).cast("int").alias(rank))
+    # Structs compare NULL fields as equal, so plain joins find NULLs too.
+    values = df.select(group, value).distinct()
+    places = numbered(values, F.col(group), F.col(value).desc_nulls_first(), position="_position")
+    places = places.withColumn("_group", F.struct(group))
+    first = places.groupBy("_group").agg(F.min("_position").alias("_first"))
+    ranks = places.join(first, "_group").select(
+        F.struct(group, value).alias("_at"), (F.col("_position") - F.col("_first") + 1).cast("int").alias(rank)
     )
-    return df.withColumn("_at", F.struct(in_group, F.col(value))).join(ranks, "_at").drop("_at")
+    return df.withColumn("_at", F.struct(group, value)).join(ranks, "_at").drop("_at")

@@ -17,6 +17,7 @@ from tradewind import fixed_values as fixed
 from tradewind.functions import measures as m
 from tradewind.operators.onerow import side_by_side
 from tradewind.operators.ordinals import dense_rank_desc
+from tradewind.sources.shared import staged
 
 STOCKOUT_RULES = ("low_or_safety", "low", "safety")
 
@@ -194,13 +195,12 @@ def monthly_revenue_mom(orders: DataFrame, calendar: DataFrame, unique_ids: bool
     ).orderBy(F.col("year").desc_nulls_first(), F.col("month").desc_nulls_first())
 
 
-def product_revenue_rank(orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Units and revenue per product, ranked inside its category, best seller first."""
+def product_sales(orders: DataFrame, products: DataFrame) -> DataFrame:
     per_key = orders.groupBy("product_key").agg(
         F.sum("quantity").alias("units"), F.sum("total_amount_usd").alias("revenue")
     )
     named = products.select("product_key", "sku", "product_name", "category")
-    sold = (
+    return (
         per_key.join(named, "product_key")
         .groupBy("sku", "product_name", "category")
         .agg(
@@ -208,5 +208,13 @@ def product_revenue_rank(orders: DataFrame, products: DataFrame) -> DataFrame:
             F.sum("revenue").cast(m.MONEY).alias("gross_revenue_usd"),
         )
     )
+
+
+def product_revenue_rank(orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Units and revenue per product, ranked inside its category, best seller first.
+
+    Sales per product are written once: the ranking reads them twice.
+    """
+    sold = staged(product_sales(orders, products), "product-sales")
     ranked = dense_rank_desc(sold, "category", "gross_revenue_usd", "category_revenue_rank")
     return ranked.orderBy(F.col("gross_revenue_usd").desc_nulls_first())

@@ -1,6 +1,7 @@
-"""Raw feeds -> cleansed tables -> star schema, as one composition of lazy frames.
+"""Raw feeds -> cleansed tables -> star schema, as one composition of frames.
 
-``Medallion`` wires the operators together and runs nothing.  ``run_pipeline``
+``Medallion`` wires the operators together and builds a table when it is first
+asked for; only dense keys and kept tables run jobs then.  ``run_pipeline``
 writes each layer and goes on from the written copy, so a table is computed
 once however many tables are built from it.
 """
@@ -8,7 +9,8 @@ once however many tables are built from it.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import cached_property
+from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame
 
@@ -21,7 +23,9 @@ class Medallion:
 
     ``raw`` maps feed names (``raw_orders``) to frames or to functions giving
     them.  ``strict_raw`` holds the feeds of the staged path, which stops at
-    text it cannot cast; by default the same feeds.
+    text it cannot cast; by default the same feeds.  ``keep`` is applied to
+    each cleansed table, for instance to write it and go on from the copy where
+    several plans read it.
     """
 
     def __init__(
@@ -30,15 +34,22 @@ class Medallion:
         strict_raw: Mapping[str, DataFrame | Callable[[], DataFrame]] | None = None,
         arrival: str | None = silver.ARRIVAL,
         missing_date_key: int | None = fixed.MISSING_DATE_KEY,
+        keep: Callable[[DataFrame, str], DataFrame] | None = None,
     ):
         self._raw, self._strict = raw, strict_raw or raw
         self.arrival, self.missing_date_key = arrival, missing_date_key
+        self._keep = keep or (lambda frame, label: frame)
 
     @staticmethod
     def _feed(feeds, name: str) -> DataFrame:
         feed = feeds[name]
         return feed() if callable(feed) else feed
 
+    def prefetch(self, *names: str) -> None:
+        """Build several tables side by side; those that run jobs share the cluster."""
+        with ThreadPoolExecutor(max(1, len(names))) as pool:
+            list(pool.map(partial(getattr, self), names))
+
     def raw(self, name: str) -> DataFrame:
         return self._feed(self._raw, name)
 
@@ -49,35 +60,35 @@ class Medallion:
 
     @cached_property
     def suppliers(self) -> DataFrame:
-        return silver.silver_suppliers(self.raw("raw_suppliers"), self.arrival)
+        return self._keep(silver.silver_suppliers(self.raw("raw_suppliers"), self.arrival), "suppliers")
 
     @cached_property
     def warehouses(self) -> DataFrame:
-        return silver.silver_warehouses(self.raw("raw_warehouses"), self.arrival)
+        return self._keep(silver.silver_warehouses(self.raw("raw_warehouses"), self.arrival), "warehouses")
 
     @cached_property
     def products(self) -> DataFrame:
-        return silver.silver_products(self.raw("raw_products"), self.arrival)
+        return self._keep(silver.silver_products(self.raw("raw_products"), self.arrival), "products")
 
     @cached_property
     def customers(self) -> DataFrame:
-        return silver.silver_customers(self.raw("raw_customers"), self.arrival)
+        return self._keep(silver.silver_customers(self.raw("raw_customers"), self.arrival), "customers")
 
     @cached_property
     def orders(self) -> DataFrame:
-        return silver.silver_orders(self.raw("raw_orders"), self.arrival)
+        return self._keep(silver.silver_orders(self.raw("raw_orders"), self.arrival), "orders")
 
     @cached_property
     def shipments(self) -> DataFrame:
-        return silver.silver_shipments(self.raw("raw_shipments"), self.arrival)
+        return self._keep(silver.silver_shipments(self.raw("raw_shipments"), self.arrival), "shipments")
 
     @cached_property
     def inventory(self) -> DataFrame:
-        return silver.silver_inventory(self.raw("raw_inventory"), self.arrival)
+        return self._keep(silver.silver_inventory(self.raw("raw_inventory"), self.arrival), "inventory")
 
     @cached_property
     def iot_sensors(self) -> DataFrame:
-        return silver.silver_iot(self.raw("raw_iot_sensors"), self.arrival)
+        return self._keep(silver.silver_iot(self.raw("raw_iot_sensors"), self.arrival), "iot-sensors")
 
     # Staged tables.
 
@@ -150,6 +161,7 @@ class Medallion:
 
     @cached_property
     def fact_orders(self) -> DataFrame:
+        self.prefetch("dim_supplier", "dim_product", "dim_customer")
         dims = (self.dim_supplier, self.dim_product, self.dim_customer)
         return gold.fact_orders(self.orders, *dims, missing_date_key=self.missing_date_key)
 
@@ -175,5 +187,6 @@ class Medallion:
 
     @cached_property
     def fact_deliveries(self) -> DataFrame:
+        self.prefetch("dim_customer", "dim_supplier")
         dims = (self.dim_customer, self.dim_supplier, self.dim_warehouse)
         return gold.fact_deliveries(self.shipments, self.orders, *dims)

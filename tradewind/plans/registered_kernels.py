@@ -13,7 +13,6 @@ from tradewind.operators import kpis, quality
 from tradewind.operators.dedup import dedup_keep_first, require_key
 from tradewind.operators.ordinals import surrogate_key
 from tradewind.plans.medallion import Medallion
-from tradewind.session import configure
 
 
 def _dedup_keep_first(m: Medallion) -> DataFrame:
@@ -102,9 +101,12 @@ class _Tables(Mapping):
 
 
 def _rules(rules: list[quality.Rule]):
+    named = [n for r in rules for n in (r.entity, r.ref_entity) if n in schemas.SILVER_CONTRACTS]
+
     def build(m: Medallion) -> DataFrame:
-        spark = configure(m.raw("raw_warehouses").sparkSession)
-        return quality.run_rules(spark, _Tables(m), rules).drop("error")
+        # The cleansed tables the rules name are written side by side.
+        m.prefetch(*dict.fromkeys(named))
+        return quality.run_rules(m.raw("raw_warehouses").sparkSession, _Tables(m), rules).drop("error")
 
     return build
 

@@ -6,31 +6,48 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tradewind import schemas
 from pyspark.sql import functions as F
 
+from tradewind import schemas
 from tradewind.operators import forecasting, kpis, reports, scorecards
 from tradewind.plans.medallion import Medallion
 from tradewind.plans.registered_io import IO, STREAMS
 from tradewind.plans.registered_kernels import KERNELS, QUALITY
+from tradewind.session import configure
 from tradewind.sources import driver_tables
-from tradewind.sources.shared import staged
+from tradewind.sources.shared import fresh_path, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Where a session has landed a raw feed: (application, folder, feed, strict) -> path.
+_LANDED: dict[tuple[str, str, str, bool], str] = {}
+
+
+def landed(spark: SparkSession, folder: str, feed: str, strict: bool = False) -> DataFrame:
+    """A raw feed as a written table, derived from the driver's tables once per session.
+
+    The raw layer is where the platform's own work starts; queries over the
+    same folder share it instead of joining order lines to orders each time.
+    """
+    key = (spark.sparkContext.applicationId, folder, feed, strict)
+    if key not in _LANDED:
+        path = fresh_path(spark, feed)
+        getattr(driver_tables, feed)(driver_tables.DriverTables(spark, folder), strict).write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.schema(schemas.RAW[feed]).parquet(_LANDED[key])
+
 
-def medallion(spark: SparkSession, folder: str) -> Medallion:
-    tables = driver_tables.DriverTables(spark, folder)
-    feeds = {name: getattr(driver_tables, name) for name in schemas.RAW}
+def medallion(spark: SparkSession, folder: str, write_cleansed: bool = False) -> Medallion:
+    configure(spark)
     return Medallion(
-        {name: partial(feed, tables) for name, feed in feeds.items()},
-        {name: partial(feed, tables, strict=True) for name, feed in feeds.items()},
+        {feed: partial(landed, spark, folder, feed) for feed in schemas.RAW},
+        {feed: partial(landed, spark, folder, feed, strict=True) for feed in schemas.RAW},
+        keep=staged if write_cleansed else None,
     )
 
 
-def _over(build: Callable[[Medallion], DataFrame]) -> Query:
-    return lambda spark, folder: build(medallion(spark, folder))
+def _over(build: Callable[[Medallion], DataFrame], write_cleansed: bool = False) -> Query:
+    return lambda spark, folder: build(medallion(spark, folder, write_cleansed))
 
 
 SILVER = {
@@ -139,6 +156,7 @@ SCORES = {
 
 
 def queries() -> dict[str, Query]:
-    groups = [KERNELS, SILVER, STAGED, GOLD, REPORTS, KPIS, QUALITY, SCORES]
-    over_tables = {name: _over(build) for group in groups for name, build in group.items()}
-    return over_tables | IO | STREAMS
+    lazy = KERNELS | SILVER | STAGED | GOLD | REPORTS | KPIS | SCORES
+    # Audits read a cleansed table once per rule, so it is written first.
+    audits = {name: _over(build, write_cleansed=True) for name, build in QUALITY.items()}
+    return {name: _over(build) for name, build in lazy.items()} | audits | IO | STREAMS
