@@ -5,13 +5,14 @@ from oracle.tables import query
 
 def pct(part: str, whole: str) -> str:
     """Two digits, half away from zero, on integers."""
-    return f"CAST((({part}) * 20000 + ({whole})) // (nullif({whole}, 0) * 2) AS DECIMAL(12,0)) / 100"
+    return f"CAST(((({part}) * 20000 + ({whole})) // (nullif({whole}, 0) * 2)) / 100 AS DECIMAL(12,2))"
 
 
 def mean(total: str, rows: str, digits: int) -> str:
     scale = 10**digits
     return (
-        f"coalesce(CAST((CAST({total} AS BIGINT) * {2 * scale} + ({rows})) // (nullif({rows}, 0) * 2) AS DOUBLE) / {scale}, 0)"
+        f"CAST(coalesce(((CAST({total} AS BIGINT) * {2 * scale} + ({rows})) // (nullif({rows}, 0) * 2)) / {scale}, 0) "
+        f"AS DECIMAL(20,{digits}))"
     )
 
 

@@ -114,8 +114,9 @@ def day_key(col: str, missing: str = "20260101") -> str:
 
 CTES |= {
     "dim_date": """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS full_date,
-            year(d) AS year, quarter(d) AS quarter, month(d) AS month, monthname(d) AS month_name,
-            day(d) AS day_of_month, isodow(d) AS day_of_week, dayname(d) AS day_name, isodow(d) IN (6, 7) AS is_weekend
+            CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
+            monthname(d) AS month_name, CAST(day(d) AS INTEGER) AS day_of_month,
+            CAST(isodow(d) AS INTEGER) AS day_of_week, dayname(d) AS day_name, isodow(d) IN (6, 7) AS is_weekend
         FROM (SELECT unnest(generate_series(date_trunc('day', min(order_date)), date_trunc('day', max(order_date)),
                                             INTERVAL 1 DAY)) AS d FROM silver_orders)""",
     "dim_supplier": keyed("silver_suppliers", "supplier_id", "supplier_key", "* RENAME (name AS supplier_name)"),
@@ -156,8 +157,8 @@ CTES |= {
         LEFT JOIN (SELECT product_id, product_key, unit_cost_usd FROM dim_product_dbt) USING (product_id)""",
     "fact_deliveries": f"""SELECT s.shipment_id, s.order_id, customer_key, supplier_key, warehouse_key,
             {day_key('actual_delivery_at', 'NULL')} AS delivery_date_key,
-            date_diff('day', shipped_at, estimated_delivery_at) AS promised_days,
-            date_diff('day', shipped_at, actual_delivery_at) AS actual_days,
+            CAST(date_diff('day', shipped_at, estimated_delivery_at) AS INTEGER) AS promised_days,
+            CAST(date_diff('day', shipped_at, actual_delivery_at) AS INTEGER) AS actual_days,
             actual_delivery_at <= estimated_delivery_at AS on_time_delivery_flag,
             CAST(NULL AS DECIMAL(3,2)) AS customer_satisfaction_score
         FROM silver_shipments s LEFT JOIN silver_orders o ON s.order_id = o.order_id
