@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tradewind import fixed_values as fixed
 from tradewind.functions.measures import exceeds
-from tradewind.operators.dedup import latest_per_key
+from tradewind.operators.dedup import latest_per_key, require_key
 
 _MOMENT, _KEY = "timestamp", "shipment_id"
 
@@ -31,7 +31,7 @@ def _describe(row: Column | None = None) -> list[Column]:
 
 def entity_state(tracking: DataFrame) -> DataFrame:
     """Newest known state per shipment from bounded tracking events."""
-    timed = tracking.withColumn(_MOMENT, F.try_to_timestamp(F.col(_MOMENT))).dropna(subset=[_KEY])
+    timed = require_key(tracking, _KEY).withColumn(_MOMENT, F.try_to_timestamp(F.col(_MOMENT)))
     return latest_per_key(timed, [_KEY], _MOMENT).select(*_describe())
 
 
@@ -41,7 +41,7 @@ def entity_state_updates(tracking: DataFrame) -> DataFrame:
     The state store keeps one row per entity, spread over the executors by id;
     a batch's events of one entity are reduced before they are shuffled.
     """
-    timed = tracking.withColumn(_MOMENT, F.try_to_timestamp(F.col(_MOMENT))).dropna(subset=[_KEY])
+    timed = require_key(tracking, _KEY).withColumn(_MOMENT, F.try_to_timestamp(F.col(_MOMENT)))
     order = [_MOMENT, *[c for c in tracking.columns if c not in (_KEY, _MOMENT)]]
     newest = timed.groupBy(_KEY).agg(F.max(F.struct(*order)).alias("newest"))
     return newest.select(*_describe(F.col("newest")))
