@@ -52,6 +52,8 @@ BODIES = {
     "stream_kafka_shipments": f"""SELECT 'supply-chain-shipment-events' AS topic, shipment_id AS key,
         to_json({{event_id: event_id, shipment_id: shipment_id, status: status, delay_hours: delay_hours, location: location,
         updated_at: updated_at}})::VARCHAR AS value FROM ({_MESSAGES})""",
+    "parse_json_stream": """SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS total,
+        o_orderpriority AS priority, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS ordered_at FROM orders""",
     "parse_iot_stream": _PARSED,
     "bounded_ingest": _PARSED,
     "land_bronze_stream": _PARSED,

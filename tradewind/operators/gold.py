@@ -3,8 +3,6 @@
 Dimensions carry a dense key ordered by the natural id.  Facts find their keys
 by left joins without hints: Spark broadcasts a dimension when its measured
 size allows and otherwise shuffles both sides, splitting hot keys at run time.
-Only the calendar, whose size is bounded by its number of days, is broadcast
-by request.
 """
 
 from __future__ import annotations

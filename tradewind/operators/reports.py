@@ -166,17 +166,24 @@ def inventory_stockout_risk(inventory: DataFrame, warehouses: DataFrame, product
 def monthly_revenue_mom(orders: DataFrame, calendar: DataFrame, unique_ids: bool = False) -> DataFrame:
     """Revenue per calendar month, newest first, with growth over the month before.
 
-    The calendar has one row per day, so broadcasting it is bounded; the window
-    runs over months.
+    Orders are added up per day (and per id, where ids may repeat) before they
+    meet the calendar; the window runs over months.
     """
-    days = F.broadcast(calendar.select("date_key", "year", "month", "month_name"))
+    grain = ["order_date_key"] if unique_ids else ["order_date_key", "order_id"]
+    per_day = orders.groupBy(*grain).agg(
+        F.sum("total_amount_usd").alias("revenue"),
+        F.count("total_amount_usd").alias("priced"),
+        F.count("order_id").alias("ids"),
+    )
+    days = calendar.select("date_key", "year", "month", "month_name")
+    orders_in_month = F.sum("ids") if unique_ids else F.count_distinct("order_id")
     months = (
-        orders.join(days, F.col("order_date_key") == F.col("date_key"))
+        per_day.join(days, F.col("order_date_key") == F.col("date_key"))
         .groupBy("year", "month", "month_name")
         .agg(
-            _ids("order_id", unique_ids).alias("monthly_order_count"),
-            F.sum("total_amount_usd").cast(m.MONEY).alias("monthly_revenue_usd"),
-            F.count("total_amount_usd").alias("priced"),
+            orders_in_month.alias("monthly_order_count"),
+            F.sum("revenue").cast(m.MONEY).alias("monthly_revenue_usd"),
+            F.sum("priced").alias("priced"),
         )
     )
     in_time = Window.orderBy("year", "month")

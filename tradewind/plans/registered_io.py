@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind import fixed_values as fixed
 from tradewind import schemas
@@ -210,6 +211,23 @@ def _parse_weather_events(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.drained(transforms.parse_weather_events(routed), "weather")
 
 
+ORDER_EVENT = "order_id bigint, customer_id bigint, total double, priority string, ordered_at string"
+
+
+def _parse_json_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """A topic without a fixed layout: the caller brings the schema."""
+    ordered = F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss")
+    messages = DriverTables(spark, folder).stream("orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_totalprice").alias("total"),
+        F.col("o_orderpriority").alias("priority"),
+        ordered.alias("ordered_at"),
+    )
+    records = kafka.to_kafka_records(messages, "order-events", F.col("order_id"))
+    return jobs.drained(transforms.parse_json_stream(records, T.StructType.fromDDL(ORDER_EVENT)), "order-events")
+
+
 def _flat(states: DataFrame) -> DataFrame:
     return states.select(
         "entity_type", "entity_id", "current_location.latitude", "current_location.longitude", "status", "speed",
@@ -263,6 +281,7 @@ IO = {
 STREAMS = {
     "stream_kafka_iot": _stream_kafka_iot,
     "stream_kafka_shipments": _stream_kafka_shipments,
+    "parse_json_stream": _parse_json_stream,
     "parse_iot_stream": _parse_iot_stream,
     "enrich_iot_stream": _enrich_iot_stream,
     "breach_alerts": _breach_alerts,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,11 +31,17 @@ def landed(spark: SparkSession, folder: str, feed: str, strict: bool = False) ->
     same folder share it instead of joining order lines to orders each time.
     """
     key = (spark.sparkContext.applicationId, folder, feed, strict)
-    if key not in _LANDED:
-        path = fresh_path(spark, feed)
-        getattr(driver_tables, feed)(driver_tables.DriverTables(spark, folder), strict).write.parquet(path)
-        _LANDED[key] = path
-    return spark.read.schema(schemas.RAW[feed]).parquet(_LANDED[key])
+    reader = spark.read.schema(schemas.RAW[feed])
+    if key in _LANDED:
+        try:
+            return reader.parquet(_LANDED[key])
+        except AnalysisException:
+            # Somebody cleared the shared folder: land the feed again.
+            del _LANDED[key]
+    path = fresh_path(spark, feed)
+    getattr(driver_tables, feed)(driver_tables.DriverTables(spark, folder), strict).write.parquet(path)
+    _LANDED[key] = path
+    return reader.parquet(path)
 
 
 def medallion(spark: SparkSession, folder: str, write_cleansed: bool = False) -> Medallion:

@@ -59,17 +59,25 @@ class DriverTables:
 
     def __getitem__(self, table: str) -> DataFrame:
         if table not in self._frames:
-            rows = self.spark.read.schema(SCHEMAS[table]).parquet(f"{self.folder}/{table}.parquet")
-            cores = self.spark.sparkContext.defaultParallelism
-            if table in _SPREAD_BY and len(rows.inputFiles()) < cores:
-                rows = rows.repartition(cores, _SPREAD_BY[table])
-            self._frames[table] = rows
+            rows = self._files(table)
+            self._frames[table] = self._spread(table, rows) if self._is_few_files(table) else rows
         return self._frames[table]
 
     def stream(self, table: str) -> DataFrame:
         """The table as an unbounded file source."""
-        files = self.spark.readStream.schema(SCHEMAS[table]).option("pathGlobFilter", f"{table}.parquet")
-        return files.parquet(self.folder)
+        source = self.spark.readStream.schema(SCHEMAS[table]).option("pathGlobFilter", f"{table}.parquet")
+        rows = source.parquet(self.folder)
+        return self._spread(table, rows) if self._is_few_files(table) else rows
+
+    def _files(self, table: str) -> DataFrame:
+        return self.spark.read.schema(SCHEMAS[table]).parquet(f"{self.folder}/{table}.parquet")
+
+    def _is_few_files(self, table: str) -> bool:
+        cores = self.spark.sparkContext.defaultParallelism
+        return table in _SPREAD_BY and len(self._files(table).inputFiles()) < cores
+
+    def _spread(self, table: str, rows: DataFrame) -> DataFrame:
+        return rows.repartition(self.spark.sparkContext.defaultParallelism, _SPREAD_BY[table])
 
 
 def _id(prefix: str, key: Column, width: int = 10) -> Column:
