@@ -212,4 +212,7 @@ SCORES = {
                FROM silver_shipments GROUP BY 1) USING (origin_warehouse_id)""",
 }
 
-SQL = {name: query(body) for group in (KERNELS, QUALITY, SCORES) for name, body in group.items()}
+# The gate runs on the castable feeds and stops below 70 percent.
+GATE = query(f"SELECT * FROM ({_SUMMARY}) WHERE score_pct >= 70", strict=True)
+
+SQL = {"dq_gate": GATE} | {name: query(body) for group in (KERNELS, QUALITY, SCORES) for name, body in group.items()}

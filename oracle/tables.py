@@ -1,5 +1,7 @@
 """Cleansed, staged and star-schema tables in DuckDB SQL."""
 
+import re
+
 from oracle.bronze import CTES as RAW
 
 CTES: dict[str, str] = dict(RAW)
@@ -169,25 +171,25 @@ CTES |= {
 }
 
 
-def _uses(text: str) -> list[str]:
-    import re
+def query(body: str, strict: bool = False) -> str:
+    """``body`` with every table of this module it mentions, directly or not, defined.
 
-    words = set(re.findall(r"[a-z_]+", text))
-    return [name for name in CTES if name in words]
+    With ``strict`` the cleansed tables are built from the castable feeds.
+    """
 
+    def over_feeds(text: str) -> str:
+        return re.sub(r"\braw_(?=[a-z])(?!payload)", "strict_", text) if strict else text
 
-def query(body: str) -> str:
-    """``body`` with every table of this module it mentions, directly or not, defined."""
-    needed: list[str] = []
+    needed: dict[str, str] = {}
 
     def need(text: str) -> None:
-        for name in _uses(text):
-            if name not in needed:
-                need(CTES[name])
-                if name not in needed:
-                    needed.append(name)
+        for name in CTES:
+            if name not in needed and re.search(rf"\b{name}\b", text):
+                definition = over_feeds(CTES[name])
+                need(definition)
+                needed.setdefault(name, definition)
 
+    body = over_feeds(body)
     need(body)
-    if not needed:
-        return body
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in needed) + "\n" + body
+    defined = ",\n".join(f"{name} AS ({definition})" for name, definition in needed.items())
+    return f"WITH {defined}\n{body}" if needed else body

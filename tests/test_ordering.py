@@ -5,9 +5,10 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tradewind.operators.dedup import dedup_keep_first, latest_per_key, require_key
-from tradewind.operators.ordinals import dense_rank_desc, surrogate_key
+from tradewind.operators.ordinals import dense_rank_desc, numbered, surrogate_key
 
 FEED = "id string, arrived int, payload string"
 
@@ -51,6 +52,27 @@ def test_require_key(rows):
     assert require_key(rows(FEED, [(None, 1, "x"), ("a", None, None)]), "id").count() == 1
 
 
+@pytest.fixture
+def many_tasks(spark):
+    """Keep small sorts on several tasks, as large ones are."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_numbering_spans_tasks(rows, many_tasks):
+    frame = rows("n int", [(i,) for i in range(5000)]).repartition(5)
+    placed = numbered(frame, F.col("n").desc(), position="at")
+    assert len(placed.inputFiles()) == 4
+    assert [(r["at"], r.n) for r in placed.orderBy("at").collect()] == [(i + 1, 4999 - i) for i in range(5000)]
+
+
+def test_ranks_span_tasks(rows, many_tasks):
+    data = [("hot", i % 700) for i in range(3000)] + [(f"g{i % 9}", i % 50) for i in range(900)]
+    ranked = dense_rank_desc(rows("g string, v int", data).repartition(6), "g", "v", "r")
+    assert sorted(((r.g, r.v, r.r) for r in ranked.collect()), key=str) == brute_rank(data)
+
+
 @pytest.mark.parametrize("bounded", [True, False])
 def test_surrogate_keys_are_dense_in_id_order(rows, bounded):
     ids = [f"C-{i}" for i in range(2000)] + ["", "C", "Ä-1", None]

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradewind import schemas
-from tradewind.operators.quality import QualityGateError
+from tradewind.operators import kpis
+from tradewind.operators.quality import QualityGateError, dq_summary
 from tradewind.plans import pipeline, registry
 from tradewind.plans.medallion import Medallion
 
@@ -23,6 +24,9 @@ def test_pipeline_writes_every_layer_and_passes_the_gate(spark):
     assert run.report.count() == 10
     for name in ("silver/orders", "gold/fact_orders", "gold/fact_deliveries", "snapshots/orders/ingest_date=2026-08-13"):
         assert spark.read.parquet(f"{where}/{name}").count() > 0
+    summary = dq_summary(run.report)
+    gauges = kpis.ops_metrics(summary, run.tables["shipments"], run.tables["iot_sensors"], run.elapsed_ms)
+    assert {r.metric: r.value for r in gauges.collect()}["etl_latency_ms"] == run.elapsed_ms
     lazily = Medallion(strict)
     assert run.tables["fact_orders"].exceptAll(lazily.fact_orders).isEmpty()
     assert run.tables["fact_shipments"].exceptAll(lazily.fact_shipments).isEmpty()

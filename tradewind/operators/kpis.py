@@ -171,11 +171,17 @@ def stock_heatmap(inventory: DataFrame, products: DataFrame, categories: list[st
     return per_cell.pivot("category", categories).agg(F.sum("quantity_on_hand")).na.fill(0)
 
 
-def ops_metrics(quality: DataFrame, shipments: DataFrame, iot: DataFrame) -> DataFrame:
-    """Gauges of the monitoring board, one row each; latency comes from the streaming listener."""
-    score = quality.select(F.lit("data_quality_score_pct").alias("metric"), F.col("score_pct").cast("double").alias("value"))
-    active = shipments.agg(F.count_if(F.col("status").isin(fixed.ACTIVE_STATUSES)).cast("double").alias("value"))
-    breaches = iot.agg(F.count_if("is_temp_breach").cast("double").alias("value"))
-    return score.unionByName(active.select(F.lit("active_shipments_total").alias("metric"), "value")).unionByName(
-        breaches.select(F.lit("iot_temp_breach_total").alias("metric"), "value")
-    )
+def ops_metrics(quality: DataFrame, shipments: DataFrame, iot: DataFrame, latency_ms: float | None = None) -> DataFrame:
+    """Gauges of the monitoring board, one row each.
+
+    ``latency_ms`` is what the last run took (``Run.elapsed_ms`` of a batch, or
+    a stream's progress); without it that gauge is left out.
+    """
+    active = shipments.agg(F.count_if(F.col("status").isin(fixed.ACTIVE_STATUSES)).alias("active_shipments_total"))
+    breaches = iot.agg(F.count_if("is_temp_breach").alias("iot_temp_breach_total"))
+    score = quality.select(F.col("score_pct").alias("data_quality_score_pct"))
+    gauges = side_by_side(score, active, breaches)
+    if latency_ms is not None:
+        gauges = gauges.withColumn("etl_latency_ms", F.lit(latency_ms))
+    numbers = gauges.select(*[F.col(c).cast("double").alias(c) for c in gauges.columns])
+    return numbers.unpivot([], numbers.columns, "metric", "value")

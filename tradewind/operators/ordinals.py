@@ -38,7 +38,8 @@ def surrogate_key(df: DataFrame, natural_id: str, key: str, rows_bounded: bool =
     """Number the rows 1..n by ``natural_id``; a missing id comes last.
 
     ``rows_bounded`` promises a table that stays small whatever the facts grow
-    to (regions, warehouses); such a table is numbered by one plain window.
+    to, such as warehouses; it is numbered by one plain window.  For another
+    order, say that of arrival, use ``numbered``.
     """
     order = F.col(natural_id).asc_nulls_last()
     if rows_bounded:

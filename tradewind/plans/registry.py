@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import schemas
-from tradewind.operators import forecasting, kpis, reports, scorecards
+from tradewind.operators import forecasting, kpis, quality, reports, scorecards
 from tradewind.plans.medallion import Medallion
 from tradewind.plans.registered_io import IO, STREAMS
 from tradewind.plans.registered_kernels import KERNELS, QUALITY
@@ -44,13 +44,14 @@ def landed(spark: SparkSession, folder: str, feed: str, strict: bool = False) ->
     return reader.parquet(path)
 
 
-def medallion(spark: SparkSession, folder: str, write_cleansed: bool = False) -> Medallion:
+def medallion(
+    spark: SparkSession, folder: str, write_cleansed: bool = False, strict: bool = False
+) -> Medallion:
+    """All tables over a folder; ``strict`` cleanses the castable feeds as well."""
     configure(spark)
-    return Medallion(
-        {feed: partial(landed, spark, folder, feed) for feed in schemas.RAW},
-        {feed: partial(landed, spark, folder, feed, strict=True) for feed in schemas.RAW},
-        keep=staged if write_cleansed else None,
-    )
+    castable = {feed: partial(landed, spark, folder, feed, strict=True) for feed in schemas.RAW}
+    usual = {feed: partial(landed, spark, folder, feed) for feed in schemas.RAW}
+    return Medallion(castable if strict else usual, castable, keep=staged if write_cleansed else None)
 
 
 def _over(build: Callable[[Medallion], DataFrame], write_cleansed: bool = False) -> Query:
@@ -162,8 +163,15 @@ SCORES = {
 }
 
 
+def _dq_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """Summary of the standing checks on castable feeds, which must pass the gate."""
+    summary = staged(QUALITY["dq_summary"](medallion(spark, folder, True, strict=True)), "gate")
+    quality.dq_gate(summary)
+    return summary
+
+
 def queries() -> dict[str, Query]:
     lazy = KERNELS | SILVER | STAGED | GOLD | REPORTS | KPIS | SCORES
     # Audits read a cleansed table once per rule, so it is written first.
     audits = {name: _over(build, write_cleansed=True) for name, build in QUALITY.items()}
-    return {name: _over(build) for name, build in lazy.items()} | audits | IO | STREAMS
+    return {name: _over(build) for name, build in lazy.items()} | audits | {"dq_gate": _dq_gate} | IO | STREAMS
