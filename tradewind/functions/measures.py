@@ -58,10 +58,9 @@ def exceeds(value: Column, limit: float) -> Column:
     return F.coalesce(value > F.lit(limit), F.lit(False))
 
 
-def banded(value: Column, bands: list[tuple[float, str]], otherwise: str, inclusive: bool = False) -> Column:
-    """Label of the first band whose bound ``value`` passes; bands run downwards."""
+def banded(value: Column, bands: list[tuple[float, str]], otherwise: str) -> Column:
+    """Label of the first band whose bound ``value`` exceeds; bands run downwards."""
     label = F
     for bound, name in bands:
-        passed = value >= F.lit(bound).cast("double") if inclusive else value > F.lit(bound).cast("double")
-        label = label.when(passed, F.lit(name))
+        label = label.when(value > F.lit(bound), F.lit(name))
     return label.otherwise(F.lit(otherwise))

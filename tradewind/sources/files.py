@@ -62,6 +62,23 @@ def write_layer(df: DataFrame, root: str, layer: str, table: str, if_exists: str
     df.write.mode(WRITE_MODES[if_exists]).parquet(f"{root}/{layer}/{table}")
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Write a catalog table divided by ``key``; joins and counts on the key need no shuffle then.
+
+    Rows are brought to their bucket first, so a bucket is one file.  That suits
+    a key without hot values: a bucket can not be split at run time.
+    """
+    writer = df.repartition(buckets, key).write.mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of the files below the paths; their contents are not read."""
+    sizes = spark.read.format("binaryFile").load(list(paths)).agg(F.sum("length"))
+    return int(sizes.first()[0] or 0)
+
+
 def write_lake_snapshot(df: DataFrame, root: str, layer: str, table: str, day: Column) -> None:
     """Write the rows under their ``ingest_date``; only the days present are replaced.
 
