@@ -157,11 +157,12 @@ def test_landing_writes_table_and_archive(spark, stream, folder):
     assert spark.read.json(f"{folder}/archive").filter("event_id IS NOT NULL").count() == 4
 
 
-def test_console_sink_runs(stream, folder):
-    sink = jobs.console_sink(transforms.parse_iot_stream(stream)).option("checkpointLocation", f"{folder}/cp")
-    query = sink.trigger(availableNow=True).start()
+@pytest.mark.parametrize("job", [jobs.iot_job, jobs.shipment_job])
+def test_console_jobs_run(stream, folder, job):
+    query = job(stream, f"{folder}/cp").trigger(availableNow=True).start()
     query.awaitTermination()
     assert query.exception() is None
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 5
 
 
 def test_kafka_records(rows):

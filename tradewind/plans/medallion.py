@@ -8,9 +8,11 @@ once however many tables are built from it.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property, partial
+from threading import RLock
 
 from pyspark.sql import DataFrame
 
@@ -18,6 +20,16 @@ from tradewind import fixed_values as fixed
 from tradewind.operators import gold, silver, staging
 
 
+class _table(cached_property):  # noqa: N801 - used as a decorator
+    """A table built once per ``Medallion``, also when several threads ask for it."""
+
+    def __get__(self, instance, owner=None):
+        if instance is None:
+            return self
+        with instance._locks[self.attrname]:
+            return super().__get__(instance, owner)
+
+
 class Medallion:
     """Every table of the model over a mapping of raw feeds.
 
@@ -39,6 +51,7 @@ class Medallion:
         self._raw, self._strict = raw, strict_raw or raw
         self.arrival, self.missing_date_key = arrival, missing_date_key
         self._keep = keep or (lambda frame, label: frame)
+        self._locks: defaultdict[str, RLock] = defaultdict(RLock)
 
     @staticmethod
     def _feed(feeds, name: str) -> DataFrame:
@@ -58,134 +71,134 @@ class Medallion:
 
     # Cleansed tables.
 
-    @cached_property
+    @_table
     def suppliers(self) -> DataFrame:
         return self._keep(silver.silver_suppliers(self.raw("raw_suppliers"), self.arrival), "suppliers")
 
-    @cached_property
+    @_table
     def warehouses(self) -> DataFrame:
         return self._keep(silver.silver_warehouses(self.raw("raw_warehouses"), self.arrival), "warehouses")
 
-    @cached_property
+    @_table
     def products(self) -> DataFrame:
         return self._keep(silver.silver_products(self.raw("raw_products"), self.arrival), "products")
 
-    @cached_property
+    @_table
     def customers(self) -> DataFrame:
         return self._keep(silver.silver_customers(self.raw("raw_customers"), self.arrival), "customers")
 
-    @cached_property
+    @_table
     def orders(self) -> DataFrame:
         return self._keep(silver.silver_orders(self.raw("raw_orders"), self.arrival), "orders")
 
-    @cached_property
+    @_table
     def shipments(self) -> DataFrame:
         return self._keep(silver.silver_shipments(self.raw("raw_shipments"), self.arrival), "shipments")
 
-    @cached_property
+    @_table
     def inventory(self) -> DataFrame:
         return self._keep(silver.silver_inventory(self.raw("raw_inventory"), self.arrival), "inventory")
 
-    @cached_property
+    @_table
     def iot_sensors(self) -> DataFrame:
         return self._keep(silver.silver_iot(self.raw("raw_iot_sensors"), self.arrival), "iot-sensors")
 
     # Staged tables.
 
-    @cached_property
+    @_table
     def stg_suppliers(self) -> DataFrame:
         return staging.stg_suppliers(self.strict("raw_suppliers"))
 
-    @cached_property
+    @_table
     def stg_products(self) -> DataFrame:
         return staging.stg_products(self.strict("raw_products"))
 
-    @cached_property
+    @_table
     def stg_warehouses(self) -> DataFrame:
         return staging.stg_warehouses(self.strict("raw_warehouses"))
 
-    @cached_property
+    @_table
     def stg_customers(self) -> DataFrame:
         return staging.stg_customers(self.strict("raw_customers"))
 
-    @cached_property
+    @_table
     def stg_orders(self) -> DataFrame:
         return staging.stg_orders(self.strict("raw_orders"))
 
-    @cached_property
+    @_table
     def stg_shipments(self) -> DataFrame:
         return staging.stg_shipments(self.strict("raw_shipments"))
 
-    @cached_property
+    @_table
     def stg_inventory(self) -> DataFrame:
         return staging.stg_inventory(self.strict("raw_inventory"))
 
     # Star schema.
 
-    @cached_property
+    @_table
     def dim_date(self) -> DataFrame:
         """Calendar over the order dates."""
         return gold.dim_date_covering(self.orders, "order_date")
 
-    @cached_property
+    @_table
     def dim_supplier(self) -> DataFrame:
         return gold.dim_supplier(self.suppliers)
 
-    @cached_property
+    @_table
     def dim_product(self) -> DataFrame:
         return gold.dim_product(self.products)
 
-    @cached_property
+    @_table
     def dim_warehouse(self) -> DataFrame:
         return gold.dim_warehouse(self.warehouses)
 
-    @cached_property
+    @_table
     def dim_customer(self) -> DataFrame:
         return gold.dim_customer(self.customers)
 
-    @cached_property
+    @_table
     def dim_region(self) -> DataFrame:
         return gold.dim_region(self.customers, self.suppliers)
 
-    @cached_property
+    @_table
     def dim_product_dbt(self) -> DataFrame:
         return gold.dim_product(self.stg_products)
 
-    @cached_property
+    @_table
     def dim_supplier_dbt(self) -> DataFrame:
         return gold.dim_supplier(self.stg_suppliers)
 
-    @cached_property
+    @_table
     def dim_warehouse_dbt(self) -> DataFrame:
         return gold.dim_warehouse(self.stg_warehouses)
 
-    @cached_property
+    @_table
     def fact_orders(self) -> DataFrame:
         self.prefetch("dim_supplier", "dim_product", "dim_customer")
         dims = (self.dim_supplier, self.dim_product, self.dim_customer)
         return gold.fact_orders(self.orders, *dims, missing_date_key=self.missing_date_key)
 
-    @cached_property
+    @_table
     def fact_orders_dbt(self) -> DataFrame:
         return gold.fact_orders_dbt(self.stg_orders, self.stg_suppliers)
 
-    @cached_property
+    @_table
     def temp_breach_counts(self) -> DataFrame:
         return gold.temp_breach_counts(self.iot_sensors)
 
-    @cached_property
+    @_table
     def fact_shipments(self) -> DataFrame:
         return gold.fact_shipments(self.shipments, self.dim_warehouse, self.temp_breach_counts, self.missing_date_key)
 
-    @cached_property
+    @_table
     def fact_shipments_dbt(self) -> DataFrame:
         return gold.fact_shipments_dbt(self.stg_shipments, self.dim_warehouse_dbt)
 
-    @cached_property
+    @_table
     def fact_inventory(self) -> DataFrame:
         return gold.fact_inventory(self.stg_inventory, self.dim_warehouse_dbt, self.dim_product_dbt)
 
-    @cached_property
+    @_table
     def fact_deliveries(self) -> DataFrame:
         self.prefetch("dim_customer", "dim_supplier")
         dims = (self.dim_customer, self.dim_supplier, self.dim_warehouse)

@@ -101,10 +101,10 @@ class _Tables(Mapping):
 
 
 def _rules(rules: list[quality.Rule]):
-    named = [n for r in rules for n in (r.entity, r.ref_entity) if n in schemas.SILVER_CONTRACTS]
+    named = [n for r in rules for n in (r.entity, r.ref_entity) if n in _Tables._BUILT]
 
     def build(m: Medallion) -> DataFrame:
-        # The cleansed tables the rules name are written side by side.
+        # The tables the rules name are built side by side, the cleansed ones written.
         m.prefetch(*dict.fromkeys(named))
         return quality.run_rules(m.raw("raw_warehouses").sparkSession, _Tables(m), rules).drop("error")
 

@@ -6,12 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tradewind.sources.shared import fresh_path
+from tradewind.streaming.transforms import enrich_iot_stream, parse_iot_stream, parse_shipment_stream
 
 
 def console_sink(stream: DataFrame) -> DataStreamWriter:
     return stream.writeStream.format("console").outputMode("append").option("truncate", "false")
 
 
+def iot_job(records: DataFrame, checkpoint: str) -> DataStreamWriter:
+    """Telemetry records, parsed and enriched, to the console."""
+    return console_sink(enrich_iot_stream(parse_iot_stream(records))).option("checkpointLocation", checkpoint)
+
+
+def shipment_job(records: DataFrame, checkpoint: str) -> DataStreamWriter:
+    """Shipment status records, parsed, to the console."""
+    return console_sink(parse_shipment_stream(records)).option("checkpointLocation", checkpoint)
+
+
 def bounded_ingest(stream: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None) -> StreamingQuery:
     """Write everything the source holds now, once, then stop.
 
