@@ -1,6 +1,6 @@
 """Kernels, data-quality rules and scores in DuckDB SQL."""
 
-from oracle.tables import money, query, stamp, whole
+from oracle.tables import query, stamp, whole
 
 KERNELS = {
     "dedup_keep_first": """SELECT order_id, product_id, supplier_id, unit_price, ingested_at FROM raw_orders
