@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from oracle.registry import oracle_sql
 from tests.support import connect, difference
+from tradewind.plans.registry import queries
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = queries(), oracle_sql()
 WITHOUT_SQL = {"demand_forecast", "delay_prediction"}
 
 
@@ -25,6 +27,11 @@ def test_query_equals_sql(spark, duck, name):
     assert difference(QUERIES[name](spark, FOLDER), duck, SQL[name]) is None
 
 
+def test_entry_registers_them_all():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     frame = entry.entry(spark)
     assert frame.count() == 10
