@@ -6,9 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import mixing, sql
+from tradewind.llm import mixing, sql, token_counts
 from tradewind.llm.common import table
 
+def tokenizer_path(name: str) -> str:
+    """Where the installed package of public vocabularies keeps one."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -16,8 +23,12 @@ def op3_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op3_mix": op3_mix}
+    return {"op3_mix": op3_mix, "op7_token_counts": op7_token_counts}
 
 
 def oracle_sql() -> dict[str, str]:
