@@ -32,9 +32,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 
 # Texts of these characters need no table but Python's: NFC keeps them as they
-# are, and lower-casing them is the same everywhere.
-_LAST = 0x24F
-_OTHER = re.compile(r"[^\t-\r\x20-~\xa1-\u024f]")
+# are, and lower-casing keeps them among themselves, which U+0130 would not.
+_LAST = 0x17F
+_OTHER = re.compile(r"[^\t-\r\x20-~\xa1-\u012f\u0131-\u017f]")
 
 
 def plain_pieces() -> re.Pattern:
