@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import mixing, sql, token_counts
+from tradewind.llm import mixing, sql, token_counts, vector_search
 from tradewind.llm.common import table
 
 def tokenizer_path(name: str) -> str:
@@ -23,13 +23,17 @@ def op3_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"))
 
 
+def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_search.top_k(table(spark, folder, "embeddings"))
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Query]:
-    return {"op3_mix": op3_mix, "op7_token_counts": op7_token_counts}
+    return {"op3_mix": op3_mix, "op5_top_k": op5_top_k, "op7_token_counts": op7_token_counts}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix": sql.MIX}
+    return {"op3_mix": sql.MIX, "op5_top_k": sql.TOP_K}

@@ -36,3 +36,18 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, s AS source_size, target,
                              THEN 1 ELSE 0 END) AS BIGINT) AS taken, source
 FROM runs
 """
+
+TOP_K = """
+WITH whole AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND coalesce(len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))), 0) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.vec::DOUBLE[], c.vec::DOUBLE[]) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON c.vec_id <> q.vec_id
+  WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
+"""
