@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import mixing, sql, token_counts, vector_search
+from tradewind.llm import jaccard, mixing, sql, token_counts, vector_search
 from tradewind.llm.common import table
 
 def tokenizer_path(name: str) -> str:
@@ -19,6 +19,10 @@ def tokenizer_path(name: str) -> str:
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"))
+
+
 def op3_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"))
 
@@ -32,7 +36,7 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op3_mix": op3_mix, "op5_top_k": op5_top_k, "op7_token_counts": op7_token_counts}
+    return {f.__name__: f for f in (op1_near_duplicates, op3_mix, op5_top_k, op7_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
