@@ -43,6 +43,11 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def constant(numbers: list[float]) -> Column:
+    """A literal array of doubles, for tables of a fixed size."""
+    return F.split(F.lit(",".join(map(repr, numbers))), ",").cast("array<double>")
+
+
 def texts(column: pa.Array) -> list[bytes | None]:
     """The cells of a string column as UTF-8 bytes."""
     return column.cast(pa.binary()).to_pylist()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import jaccard, mixing, sql, token_counts, vector_search
+from tradewind.llm import jaccard, mixing, secrets, sql, token_counts, vector_search
 from tradewind.llm.common import table
 
 def tokenizer_path(name: str) -> str:
@@ -35,8 +35,12 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_near_duplicates, op3_mix, op5_top_k, op7_token_counts)}
+    return {f.__name__: f for f in (op1_near_duplicates, op3_mix, op5_top_k, op7_token_counts, op9_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
