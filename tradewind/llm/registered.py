@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import jaccard, mixing, secrets, sql, token_counts, vector_search
+from tradewind.llm import jaccard, mixing, quality_rules, secrets, sql, token_counts, vector_search
 from tradewind.llm.common import table
 
 def tokenizer_path(name: str) -> str:
@@ -31,6 +31,10 @@ def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return vector_search.top_k(table(spark, folder, "embeddings"))
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -40,7 +44,7 @@ def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_near_duplicates, op3_mix, op5_top_k, op7_token_counts, op9_secrets)}
+    return {f.__name__: f for f in (op1_near_duplicates, op3_mix, op5_top_k, op6_quality, op7_token_counts, op9_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
