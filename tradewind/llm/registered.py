@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import jaccard, mixing, quality_rules, secrets, sql, token_counts, vector_search
+from tradewind.llm import jaccard, language_id, mixing, quality_rules, secrets, sql, token_counts, vector_search
 from tradewind.llm.common import table
 
 def tokenizer_path(name: str) -> str:
@@ -23,6 +23,11 @@ def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"))
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    model = language_id.fit_language_model(table(spark, folder, "documents"))
+    return language_id.identify(language_id.page_evidence(table(spark, folder, "pages")), "page_id", model)
+
+
 def op3_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"))
 
@@ -44,7 +49,7 @@ def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_near_duplicates, op3_mix, op5_top_k, op6_quality, op7_token_counts, op9_secrets)}
+    return {f.__name__: f for f in (op1_near_duplicates, op2_language, op3_mix, op5_top_k, op6_quality, op7_token_counts, op9_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
