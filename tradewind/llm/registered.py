@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import jaccard, language_id, mixing, quality_rules, secrets, sql, token_counts, vector_search
+from tradewind.llm import jaccard, language_id, mixing, quality_rules, secrets, sql, suffix_dedup, token_counts, vector_search
 from tradewind.llm.common import table
 
 def tokenizer_path(name: str) -> str:
@@ -48,8 +48,12 @@ def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.find_secrets(table(spark, folder, "documents"))
 
 
+def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_near_duplicates, op2_language, op3_mix, op5_top_k, op6_quality, op7_token_counts, op9_secrets)}
+    return {f.__name__: f for f in (op1_near_duplicates, op2_language, op3_mix, op5_top_k, op6_quality, op7_token_counts, op9_secrets, op10_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:
