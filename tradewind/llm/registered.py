@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import jaccard, language_id, mixing, quality_rules, secrets, sql, suffix_dedup, token_counts, vector_search
+from tradewind.llm import jaccard, language_id, mixing, quality_rules, secrets, sentencepiece_fst, sql, suffix_dedup, token_counts, vector_search
 from tradewind.llm.common import table
 
 def tokenizer_path(name: str) -> str:
@@ -44,6 +44,11 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return sentencepiece_fst.encode(docs, tokenizer_path("piece_bpe_32k.model"))
+
+
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.find_secrets(table(spark, folder, "documents"))
 
@@ -53,7 +58,7 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_near_duplicates, op2_language, op3_mix, op5_top_k, op6_quality, op7_token_counts, op9_secrets, op10_repeats)}
+    return {f.__name__: f for f in (op1_near_duplicates, op2_language, op3_mix, op5_top_k, op6_quality, op7_token_counts, op8_pieces, op9_secrets, op10_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:
