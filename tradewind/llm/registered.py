@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import jaccard, language_id, mixing, quality_rules, secrets, sentencepiece_fst, sql, suffix_dedup, token_counts, vector_search
+from tradewind.llm import jaccard, language_id, language_model, mixing, quality_rules, secrets, sentencepiece_fst, sql, suffix_dedup, token_counts, vector_search
 from tradewind.llm.common import table
 
 def tokenizer_path(name: str) -> str:
@@ -32,6 +32,10 @@ def op3_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"))
 
 
+def op4_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.score_texts(table(spark, folder, "documents"))
+
+
 def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return vector_search.top_k(table(spark, folder, "embeddings"))
 
@@ -58,7 +62,7 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_near_duplicates, op2_language, op3_mix, op5_top_k, op6_quality, op7_token_counts, op8_pieces, op9_secrets, op10_repeats)}
+    return {f.__name__: f for f in (op1_near_duplicates, op2_language, op3_mix, op4_lm_scores, op5_top_k, op6_quality, op7_token_counts, op8_pieces, op9_secrets, op10_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:
