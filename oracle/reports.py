@@ -108,17 +108,16 @@ REPORTS = {
     FROM silver_warehouses LEFT JOIN
          (SELECT warehouse_id, CAST(sum(quantity_on_hand) AS BIGINT) AS units FROM silver_inventory GROUP BY 1) USING (warehouse_id),
          LATERAL (SELECT coalesce(units, 0) AS units_on_hand)""",
-    "shipment_lead_time": f"""
-    SELECT carrier, mode AS transit_mode, count(*) AS delivered_shipments, min(hours) AS min_lead_hours,
-           quantile_cont(hours, 0.5) AS median_lead_hours, max(hours) AS max_lead_hours, {mean('sum(hours)', 'count(*)', 2)} AS avg_lead_hours
-    FROM (SELECT *, (epoch_us(actual_delivery_at) - epoch_us(shipped_at)) // 3600000000 AS hours FROM silver_shipments)
-    WHERE hours IS NOT NULL GROUP BY carrier, mode""",
-    "stock_heatmap": "SELECT warehouse_id, "
-    + ", ".join(
-        f"CAST(coalesce(sum(quantity_on_hand) FILTER (category = '{c}'), 0) AS BIGINT) AS {c}"
-        for c in ["ECONOMY", "SMALL", "MEDIUM", "LARGE", "STANDARD", "PROMO"]
-    )
-    + " FROM silver_inventory JOIN (SELECT product_id, category FROM silver_products) USING (product_id) GROUP BY warehouse_id",
+    "shipment_lead_time": """
+    SELECT carrier, mode AS transit_mode, count(*) AS delivered_shipments, round(min(us) / 3.6e9, 4) AS min_lead_hours,
+           quantile_cont(us // 3600000000, 0.5) AS median_lead_hours, round(max(us) / 3.6e9, 4) AS max_lead_hours,
+           round(CAST(sum(us) AS DOUBLE) / count(*) / 3.6e9, 4) AS avg_lead_hours
+    FROM (SELECT *, epoch_us(actual_delivery_at) - epoch_us(shipped_at) AS us FROM silver_shipments)
+    WHERE us IS NOT NULL GROUP BY carrier, mode""",
+    "stock_heatmap": """
+    SELECT warehouse_id, category, CAST(sum(quantity_on_hand) AS BIGINT) AS units
+    FROM silver_inventory JOIN (SELECT product_id, category FROM silver_products) USING (product_id)
+    GROUP BY warehouse_id, category""",
 }
 
 SQL = {name: query(body) for name, body in REPORTS.items()}

@@ -32,7 +32,7 @@ def number(col: str, dtype: str, default: str | None = None) -> str:
 
 
 def whole(col: str, default: int) -> str:
-    return f"CAST(trunc(coalesce(TRY_CAST({col} AS DECIMAL(28,8)), {default})) AS INTEGER)"
+    return f"coalesce(TRY_CAST(trunc(TRY_CAST({col} AS DECIMAL(28,8))) AS BIGINT), {default})"
 
 
 def money(col: str) -> str:
@@ -46,17 +46,17 @@ def stamp(col: str) -> str:
 LATE_SECONDS = "(epoch_us(actual_delivery_at) - epoch_us(estimated_delivery_at))"
 
 CTES |= {
-    "silver_suppliers": f"""SELECT * REPLACE ({number('rating', 'DECIMAL(3,2)', '4.0')} AS rating), TRUE AS is_active
+    "silver_suppliers": f"""SELECT * REPLACE ({number('rating', 'DECIMAL(22,2)', '4.0')} AS rating), TRUE AS is_active
         FROM first_suppliers""",
     "silver_warehouses": f"""SELECT * REPLACE ({number('latitude', 'DECIMAL(9,6)')} AS latitude,
         {number('longitude', 'DECIMAL(9,6)')} AS longitude, {whole('capacity_sqft', 100000)} AS capacity_sqft)
         FROM first_warehouses""",
     "silver_products": f"""SELECT product_id, sku, name, category, {money('unit_cost')} AS unit_cost_usd,
-        {number('weight_kg', 'DECIMAL(10,2)', '1.0')} AS weight_kg, supplier_id FROM first_products""",
+        {number('weight_kg', 'DECIMAL(22,2)', '1.0')} AS weight_kg, supplier_id FROM first_products""",
     "silver_customers": "SELECT * FROM first_customers",
     "silver_orders": f"""SELECT order_id, customer_id, product_id, supplier_id, {whole('quantity', 1)} AS quantity,
         {money('unit_price')} AS unit_price_usd,
-        CAST({whole('quantity', 1)} * {money('unit_price')} AS DECIMAL(14,2)) AS total_amount_usd,
+        CAST({whole('quantity', 1)} * {money('unit_price')} AS DECIMAL(33,2)) AS total_amount_usd,
         coalesce(currency, 'USD') AS original_currency, {stamp('order_date')} AS order_date,
         {stamp('required_date')} AS required_date, status FROM first_orders""",
     "typed_shipments": f"""SELECT * REPLACE ({stamp('shipped_at')} AS shipped_at,
@@ -70,8 +70,8 @@ CTES |= {
         {whole('quantity_on_hand', 0)} <= {whole('reorder_level', 100)} AS is_low_stock,
         {stamp('last_counted_at')} AS last_counted_at FROM first_inventory""",
     "silver_iot": f"""SELECT event_id, shipment_id, device_id, {number('latitude', 'DECIMAL(9,6)')} AS latitude,
-        {number('longitude', 'DECIMAL(9,6)')} AS longitude, {number('temperature_c', 'DECIMAL(5,2)')} AS temperature_c,
-        {number('humidity_pct', 'DECIMAL(5,2)')} AS humidity_pct, {whole('battery_level', 100)} AS battery_level,
+        {number('longitude', 'DECIMAL(9,6)')} AS longitude, {number('temperature_c', 'DECIMAL(22,2)')} AS temperature_c,
+        {number('humidity_pct', 'DECIMAL(22,2)')} AS humidity_pct, {whole('battery_level', 100)} AS battery_level,
         {stamp('recorded_at')} AS recorded_at,
         coalesce(TRY_CAST(temperature_c AS DOUBLE) > 8.0, FALSE) AS is_temp_breach FROM first_iot_sensors""",
 }
@@ -154,7 +154,7 @@ CTES |= {
         FROM stg_shipments LEFT JOIN dim_warehouse_dbt ON origin_warehouse_id = warehouse_id""",
     "fact_inventory": f"""SELECT inventory_id, warehouse_key, product_key, {day_key('last_counted_at', 'NULL')} AS snapshot_date_key,
             quantity_on_hand, reorder_level, safety_stock, is_low_stock,
-            CAST(quantity_on_hand * unit_cost_usd AS DECIMAL(14,2)) AS inventory_value_usd, last_counted_at
+            CAST(quantity_on_hand * unit_cost_usd AS DECIMAL(33,2)) AS inventory_value_usd, last_counted_at
         FROM stg_inventory LEFT JOIN dim_warehouse_dbt USING (warehouse_id)
         LEFT JOIN (SELECT product_id, product_key, unit_cost_usd FROM dim_product_dbt) USING (product_id)""",
     "fact_deliveries": f"""SELECT s.shipment_id, s.order_id, customer_key, supplier_key, warehouse_key,

@@ -29,8 +29,8 @@ def test_coerce_int_truncates_and_defaults(rows):
     assert values(rows, ODD_NUMBERS, c.coerce_int_default(F.col("t"), 50)) == [12, 5, 50, 50, 50, 50, 50, 50, 50, 1000, -3]
 
 
-def test_coerce_int_is_null_beyond_the_type(rows):
-    assert values(rows, ["99999999999"], c.coerce_int_default(F.col("t"), 1)) == [None]
+def test_coerce_int_keeps_large_numbers(rows):
+    assert values(rows, ["3000000000", "99999999999", "1e25"], c.coerce_int_default(F.col("t"), 1)) == [3000000000, 99999999999, 1]
 
 
 def test_number_default(rows):

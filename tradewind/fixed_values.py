@@ -20,7 +20,6 @@ MISSING_DATE_KEY = 20260101
 
 # Domains.
 TRANSIT_MODES = ["Air Freight", "Sea Freight", "Road Truckload", "Rail Express"]
-SHIPMENT_STATUSES = ["IN_TRANSIT", "DELIVERED", "DELAYED", "CUSTOMS_HOLD"]
 ACTIVE_STATUSES = ["IN_TRANSIT", "DELAYED"]
 
 # Origin system recorded on each raw table.

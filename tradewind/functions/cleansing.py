@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _WIDE = "decimal(28,8)"
+# Two digits after the point and all that _WIDE has before it: no readable number is lost.
+CENTS = "decimal(22,2)"
 
 
 def coerce_number(text: Column, dtype: str = _WIDE) -> Column:
@@ -23,8 +25,8 @@ def coerce_number_default(text: Column, default, dtype: str) -> Column:
 
 
 def coerce_int_default(text: Column, default: int) -> Column:
-    """Whole part of the number, ``default`` where there is none."""
-    return F.coalesce(text.try_cast(_WIDE), F.lit(default).cast(_WIDE)).try_cast("int")
+    """Whole part of the number as 64 bits, ``default`` where there is none."""
+    return F.coalesce(text.try_cast(_WIDE).try_cast("bigint"), F.lit(default).cast("bigint"))
 
 
 def parse_currency(text: Column, dtype: str = "decimal(12,2)", strict: bool = True) -> Column:

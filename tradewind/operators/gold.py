@@ -57,9 +57,8 @@ def dim_product(products: DataFrame) -> DataFrame:
 
 
 def dim_warehouse(warehouses: DataFrame) -> DataFrame:
-    """One row per building, so numbered by a plain window."""
     named = warehouses.withColumnsRenamed({"code": "warehouse_code", "name": "warehouse_name"})
-    return surrogate_key(named.drop("ingested_at"), "warehouse_id", "warehouse_key", rows_bounded=True)
+    return surrogate_key(named.drop("ingested_at"), "warehouse_id", "warehouse_key")
 
 
 def dim_customer(customers: DataFrame) -> DataFrame:
@@ -190,7 +189,7 @@ def fact_inventory(inventory: DataFrame, warehouses: DataFrame, products: DataFr
         "reorder_level",
         "safety_stock",
         "is_low_stock",
-        (F.col("quantity_on_hand") * F.col("unit_cost_usd")).cast("decimal(14,2)").alias("inventory_value_usd"),
+        (F.col("quantity_on_hand") * F.col("unit_cost_usd")).cast("decimal(33,2)").alias("inventory_value_usd"),
         "last_counted_at",
     )
 

@@ -34,17 +34,12 @@ def numbered(df: DataFrame, *order: Column, position: str) -> DataFrame:
     return joined.select((F.col("_before") + place + 1).alias(position), *df.columns)
 
 
-def surrogate_key(df: DataFrame, natural_id: str, key: str, rows_bounded: bool = False) -> DataFrame:
+def surrogate_key(df: DataFrame, natural_id: str, key: str) -> DataFrame:
     """Number the rows 1..n by ``natural_id``; a missing id comes last.
 
-    ``rows_bounded`` promises a table that stays small whatever the facts grow
-    to, such as warehouses; it is numbered by one plain window.  For another
-    order, say that of arrival, use ``numbered``.
+    For another order, say that of arrival, use ``numbered``.
     """
-    order = F.col(natural_id).asc_nulls_last()
-    if rows_bounded:
-        return df.select(F.row_number().over(Window.orderBy(order)).cast("bigint").alias(key), "*")
-    return numbered(df, order, position=key)
+    return numbered(df, F.col(natural_id).asc_nulls_last(), position=key)
 
 
 def dense_rank_desc(df: DataFrame, group: str, value: str, rank: str) -> DataFrame:

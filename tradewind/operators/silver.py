@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tradewind import fixed_values as fixed
 from tradewind.functions import measures as m
 from tradewind.functions.cleansing import (
+    CENTS,
     coerce_int_default,
     coerce_number,
     coerce_number_default,
@@ -33,7 +34,7 @@ def _unique_rows(raw: DataFrame, table: str, arrival: str | None) -> DataFrame:
 
 
 def silver_suppliers(raw: DataFrame, arrival: str | None = ARRIVAL) -> DataFrame:
-    rating = coerce_number_default(F.col("rating"), fixed.DEFAULT_RATING, "decimal(3,2)")
+    rating = coerce_number_default(F.col("rating"), fixed.DEFAULT_RATING, CENTS)
     rows = _unique_rows(raw, "raw_suppliers", arrival)
     return rows.withColumns({"rating": rating, "is_active": F.lit(True)})
 
@@ -55,7 +56,7 @@ def silver_products(raw: DataFrame, arrival: str | None = ARRIVAL, strict: bool
         "name",
         "category",
         parse_currency(F.col("unit_cost"), strict=strict).alias("unit_cost_usd"),
-        coerce_number_default(F.col("weight_kg"), fixed.DEFAULT_WEIGHT_KG, "decimal(10,2)").alias("weight_kg"),
+        coerce_number_default(F.col("weight_kg"), fixed.DEFAULT_WEIGHT_KG, CENTS).alias("weight_kg"),
         "supplier_id",
     )
 
@@ -78,7 +79,7 @@ def silver_orders(raw: DataFrame, arrival: str | None = ARRIVAL, strict: bool =
         "supplier_id",
         "quantity",
         "unit_price_usd",
-        (F.col("quantity") * F.col("unit_price_usd")).cast("decimal(14,2)").alias("total_amount_usd"),
+        (F.col("quantity") * F.col("unit_price_usd")).cast("decimal(33,2)").alias("total_amount_usd"),
         default_value(F.col("currency"), fixed.DEFAULT_CURRENCY).alias("original_currency"),
         coerce_timestamp(F.col("order_date")).alias("order_date"),
         coerce_timestamp(F.col("required_date")).alias("required_date"),
@@ -123,8 +124,8 @@ def silver_iot(raw: DataFrame, arrival: str | None = ARRIVAL, limit_c: float = f
             "is_temp_breach": breach,
             "latitude": coerce_number(F.col("latitude"), "decimal(9,6)"),
             "longitude": coerce_number(F.col("longitude"), "decimal(9,6)"),
-            "temperature_c": coerce_number(F.col("temperature_c"), "decimal(5,2)"),
-            "humidity_pct": coerce_number(F.col("humidity_pct"), "decimal(5,2)"),
+            "temperature_c": coerce_number(F.col("temperature_c"), CENTS),
+            "humidity_pct": coerce_number(F.col("humidity_pct"), CENTS),
             "battery_level": coerce_int_default(F.col("battery_level"), fixed.DEFAULT_BATTERY_LEVEL),
             "recorded_at": coerce_timestamp(F.col("recorded_at")),
         }

@@ -8,7 +8,6 @@ once however many tables are built from it.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property, partial
@@ -51,7 +50,7 @@ class Medallion:
         self._raw, self._strict = raw, strict_raw or raw
         self.arrival, self.missing_date_key = arrival, missing_date_key
         self._keep = keep or (lambda frame, label: frame)
-        self._locks: defaultdict[str, RLock] = defaultdict(RLock)
+        self._locks = {name: RLock() for name, kind in vars(Medallion).items() if isinstance(kind, _table)}
 
     @staticmethod
     def _feed(feeds, name: str) -> DataFrame:

@@ -16,7 +16,6 @@ from tradewind.sources.shared import fresh_path
 from tradewind.streaming import jobs, state, transforms
 
 SNAPSHOT_DAYS = ["2001-12-30", "2001-12-31"]
-ROWS_PER_ARRAY_FILE = 1000
 
 
 def _read_layer(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,8 +46,7 @@ def _read_bronze_json(spark: SparkSession, folder: str) -> DataFrame:
     products = feeds.raw_products(DriverTables(spark, folder), strict=True).select(*schemas.RAW_COLUMNS["raw_products"])
     numeric = products.withColumn("weight_kg", F.col("weight_kg").cast("double"))
     path = fresh_path(spark, "bronze-json")
-    arrays = max(1, products.count() // ROWS_PER_ARRAY_FILE)
-    files.write_bronze_json(numeric, path, "product_id", arrays)
+    files.write_bronze_json(numeric, path, "product_id", int(spark.conf.get("spark.sql.shuffle.partitions")))
     return files.read_bronze_json(spark, path, products.schema).drop("file")
 
 

@@ -14,9 +14,8 @@ from tradewind.operators import forecasting, kpis, quality, reports, scorecards
 from tradewind.plans.medallion import Medallion
 from tradewind.plans.registered_io import IO, STREAMS
 from tradewind.plans.registered_kernels import KERNELS, QUALITY
-from tradewind.session import configure, size_shuffles
+from tradewind.session import configure
 from tradewind.sources import driver_tables
-from tradewind.sources.files import input_bytes
 from tradewind.sources.shared import fresh_path, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,24 +44,11 @@ def landed(spark: SparkSession, folder: str, feed: str, strict: bool = False) ->
     return reader.parquet(path)
 
 
-# Folders whose size has been looked at: (application, folder).
-_SIZED: set[tuple[str, str]] = set()
-
-
-def _size_shuffles(spark: SparkSession, folder: str) -> None:
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _SIZED:
-        paths = [f"{folder}/{table}.parquet" for table in ("lineitem", "orders", "events")]
-        size_shuffles(spark, input_bytes(spark, *paths))
-        _SIZED.add(key)
-
-
 def medallion(
     spark: SparkSession, folder: str, write_cleansed: bool = False, strict: bool = False
 ) -> Medallion:
     """All tables over a folder; ``strict`` cleanses the castable feeds as well."""
     configure(spark)
-    _size_shuffles(spark, folder)
     castable = {feed: partial(landed, spark, folder, feed, strict=True) for feed in schemas.RAW}
     usual = {feed: partial(landed, spark, folder, feed) for feed in schemas.RAW}
     return Medallion(castable if strict else usual, castable, keep=staged if write_cleansed else None)
@@ -112,10 +98,6 @@ GOLD = {
     "fact_deliveries": lambda m: m.fact_deliveries,
 }
 
-CATEGORIES = ["ECONOMY", "SMALL", "MEDIUM", "LARGE", "STANDARD", "PROMO"]
-
-
-
 def _executive_kpi_summary(m: Medallion) -> DataFrame:
     m.prefetch("fact_orders", "fact_shipments", "fact_inventory")
     return reports.executive_kpi_summary(m.fact_orders, m.fact_shipments, m.fact_inventory, unique_ids=True)
@@ -142,7 +124,7 @@ KPIS = {
     "inventory_watchlist": lambda m: kpis.inventory_watchlist(m.inventory, m.warehouses, m.products),
     "warehouse_utilization": lambda m: kpis.warehouse_utilization(m.inventory, m.warehouses),
     "shipment_lead_time": lambda m: kpis.shipment_lead_time(m.shipments),
-    "stock_heatmap": lambda m: kpis.stock_heatmap(m.inventory, m.products, CATEGORIES),
+    "stock_heatmap": lambda m: kpis.stock_heatmap(m.inventory, m.products),
 }
 
 

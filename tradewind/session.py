@@ -19,11 +19,6 @@ SQL_SETTINGS = {
     ),
 }
 
-SHUFFLE_PARTITION_BYTES = 256 << 20
-MAX_SHUFFLE_PARTITIONS = 100_000
-_PARTITIONS = "spark.sql.shuffle.partitions"
-
-
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the SQL settings to a session somebody else created."""
     for key, value in SQL_SETTINGS.items():
@@ -31,18 +26,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Raise the number of shuffle partitions to suit the input; never lower it.
-
-    Adaptive execution merges partitions that turn out small but can not add
-    any, so a number fit for megabytes would spill on terabytes.
-    """
-    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
-    partitions = max(int(spark.conf.get(_PARTITIONS)), wanted)
-    spark.conf.set(_PARTITIONS, str(partitions))
-    return partitions
-
-
 def local_session(name: str, cores: str = "8", memory: str = "12g") -> SparkSession:
     """Session for tests and benches on one machine; clusters bring their own."""
     spark = (

@@ -40,44 +40,26 @@ SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
-# Tables that grow with the facts, and a column that spreads their rows.
-_SPREAD_BY = {"lineitem": "l_orderkey", "events": "event_id"}
-
-
 class DriverTables:
-    """Named access to ``<folder>/<table>.parquet``.
-
-    A large table in fewer files than there are cores would be read, and all
-    that follows up to the first shuffle done, by a few tasks; such a table is
-    spread over the cores once.  A table in many files is left as it is.
-    """
+    """Named access to ``<folder>/<table>.parquet``, one file or a folder of part files."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = configure(spark)
         self.folder = folder.rstrip("/")
-        self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, table: str) -> DataFrame:
-        if table not in self._frames:
-            rows = self._files(table)
-            self._frames[table] = self._spread(table, rows) if self._is_few_files(table) else rows
-        return self._frames[table]
-
-    def stream(self, table: str) -> DataFrame:
-        """The table as an unbounded file source."""
-        source = self.spark.readStream.schema(SCHEMAS[table]).option("pathGlobFilter", f"{table}.parquet")
-        rows = source.parquet(self.folder)
-        return self._spread(table, rows) if self._is_few_files(table) else rows
-
-    def _files(self, table: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[table]).parquet(f"{self.folder}/{table}.parquet")
 
-    def _is_few_files(self, table: str) -> bool:
-        cores = self.spark.sparkContext.defaultParallelism
-        return table in _SPREAD_BY and len(self._files(table).inputFiles()) < cores
+    def stream(self, table: str, files_per_batch: int | None = None) -> DataFrame:
+        """The table as an unbounded file source, ``files_per_batch`` files at a time.
 
-    def _spread(self, table: str, rows: DataFrame) -> DataFrame:
-        return rows.repartition(self.spark.sparkContext.defaultParallelism, _SPREAD_BY[table])
+        The path is a pattern that matches this one name, so that a single file
+        is taken as well as a folder.
+        """
+        source = self.spark.readStream.schema(SCHEMAS[table])
+        if files_per_batch:
+            source = source.option("maxFilesPerTrigger", files_per_batch)
+        return source.parquet(f"{self.folder}/{table}.parque[t]")
 
 
 def _id(prefix: str, key: Column, width: int = 10) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,13 +49,15 @@ def read_bronze_json(spark: SparkSession, path: str, schema: T.StructType, array
 def write_bronze_json(df: DataFrame, path: str, unique_id: str, files: int) -> None:
     """Write ``files`` JSON arrays, rows spread over them by a unique id.
 
-    One array is built in one task, so choose ``files`` to give each some
-    thousands of rows; ``unique_id`` keeps them even.
+    A file's rows are written as lines in the order of the id, the first behind
+    an opening and the last before a closing bracket; no array is gathered.
     """
     bucket = F.pmod(F.xxhash64(unique_id), F.lit(files))
-    row = F.struct(*df.columns)
-    arrays = df.groupBy(bucket.alias("file")).agg(F.to_json(F.collect_list(row)).alias("value"))
-    arrays.write.mode("overwrite").partitionBy("file").text(path)
+    rows = df.select(bucket.alias("file"), F.col(unique_id).alias("_id"), F.to_json(F.struct(*df.columns)).alias("line"))
+    placed = Window.partitionBy("file").orderBy("_id")
+    first, last = F.lag("_id").over(placed).isNull(), F.lead("_id").over(placed).isNull()
+    text = F.concat(F.when(first, "[").otherwise(","), "line", F.when(last, "]").otherwise(""))
+    rows.select("file", text.alias("value")).write.mode("overwrite").partitionBy("file").text(path)
 
 
 def write_layer(df: DataFrame, root: str, layer: str, table: str, if_exists: str = "replace") -> None:
@@ -73,12 +75,6 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int)
     return df.sparkSession.table(table)
 
 
-def input_bytes(spark: SparkSession, *paths: str) -> int:
-    """Size of the files below the paths; their contents are not read."""
-    sizes = spark.read.format("binaryFile").load(list(paths)).agg(F.sum("length"))
-    return int(sizes.first()[0] or 0)
-
-
 def write_lake_snapshot(df: DataFrame, root: str, layer: str, table: str, day: Column) -> None:
     """Write the rows under their ``ingest_date``; only the days present are replaced.
 

@@ -39,14 +39,15 @@ def land_bronze_stream(stream: DataFrame, table_path: str, archive_path: str, ch
     """Land each batch as table rows and as a JSON archive.
 
     Both go to a folder named after the batch, so a batch that runs twice
-    replaces itself.
+    replaces itself.  The archive is made from the written rows: the source is
+    read once and nothing is held.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        batch.write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
-        batch.write.mode("overwrite").json(f"{archive_path}/batch_id={batch_id}")
-        batch.unpersist()
+        rows = f"{table_path}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(rows)
+        written = batch.sparkSession.read.schema(batch.schema).parquet(rows)
+        written.write.mode("overwrite").json(f"{archive_path}/batch_id={batch_id}")
 
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
