@@ -1,5 +1,6 @@
 """Kernels, data-quality rules and scores in DuckDB SQL."""
 
+from oracle.tables import _COLUMNS as FEED_COLUMNS
 from oracle.tables import query, stamp, whole
 
 KERNELS = {
@@ -110,6 +111,41 @@ def _contract(words: list[str]) -> tuple[str, str, str]:
 CONTRACT = [_contract(part.split()) for part in _CONTRACTS.replace("\n", "|").split("|") if part.strip()]
 
 
+_GOLD_CONTRACTS = """
+dim_supplier supplier_key | supplier_id supplier_name | supplier_id |
+dim_product product_key | product_id sku product_name | product_id |
+dim_warehouse warehouse_key | warehouse_id warehouse_code warehouse_name | warehouse_id |
+dim_customer customer_key | customer_id company_name | customer_id |
+dim_region region_key | region_name | region_name |
+dim_date date_key | full_date year quarter month month_name day_of_month day_of_week day_name is_weekend | full_date |
+fact_orders order_id | quantity unit_price_usd total_amount_usd order_status | | customer_key:dim_customer product_key:dim_product supplier_key:dim_supplier order_date_key:dim_date:date_key
+fact_shipments shipment_id | order_id | | origin_warehouse_key:dim_warehouse:warehouse_key shipped_date_key:dim_date:date_key delivery_date_key:dim_date:date_key
+fact_inventory inventory_id | quantity_on_hand reorder_level safety_stock | | warehouse_key:dim_warehouse_dbt product_key:dim_product_dbt snapshot_date_key:dim_date:date_key
+fact_deliveries shipment_id | order_id | | customer_key:dim_customer supplier_key:dim_supplier warehouse_key:dim_warehouse delivery_date_key:dim_date:date_key
+"""
+
+
+def _gold_contract(line: str) -> list[tuple[str, str, str]]:
+    head, required, unique, references = (part.split() for part in line.split("|"))
+    table, key = head
+    rules = []
+
+    def add(kind: str, column: str, violations: str) -> None:
+        rules.append(_rule(f"{table}_{column}_{kind}", "gold", table, kind, violations, source=table))
+
+    for column in [key, *required]:
+        add("not_null", column, _null(column))
+    for column in [key, *unique]:
+        add("unique", column, f"count({column}) - count(DISTINCT {column})")
+    for reference in references:
+        column, parent, *other = reference.split(":")
+        add("reference", column, _orphans(column, parent, other[0] if other else column, nulls=False))
+    return rules
+
+
+CONTRACT += [rule for line in _GOLD_CONTRACTS.strip().splitlines() for rule in _gold_contract(line)]
+
+
 def _all(rules) -> str:
     return " UNION ALL ".join(sql for _, _, sql in rules)
 
@@ -122,22 +158,21 @@ _SUMMARY = f"""SELECT count(*) AS total_tests, count(*) FILTER (status = 'PASSED
     count(*) FILTER (status <> 'PASSED') AS failed,
     round_even(count(*) FILTER (status = 'PASSED') / count(*) * 100.0, 2) AS score_pct FROM ({_all(STANDING)})"""
 
-_ORDER_COLUMNS = "order_id customer_id product_id supplier_id quantity unit_price currency order_date required_date status".split()
-
 QUALITY = {
     f"dq_{kind}": _kind(kind)
     for kind in ("not_empty", "not_null", "unique", "positive", "non_negative", "foreign_key", "range", "min_count")
 } | {
     "dq_null_rate": " UNION ALL ".join(
-        f"""SELECT 'raw_orders' AS entity, '{c}' AS column_name, count(*) AS checked_rows, count(*) - count({c}) AS null_rows,
-        (count(*) - count({c})) / count(*) AS null_rate FROM raw_orders"""
-        for c in _ORDER_COLUMNS
+        f"""SELECT 'raw_{feed}' AS entity, '{c}' AS column_name, count(*) AS checked_rows, count(*) - count({c}) AS null_rows,
+        (count(*) - count({c})) / count(*) AS null_rate FROM raw_{feed}"""
+        for feed, columns in FEED_COLUMNS.items()
+        for c in columns.split()
     ),
     "dq_freshness": " UNION ALL ".join(
         f"""SELECT '{name}' AS entity, newest, (epoch_us(TIMESTAMP '2001-12-31 12:00:00') - epoch_us(newest)) / 3600000000.0 AS age_hours,
         CASE WHEN newest >= TIMESTAMP '2001-12-29 12:00:00' THEN 'PASSED' ELSE 'FAILED' END AS status
         FROM (SELECT max(ingested_at) AS newest FROM {name})"""
-        for name in ("raw_orders", "raw_customers", "raw_products")
+        for name in [f"raw_{feed}" for feed in FEED_COLUMNS]
     ),
     "dq_run_rules": _all(DECLARED),
     "dq_report": _all(STANDING),

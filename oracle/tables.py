@@ -119,8 +119,11 @@ CTES |= {
             CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
             monthname(d) AS month_name, CAST(day(d) AS INTEGER) AS day_of_month,
             CAST(isodow(d) AS INTEGER) AS day_of_week, dayname(d) AS day_name, isodow(d) IN (6, 7) AS is_weekend
-        FROM (SELECT unnest(generate_series(date_trunc('day', min(order_date)), date_trunc('day', max(order_date)),
-                                            INTERVAL 1 DAY)) AS d FROM silver_orders)""",
+        FROM (SELECT unnest(generate_series(date_trunc('day', min(moment)), date_trunc('day', max(moment)), INTERVAL 1 DAY)) AS d
+              FROM (SELECT order_date AS moment FROM silver_orders UNION ALL SELECT shipped_at FROM silver_shipments
+                    UNION ALL SELECT actual_delivery_at FROM silver_shipments
+                    UNION ALL SELECT last_counted_at FROM stg_inventory)
+              UNION SELECT TIMESTAMP '2026-01-01')""",
     "dim_supplier": keyed("silver_suppliers", "supplier_id", "supplier_key", "* RENAME (name AS supplier_name)"),
     "dim_product": keyed("silver_products", "product_id", "product_key", "* RENAME (name AS product_name)"),
     "dim_warehouse": keyed("silver_warehouses", "warehouse_id", "warehouse_key", "* RENAME (code AS warehouse_code, name AS warehouse_name)"),

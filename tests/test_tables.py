@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewind import schemas
 from tradewind.operators import gold, kpis, reports, silver, staging
+from tradewind.plans import registry
 
 LOADED = dt.datetime(2026, 8, 13)
 
@@ -125,7 +126,36 @@ def test_dim_date_defaults_to_2026(spark):
 
 
 def test_dim_date_covering_nothing_is_empty(rows):
-    assert gold.dim_date_covering(rows("at timestamp", [(None,)]), "at").count() == 0
+    assert gold.dim_date_covering((rows("at timestamp", [(None,)]), ["at"])).count() == 0
+
+
+def test_dim_date_covers_all_columns_and_the_missing_date(rows):
+    one = rows("a timestamp, b timestamp", [(dt.datetime(2026, 1, 5), None), (None, dt.datetime(2026, 1, 3, 23))])
+    two = rows("c timestamp", [(dt.datetime(2026, 1, 6, 1),)])
+    days = gold.dim_date_covering((one, ["a", "b"]), (two, ["c"]), missing_date_key=20260101)
+    assert sorted(d.date_key for d in days.collect()) == [20260101, 20260103, 20260104, 20260105, 20260106]
+
+
+def test_every_date_key_has_its_day_and_months_add_up(spark):
+    m = registry.medallion(spark, "/root/testdata/sf0.001")
+    days = m.dim_date.select(F.col("date_key").alias("key"))
+    keys = m.fact_orders.select(F.col("order_date_key").alias("key"))
+    keys = keys.union(m.fact_shipments.select("shipped_date_key")).union(m.fact_shipments.select("delivery_date_key"))
+    keys = keys.union(m.fact_deliveries.select("delivery_date_key")).union(m.fact_inventory.select("snapshot_date_key"))
+    assert keys.filter("key IS NOT NULL").join(days, "key", "left_anti").isEmpty()
+    months = reports.monthly_revenue_mom(m.fact_orders, m.dim_date, unique_ids=True)
+    assert months.agg(F.sum("monthly_revenue_usd")).first() == m.fact_orders.agg(F.sum("total_amount_usd")).first()
+
+
+def test_readable_numbers_beyond_the_declared_range_stay(feed):
+    raw = feed("raw_suppliers", ("S1", "A", "a@b", "US", "R", "T", "12.5"))
+    assert silver.silver_suppliers(raw).first().rating == Decimal("12.50")
+
+
+def test_a_new_category_keeps_its_stock(rows):
+    stock = rows("product_id string, warehouse_id string, quantity_on_hand bigint", [("P1", "W", 5), ("P2", "W", 7)])
+    products = rows("product_id string, category string", [("P1", "SMALL"), ("P2", "NEWCAT")])
+    assert {(r.category, r.units) for r in kpis.stock_heatmap(stock, products).collect()} == {("SMALL", 5), ("NEWCAT", 7)}
 
 
 @pytest.fixture

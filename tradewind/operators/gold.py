@@ -7,6 +7,8 @@ size allows and otherwise shuffles both sides, splitting hot keys at run time.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,11 +39,33 @@ def dim_date(spark: SparkSession, start: str = fixed.CALENDAR_START, days: int =
     return _calendar(offsets, F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")))
 
 
-def dim_date_covering(df: DataFrame, moment: str) -> DataFrame:
-    """Every day from the first to the last of a timestamp column."""
-    span = df.agg(F.min(F.to_date(moment)).alias("lo"), F.max(F.to_date(moment)).alias("hi"))
-    days = span.filter(F.col("lo").isNotNull()).select(F.explode(F.sequence("lo", "hi")).alias("day"))
-    return _calendar(days, F.col("day"))
+def dim_date_covering(*tables: tuple[DataFrame, list[str]], missing_date_key: int | None = None) -> DataFrame:
+    """Every day from the first to the last of the given timestamp columns of the given tables.
+
+    ``missing_date_key`` adds the day that facts name in place of a missing
+    date, so that each of their date keys has its row.
+    """
+    spans = [
+        rows.agg(
+            F.least(*[F.min(F.to_date(c)) for c in columns], F.lit(None)).alias("lo"),
+            F.greatest(*[F.max(F.to_date(c)) for c in columns], F.lit(None)).alias("hi"),
+        )
+        for rows, columns in tables
+    ]
+    span = reduce(DataFrame.union, spans).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    days = F.when(F.col("lo").isNotNull(), F.sequence("lo", "hi")).otherwise(F.array().cast("array<date>"))
+    if missing_date_key is not None:
+        stand_in = F.to_date(F.lit(str(missing_date_key)), "yyyyMMdd")
+        days = F.array_union(days, F.array(stand_in))
+    return _calendar(span.select(F.explode(days).alias("day")), F.col("day"))
+
+
+# What the facts take their date keys from.
+FACT_MOMENTS = {
+    "orders": ["order_date"],
+    "shipments": ["shipped_at", "actual_delivery_at"],
+    "inventory": ["last_counted_at"],
+}
 
 
 def dim_supplier(suppliers: DataFrame) -> DataFrame:

@@ -136,8 +136,10 @@ class Medallion:
 
     @_table
     def dim_date(self) -> DataFrame:
-        """Calendar over the order dates."""
-        return gold.dim_date_covering(self.orders, "order_date")
+        """Calendar over all dates of the facts."""
+        tables = {"orders": self.orders, "shipments": self.shipments, "inventory": self.stg_inventory}
+        spans = [(tables[name], columns) for name, columns in gold.FACT_MOMENTS.items()]
+        return gold.dim_date_covering(*spans, missing_date_key=self.missing_date_key)
 
     @_table
     def dim_supplier(self) -> DataFrame:

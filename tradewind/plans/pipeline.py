@@ -72,7 +72,10 @@ def run_pipeline(
         root,
         "gold",
         {
-            "dim_date": gold.dim_date_covering(silver["orders"], "order_date"),
+            "dim_date": gold.dim_date_covering(
+                *[(silver[name], columns) for name, columns in gold.FACT_MOMENTS.items()],
+                missing_date_key=source.missing_date_key,
+            ),
             "dim_supplier": gold.dim_supplier(silver["suppliers"]),
             "dim_product": gold.dim_product(silver["products"]),
             "dim_warehouse": gold.dim_warehouse(silver["warehouses"]),

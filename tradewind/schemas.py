@@ -98,3 +98,57 @@ SILVER_CONTRACTS = {
         "event_id", not_null=("device_id", "recorded_at"), references={"shipment_id": ("shipments", "shipment_id")}
     ),
 }
+
+# Constraints declared on the star schema.  Facts are told apart by
+# their business id, as their serial numbers are not kept.
+_DATE = ("dim_date", "date_key")
+GOLD_CONTRACTS = {
+    "dim_supplier": Contract("supplier_key", not_null=("supplier_id", "supplier_name"), unique=("supplier_id",)),
+    "dim_product": Contract("product_key", not_null=("product_id", "sku", "product_name"), unique=("product_id",)),
+    "dim_warehouse": Contract("warehouse_key", not_null=("warehouse_id", "warehouse_code", "warehouse_name"), unique=("warehouse_id",)),
+    "dim_customer": Contract("customer_key", not_null=("customer_id", "company_name"), unique=("customer_id",)),
+    "dim_region": Contract("region_key", not_null=("region_name",), unique=("region_name",)),
+    "dim_date": Contract(
+        "date_key",
+        not_null=("full_date", "year", "quarter", "month", "month_name", "day_of_month", "day_of_week", "day_name", "is_weekend"),
+        unique=("full_date",),
+    ),
+    "fact_orders": Contract(
+        "order_id",
+        not_null=("quantity", "unit_price_usd", "total_amount_usd", "order_status"),
+        references={
+            "customer_key": ("dim_customer", "customer_key"),
+            "product_key": ("dim_product", "product_key"),
+            "supplier_key": ("dim_supplier", "supplier_key"),
+            "order_date_key": _DATE,
+        },
+    ),
+    "fact_shipments": Contract(
+        "shipment_id",
+        not_null=("order_id",),
+        references={
+            "origin_warehouse_key": ("dim_warehouse", "warehouse_key"),
+            "shipped_date_key": _DATE,
+            "delivery_date_key": _DATE,
+        },
+    ),
+    "fact_inventory": Contract(
+        "inventory_id",
+        not_null=("quantity_on_hand", "reorder_level", "safety_stock"),
+        references={
+            "warehouse_key": ("dim_warehouse_dbt", "warehouse_key"),
+            "product_key": ("dim_product_dbt", "product_key"),
+            "snapshot_date_key": _DATE,
+        },
+    ),
+    "fact_deliveries": Contract(
+        "shipment_id",
+        not_null=("order_id",),
+        references={
+            "customer_key": ("dim_customer", "customer_key"),
+            "supplier_key": ("dim_supplier", "supplier_key"),
+            "warehouse_key": ("dim_warehouse", "warehouse_key"),
+            "delivery_date_key": _DATE,
+        },
+    ),
+}
