@@ -1,10 +1,10 @@
 """Finding secrets: fixed patterns, and strings that look random to Markov models.
 
 Two character Markov models are fitted on strings the patterns label in a bounded
-sample of texts: the values they match are random strings, all other
-words of eight and more characters are ordinary identifiers.  A long
-string of letters and digits is a secret when it is far likelier under the
-first model.  The models are one array of 64 x 64 log ratios.
+sample of texts: the values they match are random strings, other
+words of eight and more characters are ordinary identifiers.  Long
+strings of letters and digits have no label: they are what the models judge.  Such a string
+is a secret when it is far likelier under the first model.  The models are one array of 64 x 64 log ratios.
 
 Everything is a column expression.  Positions come from marking the
 matches: a control character is set around each, and the lengths of
@@ -39,8 +39,9 @@ SAMPLE_TEXTS = 20_000
 #: Nats by which the random model must be ahead, in all and per character.
 AHEAD = 12.0
 AHEAD_EACH = 0.5
-# Pseudo-counts: random strings may hold any pair, identifiers those they were seen with.
-_RANDOM_EACH, _ORDINARY_EACH = 1.0, 0.1
+# Weights of what unseen transitions fall back to: any character in random strings,
+# in identifiers those that follow others there.
+_RANDOM_WEIGHT, _ORDINARY_WEIGHT, _ORDINARY_EACH = 64.0, 6.4, 0.1
 
 MASK = "[secret]"
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
@@ -77,6 +78,10 @@ def _base_spans(text: Column) -> Column:
     return F.concat(_spans(text, ASSIGN, 0, valued), _spans(text, ACCESS, 1, _always), _spans(text, HEX, 2, _always))
 
 
+def _mixed(word: Column) -> Column:
+    return word.rlike("[0-9]") & word.rlike("[A-Za-z]")
+
+
 def _pairs(word: Column) -> Column:
     """Numbers of the character pairs of a string, 64 * first + second."""
     places = F.transform(F.split(word, ""), lambda c: F.greatest(F.instr(F.lit(ALPHABET), c), F.lit(1)) - 1)
@@ -95,11 +100,12 @@ def _log_ratios(docs: DataFrame) -> Column:
         F.regexp_extract_all("text", F.lit(HEX), F.lit(0)),
     )
     rest = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ")
+    ordinary = F.filter(F.regexp_extract_all(rest, F.lit(ORDINARY), F.lit(0)), lambda v: ~(v.rlike(CANDIDATE) & _mixed(v)))
     labelled = chosen.select(
         F.explode(
             F.concat(
                 F.transform(F.filter(values, lambda v: F.length(v) >= ASSIGN_VALUE), lambda v: F.struct(v.alias("word"), F.lit(True).alias("random"))),
-                F.transform(F.regexp_extract_all(rest, F.lit(ORDINARY), F.lit(0)), lambda v: F.struct(v.alias("word"), F.lit(False).alias("random"))),
+                F.transform(ordinary, lambda v: F.struct(v.alias("word"), F.lit(False).alias("random"))),
             )
         ).alias("sample")
     )
@@ -109,27 +115,31 @@ def _log_ratios(docs: DataFrame) -> Column:
     cells = F.map_from_entries(F.collect_list(F.struct("pair", F.struct(F.col("r").cast("double").alias("r"), F.col("o").cast("double").alias("o")))))
 
     def laid_out(cells: Column) -> Column:
+        places = F.sequence(F.lit(0), F.lit(_SIZE - 1))
+
         def at(pair: Column, field: str) -> Column:
             return F.coalesce(F.try_element_at(cells, pair)[field], F.lit(0.0))
 
-        def row(first: Column) -> Column:
-            marks = F.transform(F.sequence(F.lit(0), F.lit(_SIZE - 1)), lambda second: first * _SIZE + second)
-            counts = F.transform(marks, lambda p: F.struct(at(p, "r").alias("r"), at(p, "o").alias("o")))
-            sums = F.aggregate(
-                counts,
-                F.struct(F.lit(0.0).alias("r"), F.lit(0.0).alias("o")),
-                lambda s, c: F.struct((s["r"] + c["r"]).alias("r"), (s["o"] + c["o"]).alias("o")),
-            )
+        def total(values: Column) -> Column:
+            return F.aggregate(values, F.lit(0.0), lambda t, x: t + x)
+
+        def row(first: Column, seconds: Column) -> Column:
+            """One first character: log ratios for all second ones; ``seconds`` are shares of second ones in identifiers."""
+            random = F.transform(places, lambda second: at(first * _SIZE + second, "r"))
+            ordinary = F.transform(places, lambda second: at(first * _SIZE + second, "o"))
             return let(
-                F.struct(counts.alias("counts"), sums.alias("sums")),
-                lambda x: F.transform(
-                    x["counts"],
-                    lambda c: F.log((c["r"] + _RANDOM_EACH) / (x["sums"]["r"] + _RANDOM_EACH * _SIZE))
-                    - F.log((c["o"] + _ORDINARY_EACH) / (x["sums"]["o"] + _ORDINARY_EACH * _SIZE)),
+                F.struct(total(random).alias("r"), total(ordinary).alias("o")),
+                lambda sums: F.zip_with(
+                    random,
+                    F.zip_with(ordinary, seconds, lambda n, share: F.struct(n.alias("n"), share.alias("share"))),
+                    lambda r, o: F.log((r + _RANDOM_WEIGHT / _SIZE) / (sums["r"] + _RANDOM_WEIGHT))
+                    - F.log((o["n"] + o["share"] * _ORDINARY_WEIGHT) / (sums["o"] + _ORDINARY_WEIGHT)),
                 ),
             )
 
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(_SIZE - 1)), row))
+        seconds = F.transform(places, lambda second: total(F.transform(places, lambda first: at(first * _SIZE + second, "o"))))
+        shares = let(seconds, lambda n: F.transform(n, lambda x: (x + _ORDINARY_EACH) / (total(n) + _ORDINARY_EACH * _SIZE)))
+        return let(shares, lambda share: F.flatten(F.transform(places, lambda first: row(first, share))))
 
     return constant(seen.agg(let(cells, laid_out)).first()[0])
 
@@ -140,7 +150,7 @@ def _judged(text: Column, base: Column, ratios: Column) -> Column:
     def random(piece: Column) -> Column:
         ahead = F.aggregate(_pairs(piece), F.lit(0.0), lambda total, pair: total + F.element_at(ratios, pair + 1))
         likelier = let(ahead, lambda a: (a >= AHEAD) & (a >= AHEAD_EACH * F.length(piece)))
-        return piece.rlike("[0-9]") & piece.rlike("[A-Za-z]") & likelier
+        return _mixed(piece) & likelier
 
     found = _spans(text, CANDIDATE, 3, random)
     return F.filter(found, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
