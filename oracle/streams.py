@@ -58,6 +58,7 @@ BODIES = {
     "bounded_ingest": _PARSED,
     "land_bronze_stream": _PARSED,
     "enrich_iot_stream": _ENRICHED,
+    "console_sink": f"SELECT count(*) AS readings, count(*) FILTER (is_temp_breach) AS breaches FROM ({_ENRICHED})",
     "breach_alerts": f"SELECT * FROM ({_ENRICHED}) WHERE is_temp_breach",
     "unique_events": f"""SELECT DISTINCT * REPLACE (CAST(recorded_at AS TIMESTAMP) AS recorded_at) FROM ({_PARSED})
         WHERE event_id IS NOT NULL""",

@@ -35,8 +35,8 @@ class Medallion:
     ``raw`` maps feed names (``raw_orders``) to frames or to functions giving
     them.  ``strict_raw`` holds the feeds of the staged path, which stops at
     text it cannot cast; by default the same feeds.  ``keep`` is applied to
-    each cleansed table, for instance to write it and go on from the copy where
-    several plans read it.
+    each cleansed table, ``keep_star`` to each dimension and fact, for instance to
+    write it and go on from the copy where several plans read it.
     """
 
     def __init__(
@@ -46,10 +46,12 @@ class Medallion:
         arrival: str | None = silver.ARRIVAL,
         missing_date_key: int | None = fixed.MISSING_DATE_KEY,
         keep: Callable[[DataFrame, str], DataFrame] | None = None,
+        keep_star: Callable[[DataFrame, str], DataFrame] | None = None,
     ):
         self._raw, self._strict = raw, strict_raw or raw
         self.arrival, self.missing_date_key = arrival, missing_date_key
         self._keep = keep or (lambda frame, label: frame)
+        self._star = keep_star or (lambda frame, label: frame)
         self._locks = {name: RLock() for name, kind in vars(Medallion).items() if isinstance(kind, _table)}
 
     @staticmethod
@@ -139,68 +141,68 @@ class Medallion:
         """Calendar over all dates of the facts."""
         tables = {"orders": self.orders, "shipments": self.shipments, "inventory": self.stg_inventory}
         spans = [(tables[name], columns) for name, columns in gold.FACT_MOMENTS.items()]
-        return gold.dim_date_covering(*spans, missing_date_key=self.missing_date_key)
+        return self._star(gold.dim_date_covering(*spans, missing_date_key=self.missing_date_key), "dim-date")
 
     @_table
     def dim_supplier(self) -> DataFrame:
-        return gold.dim_supplier(self.suppliers)
+        return self._star(gold.dim_supplier(self.suppliers), "dim-supplier")
 
     @_table
     def dim_product(self) -> DataFrame:
-        return gold.dim_product(self.products)
+        return self._star(gold.dim_product(self.products), "dim-product")
 
     @_table
     def dim_warehouse(self) -> DataFrame:
-        return gold.dim_warehouse(self.warehouses)
+        return self._star(gold.dim_warehouse(self.warehouses), "dim-warehouse")
 
     @_table
     def dim_customer(self) -> DataFrame:
-        return gold.dim_customer(self.customers)
+        return self._star(gold.dim_customer(self.customers), "dim-customer")
 
     @_table
     def dim_region(self) -> DataFrame:
-        return gold.dim_region(self.customers, self.suppliers)
+        return self._star(gold.dim_region(self.customers, self.suppliers), "dim-region")
 
     @_table
     def dim_product_dbt(self) -> DataFrame:
-        return gold.dim_product(self.stg_products)
+        return self._star(gold.dim_product(self.stg_products), "dim-product-dbt")
 
     @_table
     def dim_supplier_dbt(self) -> DataFrame:
-        return gold.dim_supplier(self.stg_suppliers)
+        return self._star(gold.dim_supplier(self.stg_suppliers), "dim-supplier-dbt")
 
     @_table
     def dim_warehouse_dbt(self) -> DataFrame:
-        return gold.dim_warehouse(self.stg_warehouses)
+        return self._star(gold.dim_warehouse(self.stg_warehouses), "dim-warehouse-dbt")
 
     @_table
     def fact_orders(self) -> DataFrame:
         self.prefetch("dim_supplier", "dim_product", "dim_customer")
         dims = (self.dim_supplier, self.dim_product, self.dim_customer)
-        return gold.fact_orders(self.orders, *dims, missing_date_key=self.missing_date_key)
+        return self._star(gold.fact_orders(self.orders, *dims, missing_date_key=self.missing_date_key), "fact-orders")
 
     @_table
     def fact_orders_dbt(self) -> DataFrame:
-        return gold.fact_orders_dbt(self.stg_orders, self.stg_suppliers)
+        return self._star(gold.fact_orders_dbt(self.stg_orders, self.stg_suppliers), "fact-orders-dbt")
 
     @_table
     def temp_breach_counts(self) -> DataFrame:
-        return gold.temp_breach_counts(self.iot_sensors)
+        return self._star(gold.temp_breach_counts(self.iot_sensors), "temp-breach-counts")
 
     @_table
     def fact_shipments(self) -> DataFrame:
-        return gold.fact_shipments(self.shipments, self.dim_warehouse, self.temp_breach_counts, self.missing_date_key)
+        return self._star(gold.fact_shipments(self.shipments, self.dim_warehouse, self.temp_breach_counts, self.missing_date_key), "fact-shipments")
 
     @_table
     def fact_shipments_dbt(self) -> DataFrame:
-        return gold.fact_shipments_dbt(self.stg_shipments, self.dim_warehouse_dbt)
+        return self._star(gold.fact_shipments_dbt(self.stg_shipments, self.dim_warehouse_dbt), "fact-shipments-dbt")
 
     @_table
     def fact_inventory(self) -> DataFrame:
-        return gold.fact_inventory(self.stg_inventory, self.dim_warehouse_dbt, self.dim_product_dbt)
+        return self._star(gold.fact_inventory(self.stg_inventory, self.dim_warehouse_dbt, self.dim_product_dbt), "fact-inventory")
 
     @_table
     def fact_deliveries(self) -> DataFrame:
         self.prefetch("dim_customer", "dim_supplier")
         dims = (self.dim_customer, self.dim_supplier, self.dim_warehouse)
-        return gold.fact_deliveries(self.shipments, self.orders, *dims)
+        return self._star(gold.fact_deliveries(self.shipments, self.orders, *dims), "fact-deliveries")

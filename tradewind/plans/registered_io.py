@@ -180,6 +180,17 @@ def _enrich_iot_stream(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.drained(_enriched(DriverTables(spark, folder)), "iot-enriched")
 
 
+def _console_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """The telemetry job printing to the console; readings and breaches as its progress reports them."""
+    observed = transforms.counting(_enriched(DriverTables(spark, folder)), "telemetry")
+    job = jobs.console_sink(observed).option("numRows", 1)
+    query = job.option("checkpointLocation", fresh_path(spark, "console")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    seen = [p["observedMetrics"]["telemetry"] for p in query.recentProgress if "telemetry" in p["observedMetrics"]]
+    counts = [(sum(s["readings"] for s in seen), sum(s["breaches"] for s in seen))]
+    return spark.createDataFrame(counts, "readings bigint, breaches bigint")
+
+
 def _breach_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.drained(transforms.breach_alerts(_enriched(DriverTables(spark, folder))), "iot-alerts")
 
@@ -283,6 +294,7 @@ STREAMS = {
     "parse_iot_stream": _parse_iot_stream,
     "enrich_iot_stream": _enrich_iot_stream,
     "breach_alerts": _breach_alerts,
+    "console_sink": _console_sink,
     "unique_events": _unique_events,
     "parse_shipment_stream": _parse_shipment_stream,
     "parse_tracking_events": _parse_tracking_events,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -15,7 +14,6 @@ from tradewind.operators import kpis, quality
 from tradewind.operators.dedup import dedup_keep_first, require_key
 from tradewind.operators.ordinals import surrogate_key
 from tradewind.plans.medallion import Medallion
-from tradewind.sources.shared import staged
 
 
 def _dedup_keep_first(m: Medallion) -> DataFrame:
@@ -122,15 +120,7 @@ def _summary(m: Medallion) -> DataFrame:
     return quality.dq_summary(_rules(quality.STANDING_CHECKS)(m))
 
 
-def _contract(m: Medallion) -> DataFrame:
-    """Constraints of the cleansed tables and of the star schema; facts and dimensions are written first."""
-    rules = quality.contract_rules(schemas.SILVER_CONTRACTS) + quality.contract_rules(schemas.GOLD_CONTRACTS, "gold")
-    gold = [*schemas.GOLD_CONTRACTS, "dim_product_dbt", "dim_warehouse_dbt"]
-    m.prefetch(*schemas.SILVER_CONTRACTS, *gold)
-    with ThreadPoolExecutor(len(gold)) as pool:
-        written = dict(zip(gold, pool.map(lambda name: staged(getattr(m, name), name), gold), strict=True))
-    tables = {**{name: getattr(m, name) for name in schemas.SILVER_CONTRACTS}, **written}
-    return quality.run_rules(m.raw("raw_warehouses").sparkSession, tables, rules).drop("error")
+_CONTRACT_RULES = quality.contract_rules(schemas.SILVER_CONTRACTS) + quality.contract_rules(schemas.GOLD_CONTRACTS, "gold")
 
 
 def _null_rate(m: Medallion) -> DataFrame:
@@ -163,6 +153,6 @@ QUALITY = {
     "dq_run_rules": _rules(quality.DECLARED_RULES),
     "dq_report": _rules(quality.STANDING_CHECKS),
     "dq_summary": _summary,
-    "dq_contract": _contract,
+    "dq_contract": _rules(_CONTRACT_RULES),
     "ops_metrics": _ops_metrics,
 }

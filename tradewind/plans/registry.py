@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import partial
+from threading import RLock
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -20,28 +21,43 @@ from tradewind.sources.shared import fresh_path, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Where a session has landed a raw feed: (application, folder, feed, strict) -> path.
-_LANDED: dict[tuple[str, str, str, bool], str] = {}
+# Where a session has landed a raw feed: (application, folder, feed, strict) -> (state of the files, path).
+_LANDED: dict[tuple[str, str, str, bool], tuple[str, str]] = {}
+_LANDING: dict[tuple[str, str, str, bool], RLock] = {}
+_LANDING_LOCK = RLock()
 
 
-def landed(spark: SparkSession, folder: str, feed: str, strict: bool = False) -> DataFrame:
+def _state(spark: SparkSession, folder: str) -> str:
+    """What the files of the driver's tables are by name, size and time; their contents are not read."""
+    paths = [f"{folder}/{table}.parquet" for table in driver_tables.SCHEMAS]
+    files = spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime")
+    return str(files.agg(F.count("*"), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first())
+
+
+def landed(spark: SparkSession, folder: str, feed: str, strict: bool = False, state: str | None = None) -> DataFrame:
     """A raw feed as a written table, derived from the driver's tables once per session.
 
     The raw layer is where the platform's own work starts; queries over the
     same folder share it instead of joining order lines to orders each time.
+    A feed is landed again once the folder's files have changed or the copy is gone.
     """
     key = (spark.sparkContext.applicationId, folder, feed, strict)
+    state = state or _state(spark, folder)
     reader = spark.read.schema(schemas.RAW[feed])
-    if key in _LANDED:
-        try:
-            return reader.parquet(_LANDED[key])
-        except AnalysisException:
-            # Somebody cleared the shared folder: land the feed again.
-            del _LANDED[key]
-    path = fresh_path(spark, feed)
-    getattr(driver_tables, feed)(driver_tables.DriverTables(spark, folder), strict).write.parquet(path)
-    _LANDED[key] = path
-    return reader.parquet(path)
+    with _LANDING_LOCK:
+        own = _LANDING.setdefault(key, RLock())
+    with own:
+        was, path = _LANDED.get(key, (None, None))
+        if was == state:
+            try:
+                return reader.parquet(path)
+            except AnalysisException as gone:
+                if gone.getCondition() != "PATH_NOT_FOUND":
+                    raise
+        path = fresh_path(spark, feed)
+        getattr(driver_tables, feed)(driver_tables.DriverTables(spark, folder), strict).write.parquet(path)
+        _LANDED[key] = (state, path)
+        return reader.parquet(path)
 
 
 def medallion(
@@ -49,13 +65,50 @@ def medallion(
 ) -> Medallion:
     """All tables over a folder; ``strict`` cleanses the castable feeds as well."""
     configure(spark)
-    castable = {feed: partial(landed, spark, folder, feed, strict=True) for feed in schemas.RAW}
-    usual = {feed: partial(landed, spark, folder, feed) for feed in schemas.RAW}
+    state = _state(spark, folder)
+    castable = {feed: partial(landed, spark, folder, feed, strict=True, state=state) for feed in schemas.RAW}
+    usual = {feed: partial(landed, spark, folder, feed, state=state) for feed in schemas.RAW}
     return Medallion(castable if strict else usual, castable, keep=staged if write_cleansed else None)
 
 
-def _over(build: Callable[[Medallion], DataFrame], write_cleansed: bool = False) -> Query:
-    return lambda spark, folder: build(medallion(spark, folder, write_cleansed))
+# Where a session keeps its written tables: (application, folder) -> (state of the files, marker, model).
+_MARTS: dict[tuple[str, str], tuple[str, str, Medallion]] = {}
+_MARTS_LOCK = RLock()
+
+
+def marts(spark: SparkSession, folder: str) -> Medallion:
+    """All tables over a folder, each written when first asked for and read by whoever asks again.
+
+    Reports and audits read these with column pruning, as they do in operation.  They are
+    built anew when the folder's files have changed or the shared folder was cleared.
+    """
+    configure(spark)
+    key = (spark.sparkContext.applicationId, folder)
+    state = _state(spark, folder)
+    with _MARTS_LOCK:
+        was, marker, model = _MARTS.get(key, (None, None, None))
+        if was == state:
+            try:
+                spark.read.text(marker)
+                return model
+            except AnalysisException as gone:
+                if gone.getCondition() != "PATH_NOT_FOUND":
+                    raise
+        marker = fresh_path(spark, "marts")
+        spark.createDataFrame([(state,)], "state string").write.text(marker)
+        usual = {feed: partial(landed, spark, folder, feed, state=state) for feed in schemas.RAW}
+        castable = {feed: partial(landed, spark, folder, feed, strict=True, state=state) for feed in schemas.RAW}
+        model = Medallion(usual, castable, keep=staged, keep_star=staged)
+        _MARTS[key] = (state, marker, model)
+        return model
+
+
+def _over(build: Callable[[Medallion], DataFrame]) -> Query:
+    return lambda spark, folder: build(medallion(spark, folder))
+
+
+def _over_marts(build: Callable[[Medallion], DataFrame]) -> Query:
+    return lambda spark, folder: build(marts(spark, folder))
 
 
 SILVER = {
@@ -69,6 +122,8 @@ SILVER = {
     "silver_iot": lambda m: m.iot_sensors,
 }
 
+SILVER_TABLES = list(schemas.SILVER_CONTRACTS)
+
 STAGED = {
     "stg_suppliers": lambda m: m.stg_suppliers,
     "stg_products": lambda m: m.stg_products,
@@ -172,7 +227,7 @@ def _dq_gate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    lazy = KERNELS | SILVER | STAGED | GOLD | REPORTS | KPIS | SCORES
-    # Audits read a cleansed table once per rule, so it is written first.
-    audits = {name: _over(build, write_cleansed=True) for name, build in QUALITY.items()}
-    return {name: _over(build) for name, build in lazy.items()} | audits | {"dq_gate": _dq_gate} | IO | STREAMS
+    # Kernels and the tables themselves are computed from the feeds, what uses the tables reads them written.
+    built = {name: _over(build) for name, build in (KERNELS | SILVER | STAGED | GOLD).items()}
+    read = {name: _over_marts(build) for name, build in (REPORTS | KPIS | SCORES | QUALITY).items()}
+    return built | read | {"dq_gate": _dq_gate} | IO | STREAMS
