@@ -227,12 +227,12 @@ SCORES = {
     SELECT product_id, month_start, historical_avg, CAST(month(month_start) AS INTEGER) AS month,
            CAST(coalesce(unit_price_usd < usual_price * 0.9::DOUBLE, FALSE) AS INTEGER) AS is_promotion, unit_price_usd,
            {_ratio('units', 'days')} * 7.0::DOUBLE AS demand_7_days
-    FROM (SELECT *, {_ratio('sum(units) OVER w', 'sum(days) OVER w')} AS historical_avg,
+    FROM (SELECT *, {_ratio('sum(units) OVER w', 'month_start - min(month_start) OVER w')} AS historical_avg,
                  {_ratio('sum(revenue) OVER w', 'sum(units) OVER w')} AS usual_price, {_ratio('revenue', 'units')} AS unit_price_usd
           FROM {_MONTHLY}
           WINDOW w AS (PARTITION BY product_id ORDER BY month_start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
     "upcoming_demand": f"""
-    SELECT product_id, {_ratio('sum(units)', 'sum(days)')} AS historical_avg,
+    SELECT product_id, {_ratio('sum(units)', f"(CAST((SELECT max(month_start) FROM {_MONTHLY}) + INTERVAL 1 MONTH AS DATE) - min(month_start))")} AS historical_avg,
            CAST(month((SELECT max(month_start) FROM {_MONTHLY}) + INTERVAL 1 MONTH) AS INTEGER) AS month, 0 AS is_promotion,
            {_ratio('sum(revenue)', 'sum(units)')} AS unit_price_usd
     FROM {_MONTHLY} GROUP BY product_id""",

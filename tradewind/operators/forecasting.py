@@ -41,13 +41,15 @@ def _ratio(a: Column, b: Column) -> Column:
 def demand_features(orders: DataFrame) -> DataFrame:
     """One row per product and month sold: what was known before, and what then sold.
 
-    The window runs over the months of one product, so it stays short however
-    often a product sells.
+    The average counts all calendar days since the product's first month, idle
+    ones included.  The window runs over the months of one product, so it stays
+    short however often a product sells.
     """
     before = Window.partitionBy("product_id").orderBy("month_start").rowsBetween(Window.unboundedPreceding, -1)
+    days_before = F.date_diff("month_start", F.min("month_start").over(before))
     priced = _monthly_sales(orders).withColumns(
         {
-            "historical_avg": _ratio(F.sum("units").over(before), F.sum("days").over(before)),
+            "historical_avg": _ratio(F.sum("units").over(before), days_before),
             "usual_price": _ratio(F.sum("revenue").over(before), F.sum("units").over(before)),
             "unit_price_usd": _ratio(F.col("revenue"), F.col("units")),
         }
@@ -69,11 +71,11 @@ def upcoming_demand(orders: DataFrame) -> DataFrame:
     sales = _monthly_sales(orders)
     last = sales.agg(F.max("month_start")).scalar()
     totals = sales.groupBy("product_id").agg(
-        F.sum("units").alias("units"), F.sum("days").alias("days"), F.sum("revenue").alias("revenue")
+        F.sum("units").alias("units"), F.min("month_start").alias("first"), F.sum("revenue").alias("revenue")
     )
     return totals.select(
         "product_id",
-        _ratio(F.col("units"), F.col("days")).alias("historical_avg"),
+        _ratio(F.col("units"), F.date_diff(F.add_months(last, 1), F.col("first"))).alias("historical_avg"),
         F.month(F.add_months(last, 1)).alias("month"),
         F.lit(0).alias("is_promotion"),
         _ratio(F.col("revenue"), F.col("units")).alias("unit_price_usd"),
@@ -152,6 +154,18 @@ def fit_delay_model(features: DataFrame, stages: int = fixed.BOOSTING_STAGES, se
     return Pipeline(stages=[assembler, boosting]).fit(features.filter("is_delivered"))
 
 
+def fold(shipment_id: str = "shipment_id") -> Column:
+    """Which of two halves a shipment belongs to, by hash of its id."""
+    return F.pmod(F.xxhash64(shipment_id), F.lit(2))
+
+
+def unseen_delay_prediction(features: DataFrame) -> DataFrame:
+    """Every shipment scored by a model fitted on the other half, which has not seen it."""
+    halves = [features.filter(fold() == half) for half in (0, 1)]
+    models = [fit_delay_model(half) for half in halves]
+    return delay_prediction(halves[0], models[1]).unionByName(delay_prediction(halves[1], models[0]))
+
+
 def delay_prediction(features: DataFrame, model: PipelineModel) -> DataFrame:
     probability = F.round(vector_to_array("probability")[1], 2)
     percent = F.round(probability * 100.0, 1)

@@ -203,7 +203,7 @@ def _delay_features(m: Medallion) -> DataFrame:
 
 def _delay_prediction(m: Medallion) -> DataFrame:
     features = staged(_delay_features(m), "delay-features")
-    predicted = forecasting.delay_prediction(features, forecasting.fit_delay_model(features))
+    predicted = forecasting.unseen_delay_prediction(features)
     return predicted.select("shipment_id", "delay_probability_pct", "risk_level", "key_factors.*")
 
 
