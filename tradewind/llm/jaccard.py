@@ -13,12 +13,13 @@ puts values first that hold most shingles unknown to a bounded sample's list
 of frequent ones, so common passages drop out of the keys unless a text
 consists of little else.
 
-Classes that meet on a value are compared with the smallest of them first.
-Links make components; only groups whose members still lie in several
-components are compared further, and only across components.  So a group of thousands of near copies
-costs a comparison per member, not per pair, and no link between components is
-lost.  A comparison first takes the Hamming distance of small sketches, which
-never exceeds the symmetric difference, then the exact sets.
+Classes that meet on a value are tied to the smallest of them; what such ties
+connect is a family.  All links lie within families.  A family's sets are dealt to
+cells, each holding two slices of it, so that any two members share a cell and no cell
+outgrows a task.  A cell takes pairs by the Hamming distance of their sketches, which
+never exceeds the symmetric difference, compares the exact sets, and skips pairs that
+links have connected already.  So thousands of near copies cost a
+comparison per member, not per pair, and no connection is lost.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind.llm.common import buckets, cell, small_batches, texts
 from tradewind.llm.graph import components
@@ -39,9 +42,10 @@ PERCENT = 80
 #: Texts, in expectation, whose shingles tell which are frequent, and in how many of them.
 SAMPLE_TEXTS = 2000
 FREQUENT = 8
-#: Keys a task holds before it passes them on.
+#: Keys a task holds before it passes them on, and bytes of sets in a slice of a family.
 HELD_KEYS = 1 << 20
-SKETCH_WORDS = 16
+SLICE_BYTES = 4 << 20
+SKETCH_BITS = 2048
 
 _U = np.uint64
 _REF = _U((1 << 48) - 1)
@@ -179,11 +183,8 @@ def _keys(docs: DataFrame, bands: Bands, frequent: np.ndarray, parts: int) -> Da
     return docs.select("text").mapInArrow(emit, "bucket int, low binary, high binary, ref_low binary, ref_high binary")
 
 
-def _meetings(keys: DataFrame) -> DataFrame:
-    """Classes that share a block value: star edges, and the members of groups of three and more.
-
-    A group's members are listed once for all values that gather the same ones.
-    """
+def _ties(keys: DataFrame) -> DataFrame:
+    """References of classes that share a block value, each with the smallest that does."""
 
     def meet(rows: pa.Table) -> pa.Table:
         def joined(name: str, kind: type) -> np.ndarray:
@@ -193,82 +194,120 @@ def _meetings(keys: DataFrame) -> DataFrame:
         ref = joined("ref_low", np.uint32) | joined("ref_high", np.uint16) << _U(32)
         order = np.lexsort((ref, key))
         key, ref = key[order], ref[order]
-        new_key = np.concatenate(([True], key[1:] != key[:-1]))
-        fresh = new_key | np.concatenate(([True], ref[1:] != ref[:-1]))
-        key, ref, new_key = key[fresh], ref[fresh], new_key[fresh]
-        starts = np.flatnonzero(new_key)
-        sizes = np.diff(np.concatenate((starts, [len(key)])))
-        hub = np.repeat(ref[starts], sizes)
-        edge = ~new_key
-        stars = np.unique(np.stack((hub[edge], ref[edge])), axis=1) if edge.any() else np.zeros((2, 0), _U)
-        # Marks of the member lists; equal lists are kept once.
-        mark = np.add.reduceat(mix(ref * _KEY_STEP), starts) if len(ref) else np.zeros(0, _U)
-        large = np.flatnonzero(sizes > 2)
-        _, once = np.unique(mark[large], return_index=True)
-        large = large[once]
-        members = np.concatenate([ref[starts[g] : starts[g] + sizes[g]] for g in large]) if len(large) else np.zeros(0, _U)
-        groups = np.repeat(mark[large], sizes[large])
-        kinds = np.concatenate((np.zeros(stars.shape[1], bool), np.ones(len(members), bool)))
-        return pa.table(
-            {
-                "grouped": pa.array(kinds),
-                "a": pa.array(np.concatenate((stars[0], groups)).view(np.int64)),
-                "b": pa.array(np.concatenate((stars[1], members)).view(np.int64)),
-            }
-        )
-
-    return keys.groupBy("bucket").applyInArrow(meet, "grouped boolean, a bigint, b bigint")
-
-
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Exact sets and small sketches of the wanted classes, one row a class."""
+        starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        least = np.repeat(ref[starts], np.diff(np.concatenate((starts, [len(key)]))))
+        tied = least != ref
+        pairs = np.unique(np.stack((least[tied], ref[tied])), axis=1) if tied.any() else np.zeros((2, 0), _U)
+        return pa.table({"ref_a": pa.array(pairs[0].view(np.int64)), "ref_b": pa.array(pairs[1].view(np.int64))})
+
+    return keys.groupBy("bucket").applyInArrow(meet, "ref_a bigint, ref_b bigint").distinct()
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id and the compressed text: what a shuffle carries."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            cells = [squeeze(t or b"") for t in texts(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(cells, pa.binary())], ["doc_id", "packed"])
+
+    return docs.mapInArrow(pack, "doc_id bigint, packed binary")
+
+
+def _sets(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """The members' rows with their exact sets.
+
+    A member's text is that of the rows with its smallest doc_id; repeated rows come out repeated.
+    """
+    kept = [c for c in members.columns if c != "doc_id"]
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes, sizes = shingle_sets(texts(batch.column("text")))
+            inflate = zstandard.ZstdDecompressor().decompress
+            codes, sizes = shingle_sets([inflate(x) for x in batch.column("packed").to_pylist()])
             ends = np.cumsum(sizes)
-            sketches = []
-            for end, size in zip(ends, sizes, strict=True):
-                own = codes[end - size : end]
-                bits = np.bincount((own >> _U(20)) % _U(64 * SKETCH_WORDS), minlength=64 * SKETCH_WORDS) & 1
-                sketches.append(np.packbits(bits.astype(np.uint8)).view(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(set_marks(codes, sizes), pa.binary()),
-                    pa.array(sizes),
-                    pa.array(sketches, pa.list_(pa.int64())),
-                    pa.array([cell(codes[e - s : e]) for e, s in zip(ends, sizes, strict=True)], pa.binary()),
-                ],
-                ["mark", "n", "sketch", "members"],
-            )
+            marks = set_marks(codes, sizes)
+            # Of one doc_id with several texts only the member's own counts.
+            own = pa.array([a == b for a, b in zip(marks, batch.column("mark").to_pylist(), strict=True)], pa.bool_())
+            sets = pa.array([cell(codes[e - s : e]) for e, s in zip(ends, sizes, strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), sets], [*kept, "members"]).filter(own)
 
-    found = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").select("text")
-    return found.mapInArrow(spell, "mark binary, n bigint, sketch array<bigint>, members binary")
+    # Neither side is bounded: both are always moved, whatever their size today.
+    found = _packed(docs).join(members.hint("shuffle_merge"), "doc_id").select(*kept, "packed")
+    return found.mapInArrow(spell, T.StructType([members.schema[c] for c in kept]).add("members", T.BinaryType()))
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v: smallest ids; a, b: marks) whose sets overlap enough."""
-    left = sets.select(F.col("mark").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"), F.col("members").alias("m_a"))
-    right = sets.select(F.col("mark").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"), F.col("members").alias("m_b"))
-    apart = F.aggregate(
-        F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, bits: total + bits
-    )
-    near = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (
-        apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+class _Forest:
+    def __init__(self, size: int) -> None:
+        self.up = list(range(size))
+
+    def root(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
+        return x
+
+
+def _connect(sets: list[np.ndarray], slices: np.ndarray, pair: tuple[int, int], percent: int) -> list[tuple[int, int]]:
+    """Links that connect what is connected among the sets of one cell.
+
+    ``slices`` holds the slice of each set; in a cell of two slices only pairs across them are taken.
+    """
+    sizes = np.array([len(x) for x in sets])
+    sketches = np.zeros((len(sets), SKETCH_BITS // 64), _U)
+    for place, members in enumerate(sets):
+        bits = np.bincount((members >> _U(20)) % _U(SKETCH_BITS), minlength=SKETCH_BITS) & 1
+        sketches[place] = np.packbits(bits.astype(np.uint8)).view(_U)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    left = np.flatnonzero(slices == pair[0])
+    right = np.flatnonzero(slices == pair[1])
+    for a in left:
+        others = right[right > a] if pair[0] == pair[1] else right
+        n, m = sizes[a], sizes[others]
+        others = others[100 * np.minimum(n, m) >= percent * np.maximum(n, m)]
+        apart = np.bitwise_count(sketches[others] ^ sketches[a]).sum(1, dtype=np.int64)
+        near = apart * (100 + percent) <= (n + sizes[others]) * (100 - percent)
+        found.append((np.full(near.sum(), a), others[near], apart[near]))
+    if not found:
+        return []
+    one, two, apart = (np.concatenate(x) for x in zip(*found, strict=True))
+    forest, links = _Forest(len(sets)), []
+    for place in np.argsort(apart, kind="stable"):
+        a, b = int(one[place]), int(two[place])
+        x, y = forest.root(a), forest.root(b)
+        if x == y:
+            continue
+        both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+        if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+            forest.up[x] = y
+            links.append((a, b))
+    return links
+
+
+def _links(sets: DataFrame, parts: int, percent: int) -> DataFrame:
+    """Links (u, v) that connect every component of links within its family."""
+    # Every slice meets every slice, itself included: a row goes to one cell for each.
+    other = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
+    dealt = sets.withColumn("other", other).select(
+        "family", "first", "members", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
     )
-    met = pairs.join(left.select("a", "n_a", "s_a"), "a").join(right.select("b", "n_b", "s_b"), "b").filter(near)
-    met = met.select("u", "v", "a", "b").join(left.select("a", "m_a"), "a").join(right.select("b", "m_b"), "b")
+    bucket = F.pmod(F.xxhash64("family", "i", "j"), F.lit(parts))
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for one, two in zip(batch.column("m_a").to_pylist(), batch.column("m_b").to_pylist(), strict=True):
-                x, y = np.frombuffer(one, _U), np.frombuffer(two, _U)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+    def connect(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([(c, "ascending") for c in ("family", "i", "j", "first")])
+        family, i, j, first, own = (rows.column(c).to_numpy() for c in ("family", "i", "j", "first", "own"))
+        new = (family[1:] != family[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        cuts = np.flatnonzero(np.concatenate(([True], new, [True])))
+        u, v = [], []
+        for a, b in zip(cuts, cuts[1:]):
+            sets = [np.frombuffer(x, _U) for x in rows.column("members").slice(a, b - a).to_pylist()]
+            for x, y in _connect(sets, own[a:b], (int(i[a]), int(j[a])), percent):
+                u.append(first[a + x])
+                v.append(first[a + y])
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    return met.select("u", "v", "m_a", "m_b").mapInArrow(compare, "u bigint, v bigint")
+    return dealt.groupBy(bucket.alias("bucket")).applyInArrow(connect, "u bigint, v bigint")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -286,42 +325,27 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = staged(_classes(docs), "shingle-marks")
     stats = rows.agg(F.count("*"), F.max("n_shingles")).first()
     linkable = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = staged(linkable.groupBy("mark").agg(F.min("doc_id").alias("first")), "shingle-classes")
+    classes = staged(linkable.groupBy("mark").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n")), "shingle-classes")
     # The mark's first six bytes, lowest first.
     digits = F.concat(*(F.hex(F.substring("mark", place, 1)) for place in range(6, 0, -1)))
     named = classes.withColumn("ref", F.conv(digits, 16, 10).cast("bigint"))
 
     bands = Bands(percent, stats[1] or 1)
     present = docs.filter("text IS NOT NULL AND doc_id IS NOT NULL")
-    keys = _keys(present, bands, _frequent(present, stats[0]), buckets(spark))
-    meetings = staged(_meetings(keys), "shingle-meetings")
-
-    def of_refs(pairs: DataFrame) -> DataFrame:
-        one = named.select(F.col("ref").alias("ref_a"), F.col("mark").alias("a"), F.col("first").alias("u"))
-        two = named.select(F.col("ref").alias("ref_b"), F.col("mark").alias("b"), F.col("first").alias("v"))
-        return pairs.join(one, "ref_a").join(two, "ref_b").select("a", "b", "u", "v")
-
-    stars = meetings.filter("NOT grouped").select(F.col("a").alias("ref_a"), F.col("b").alias("ref_b")).distinct()
-    stars = staged(of_refs(stars), "shingle-stars")
-    members = meetings.filter("grouped").select(F.col("a").alias("group"), F.col("b").alias("ref")).distinct()
-    members = staged(members.join(named, "ref").select("group", "mark", "first"), "shingle-groups")
-    wanted = stars.select(F.col("u").alias("doc_id")).union(stars.select(F.col("v").alias("doc_id")))
-    sets = staged(_sets(present, wanted).dropDuplicates(["mark"]), "shingle-sets")
-    links = staged(_links(stars, sets, percent), "shingle-links")
-
-    # Groups that star edges left in several components: compare across those.
-    labels = staged(components(links), "shingle-labels")
-    label = F.coalesce("component", "first").alias("label")
-    placed = members.join(labels.withColumnRenamed("node", "first"), "first", "left").select("group", "mark", "first", label)
-    placed = staged(placed, "shingle-placed")
-    torn = placed.groupBy("group").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most")
-    torn = staged(placed.join(torn.select("group"), "group"), "shingle-torn")
-    other = torn.select("group", F.col("mark").alias("b"), F.col("first").alias("v"), F.col("label").alias("label_b"))
-    across = torn.select("group", F.col("mark").alias("a"), F.col("first").alias("u"), F.col("label").alias("label_a"))
-    across = across.join(other, "group").filter("label_a < label_b").select("a", "b", "u", "v").distinct()
-    both = stars.select("a", "b").union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = _links(across.join(both, ["a", "b"], "left_anti"), sets, percent)
-    labels = components(links.union(staged(more, "shingle-more-links")))
+    parts = buckets(spark)
+    keys = _keys(present, bands, _frequent(present, stats[0]), parts)
+    ties = staged(_ties(keys), "shingle-ties")
+    one = named.select(F.col("ref").alias("ref_a"), F.col("first").alias("u"))
+    two = named.select(F.col("ref").alias("ref_b"), F.col("first").alias("v"))
+    tied = ties.join(one, "ref_a").join(two, "ref_b").select("u", "v")
+    families = components(tied).select(F.col("node").alias("first"), F.col("component").alias("family"))
+    members = staged(classes.join(families, "first"), "shingle-families")
+    size = members.groupBy("family").agg(F.sum("n").alias("_n"))
+    slices = F.ceil(F.col("_n") * 8 / SLICE_BYTES).cast("int")
+    members = members.join(size.select("family", slices.alias("slices")), "family")
+    members = members.withColumn("own", F.pmod(F.xxhash64("mark"), F.col("slices")).cast("int"))
+    sets = _sets(present, members.select(F.col("first").alias("doc_id"), "first", "mark", "family", "slices", "own"))
+    labels = components(_links(sets, parts, percent))
 
     reach = classes.join(labels.withColumnRenamed("node", "first"), "first", "left")
     reach = reach.select("mark", F.coalesce("component", "first").alias("_component"))
