@@ -352,3 +352,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     marked = rows.join(reach, "mark", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id"))
     return marked.select("doc_id", "n_shingles", component.alias("component_id"))
+
+
+def keep_one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` (doc_id: long, text, ...) with the smallest doc_id of their component.
+
+    Rows equal in doc_id and text are one document, of which one stays.  Rows without a doc_id all stay.
+    """
+    found = near_duplicates(docs, percent)
+    first = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    # One shuffle by doc_id serves the join and the numbering of equal rows.
+    same = Window.partitionBy("doc_id", "text").orderBy(F.lit(0))
+    kept = docs.filter("doc_id IS NOT NULL").join(first, "doc_id", "left_semi")
+    kept = kept.withColumn("_copy", F.row_number().over(same)).filter("_copy = 1").drop("_copy")
+    return kept.select(docs.columns).union(docs.filter("doc_id IS NULL"))

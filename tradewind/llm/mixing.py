@@ -99,6 +99,21 @@ def _thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
     return staged(plan.select("_source", "source_size", "target", "_passes", threshold.alias("_threshold")), "mix-thresholds")
 
 
+def _plan(docs: DataFrame, budget: float, weights: tuple[int, ...], epochs: int) -> tuple[DataFrame, DataFrame]:
+    """Sizes of the documents, written, and the thresholds of their sources."""
+    keyed = _keyed(docs.select("doc_id", "text", "source"))
+    sized = staged(keyed.select("doc_id", "_source", n_words(F.col("text")).alias("size"), "_hash"), "mix-sizes")
+    return sized, _thresholds(sized, source_targets(sized, budget, weights, epochs))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumns({"_source": F.struct("source"), "_hash": _hash(F.col("doc_id"))})
+
+
+def _copies() -> Column:
+    return F.col("_passes") + F.when(F.col("_hash") < F.col("_threshold"), 1).otherwise(0)
+
+
 def mix_sources(
     docs: DataFrame, budget: float = 1.0, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS
 ) -> DataFrame:
@@ -110,15 +125,20 @@ def mix_sources(
     doc_id, and rows without one, share a hash and are taken alike.  An empty
     table gives no rows.  Other columns are not looked at.
     """
-    sized = docs.select(
-        "doc_id",
-        F.struct("source").alias("_source"),
-        n_words(F.col("text")).alias("size"),
-        _hash(F.col("doc_id")).alias("_hash"),
-    )
-    sized = staged(sized, "mix-sizes")
-    plan = _thresholds(sized, source_targets(sized, budget, weights, epochs))
-    times = F.col("_passes") + F.when(F.col("_hash") < F.col("_threshold"), 1).otherwise(0)
+    sized, plan = _plan(docs, budget, weights, epochs)
     return sized.join(plan, "_source").select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * times).alias("taken"), F.col("_source.source").alias("source")
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("size") * _copies()).alias("taken"),
+        F.col("_source.source").alias("source"),
     )
+
+
+def take_mix(docs: DataFrame, budget: float = 1.0, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
+    """The rows of ``docs`` as often as ``mix_sources`` takes them, with their columns as they are."""
+    _, plan = _plan(docs, budget, weights, epochs)
+    taken = _keyed(docs).join(plan.select("_source", "_passes", "_threshold"), "_source").withColumn("_copies", _copies())
+    taken = taken.filter("_copies > 0")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(docs.columns)

@@ -6,15 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tradewind.llm import jaccard, language_id, language_model, mixing, quality_rules, secrets, sentencepiece_fst, sql, suffix_dedup, token_counts, vector_search
-from tradewind.llm.common import table
-
-def tokenizer_path(name: str) -> str:
-    """Where the installed package of public vocabularies keeps one."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
+from tradewind.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,7 +56,19 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_near_duplicates, op2_language, op3_mix, op4_lm_scores, op5_top_k, op6_quality, op7_token_counts, op8_pieces, op9_secrets, op10_repeats)}
+    listed = [
+        op1_near_duplicates,
+        op2_language,
+        op3_mix,
+        op4_lm_scores,
+        op5_top_k,
+        op6_quality,
+        op7_token_counts,
+        op8_pieces,
+        op9_secrets,
+        op10_repeats,
+    ]
+    return {query.__name__: query for query in listed} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
