@@ -73,6 +73,6 @@ def test_awkward_rows(spark, awkward, nothing):
 
 
 def test_sql_is_given_where_it_can_be():
-    with_sql = {"op3_mix", "op5_top_k"}
+    with_sql = {"op1_near_duplicates", "op3_mix", "op5_top_k", "op10_repeats"}
     names = {n for n in entry.queries() if n.startswith("op") and n[2].isdigit() or n == "pipeline"}
     assert len(names) == 11 and with_sql <= names & set(entry.oracle_sql())

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tradewind.llm import jaccard, language_id, language_model, mixing, quality_rules, secrets, sentencepiece_fst, sql, suffix_dedup, token_counts, vector_search
+from tradewind.llm import (
+    jaccard,
+    language_id,
+    language_model,
+    mixing,
+    quality_rules,
+    secrets,
+    sentencepiece_fst,
+    sql,
+    suffix_dedup,
+    token_counts,
+    vector_search,
+)
 from tradewind.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,4 +84,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix": sql.MIX, "op5_top_k": sql.TOP_K}
+    """SQL where it can express a query; fitted models, token vocabularies and their pieces it cannot."""
+    return {
+        "op1_near_duplicates": sql.NEAR_DUPLICATES,
+        "op3_mix": sql.MIX,
+        "op5_top_k": sql.TOP_K,
+        "op10_repeats": sql.REPEATS,
+    }

@@ -51,3 +51,48 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
 """
+
+# Lower case for A to Z only, words split at the six white spaces.
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
+
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE texts AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+sets AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS s
+  FROM texts),
+classes AS (SELECT list_sort(s) AS s, min(doc_id) AS first, min(r) AS c, len(any_value(s)) AS n FROM sets
+            WHERE len(s) > 0 AND doc_id IS NOT NULL GROUP BY list_sort(s)),
+members AS (SELECT c, first, n, unnest(s) AS shingle FROM classes),
+links AS (
+  SELECT a.first AS u, b.first AS v FROM members a JOIN members b ON a.shingle = b.shingle AND a.c < b.c
+  GROUP BY a.c, b.c, a.first, b.first, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+ties AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
+reach AS (SELECT first AS a, first AS b FROM classes UNION SELECT r.a, t.v FROM reach r JOIN ties t ON r.b = t.u),
+least AS (SELECT a, min(b) AS component FROM reach GROUP BY a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles,
+       CASE WHEN s.doc_id IS NULL THEN NULL WHEN len(s.s) = 0 THEN s.doc_id ELSE l.component END AS component_id
+FROM sets s LEFT JOIN classes c ON list_sort(s.s) = c.s LEFT JOIN least l ON c.first = l.a
+"""
+
+# Windows are strings of 200 hex digits; a removed byte is one that a repeated window covers.
+REPEATS = """
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS d, hex(encode(coalesce(text, ''))) AS x FROM documents),
+windows AS (SELECT r, d, unnest(range(len(x) // 2 - 99)) AS k, x FROM texts WHERE len(x) >= 200),
+marked AS (SELECT r, d, k, md5_number(substr(x, 2 * k + 1, 200)) AS m FROM windows),
+firsts AS (SELECT m, min((d, k)) AS first FROM marked GROUP BY m HAVING count(*) > 1),
+starts AS (SELECT r, k FROM marked JOIN firsts USING (m) WHERE (d, k) > first),
+stepped AS (SELECT r, k, lag(k) OVER (PARTITION BY r ORDER BY k) AS before FROM starts),
+islands AS (SELECT r, k, sum(CASE WHEN before IS NULL OR k > before + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY k) AS i FROM stepped),
+spans AS (SELECT r, min(k) AS a, max(k) + 100 AS b FROM islands GROUP BY r, i),
+pieces AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS kept_from FROM spans),
+cut AS (
+  SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, string_agg(a || ':' || b, ',' ORDER BY a) AS spans, max(b) AS last,
+         string_agg(substr(x, 2 * kept_from + 1, 2 * (a - kept_from)), '' ORDER BY a) AS kept
+  FROM pieces JOIN texts USING (r) GROUP BY r)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, coalesce(spans, '') AS spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN x ELSE kept || substr(x, 2 * last + 1) END)) AS kept_sha256
+FROM texts LEFT JOIN cut USING (r)
+"""
