@@ -424,12 +424,12 @@ def _with_bytes(docs: DataFrame, open_: DataFrame, parts: int) -> DataFrame:
             if marks:
                 mark, start, owner = np.concatenate(marks), np.concatenate(starts), np.concatenate(ids)
                 order, new, later = _earliest((mark,), owner, start)
-                spread = mix(owner.astype(_U) + start.astype(_U)) % _U(parts)
-                for place, first, known in zip(order, new, later, strict=True):
-                    if first or known:
-                        bucket = spread[place] if known else mark[place] % _U(parts)
-                        kind = _REPEATED if known else _CROWDED
-                        rows.append((int(bucket), int(owner[place]), int(start[place]), 1, 0, kind, int(mark[place].view(np.int64)), b""))
+                for place in order[new]:
+                    rows.append((int(mark[place] % _U(parts)), int(owner[place]), int(start[place]), 1, 0, _CROWDED, int(mark[place].view(np.int64)), b""))
+                # Windows that repeat within the batch need no partner; neighbours go as one run.
+                for doc, first, count in _runs(owner[order[later]], start[order[later]]):
+                    bucket = int(mix(np.array([doc + first], np.int64).view(_U))[0] % _U(parts))
+                    rows.append((bucket, doc, first, count, 0, _REPEATED, 0, b""))
             if rows:
                 kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int16(), pa.int16(), pa.int8(), pa.int64(), pa.binary()]
                 names = ["bucket", "id", "start", "windows", "offset", "kind", "anchor", "content"]
@@ -438,13 +438,24 @@ def _with_bytes(docs: DataFrame, open_: DataFrame, parts: int) -> DataFrame:
     return joined.mapInArrow(cut, schema)
 
 
+def _runs(ids: np.ndarray, starts: np.ndarray) -> list[tuple[int, int, int]]:
+    """(document, start, windows) for runs of neighbouring windows."""
+    order = np.lexsort((starts, ids))
+    ids, starts = ids[order], starts[order]
+    new = np.concatenate(([True], (ids[1:] != ids[:-1]) | (starts[1:] > starts[:-1] + 1)))[: len(ids)]
+    heads = np.flatnonzero(new)
+    tails = np.concatenate((heads[1:], [len(ids)])) - 1
+    counts = starts[tails] - starts[heads] + 1 if len(ids) else heads
+    return [(int(i), int(s), int(n)) for i, s, n in zip(ids[heads], starts[heads], counts, strict=True)]
+
+
 def _compared(cut: DataFrame) -> DataFrame:
     """(id, start, windows) of the windows among ``cut`` that repeat."""
 
     def compare(rows: pa.Table) -> pa.Table:
         kind = rows.column("kind").to_numpy()
         ids, start, windows, offset, anchor = (rows.column(c).to_numpy().astype(np.int64) for c in ("id", "start", "windows", "offset", "anchor"))
-        found = [(ids[i], start[i], 1) for i in np.flatnonzero(kind == _REPEATED)]
+        found = [(ids[i], start[i], windows[i]) for i in np.flatnonzero(kind == _REPEATED)]
         single = np.flatnonzero(kind == _CROWDED)
         if len(single):
             order, _, later = _earliest((anchor[single],), ids[single], start[single])
