@@ -104,3 +104,24 @@ def test_a_collision_of_hashes_is_caught(monkeypatch):
     order, common = suffix_dedup.Suffixes(pieces).sort(np.zeros(7, np.int64))
     assert [pieces[i] for i in order] == sorted(pieces)
     assert common.tolist() == [-1, 0, 1, 3, 0, 0, 2]
+
+
+def test_blocks_that_agree_in_hash_bits_but_not_in_bytes_stay(documents):
+    """Found by search: one anchor, and 40 equal bits of the blocks' polynomial hashes."""
+    head = "hsreltpuscta pirhgwpr rpmuehueqmxavycfysbjya iptxmwznmxzsoeldbepgivnyujnq mslrsnshkvaitv"
+    tails = ["imrhmcqjdvkp", "xcfrddpbpudk", "serzprlevazs", "aissrutdrtei", "cftmqfjnsgds", "phagzvdopcrh"]
+    check(documents(*[(i, head + tail) for i, tail in enumerate(tails)]).repartition(3))
+
+
+def test_crowded_windows_are_told_by_their_bytes(documents, passages):
+    """What a window of a crowded anchor is dealt and compared by is a digest of all its bytes."""
+    docs = documents(*passages).repartition(5)
+    blocks = suffix_dedup.staged(docs.selectExpr("doc_id AS id", "doc_id", "text").filter("octet_length(text) >= 100"), "test-texts")
+    told = suffix_dedup.staged(suffix_dedup._decided(suffix_dedup._sent_blocks(blocks.select("id", "text"), 4)), "test-blocks")
+    open_ = told.filter("kind <> 0").selectExpr("id", "start", "windows", "offset", "CAST(2 AS TINYINT) AS kind", "anchor")
+    sent = suffix_dedup._with_bytes(blocks, open_, 4).filter("kind = 2").collect()
+    text = dict(passages)
+    assert sent
+    for row in sent:
+        window = text[row.id].encode()[row.start : row.start + 100]
+        assert bytes(row.content) == hashlib.sha256(window).digest()[:16]

@@ -3,8 +3,8 @@
 Strings of ``LENGTH`` bytes, windows, are grouped by content before any is
 sorted.  Each window selects its leftmost smallest hashed 24-byte string, its
 anchor, so equal windows select equal anchors; neighbouring windows that select
-the same one make a block.  Blocks are dealt by anchor hash.  Of equal blocks all but the
-earliest repeat whole.  An anchor whose blocks are all equal is then done; where they differ,
+the same one make a block.  Blocks are dealt by anchor hash.  Of equal blocks, told by
+cryptographic digests of their bytes, all but the earliest repeat whole.  An anchor whose blocks are all equal is then done; where they differ,
 the earliest of each is sent on with its bytes.
 
 There the suffixes that start at the anchors, and the reversed text before them, are
@@ -16,7 +16,7 @@ all but the earliest repeat.
 
 Anchors with very many different blocks, such as the first of a passage
 that a third of all documents share, would gather too much in one task: their
-windows are dealt by their own hashes instead.  Copies met in one task are
+windows are dealt by digests of their own bytes instead.  Copies met in one task are
 reduced to their earliest before anything is sent.
 """
 
@@ -71,15 +71,23 @@ class PrefixHash:
         return (self.sums[start + length] - self.sums[start]) * self.back[start]
 
 
+def _digests(text: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """128 bits of a cryptographic hash of each substring, as rows of two numbers: alike only for equal bytes."""
+    digest = hashlib.sha256
+    cells = [digest(text[a:b]).digest()[:16] for a, b in zip(start.tolist(), (start + size).tolist(), strict=True)]
+    return np.frombuffer(b"".join(cells), _U).reshape(-1, 2)
+
+
 def _blocks(batch: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Place of the text, start, windows, anchor's offset, anchor hash and content hash of all blocks."""
+    """Place of the text, start, windows, anchor's offset, anchor hash and content digest of all blocks."""
     sizes = np.array([len(t) for t in batch], np.int64)
-    text = np.frombuffer(b"".join(batch), np.uint8)
+    joined = b"".join(batch)
+    text = np.frombuffer(joined, np.uint8)
     begins = np.cumsum(sizes) - sizes
     windows = np.maximum(0, sizes - LENGTH + 1)
     if not windows.sum():
         none = np.zeros(0, np.int64)
-        return none, none, none, none, none.astype(_U), none.astype(_U)
+        return none, none, none, none, none.astype(_U), np.zeros((0, 2), _U)
     hashed = PrefixHash(text)
     grams = mix(hashed(np.arange(len(text) - GRAM + 1), GRAM))
     span = LENGTH - GRAM + 1
@@ -99,8 +107,7 @@ def _blocks(batch: list[bytes]) -> tuple[np.ndarray, ...]:
     first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
     count = np.diff(np.concatenate((first, [len(at)])))
     start = at[first]
-    size = count + LENGTH - 1
-    content = mix(hashed(start, size) + size.astype(_U))
+    content = _digests(joined, start, count + LENGTH - 1)
     return owner[first], start - begins[owner[first]], count, anchor[first] - start, grams[anchor[first]], content
 
 
@@ -144,7 +151,7 @@ def _sent_blocks(docs: DataFrame, parts: int) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             ids, start, count, offset, anchor, content = (np.concatenate(x) for x in zip(*held, strict=True))
-            order, new, later = _earliest((content, anchor), ids, start)
+            order, new, later = _earliest((*content.T, anchor), ids, start)
             bucket = ((anchor >> _U(40)) % _U(parts)).astype(np.int64)
             # What is known to repeat needs no partner and goes anywhere.
             bucket[order[later]] = (mix(ids.astype(_U) + start.astype(_U)) % _U(parts)).astype(np.int64)[order[later]]
@@ -156,21 +163,20 @@ def _sent_blocks(docs: DataFrame, parts: int) -> DataFrame:
             rank = rank[(keep | known)[rank]]
             bucket, known = bucket[rank], known[rank]
             cuts = np.flatnonzero(np.concatenate(([True], (bucket[1:] != bucket[:-1]) | (known[1:] != known[:-1]), [True])))
-            rows: dict[str, list] = {n: [] for n in ("bucket", "known", "low", "high", "ids", "start", "windows", "offset")}
+            rows: dict[str, list] = {n: [] for n in ("bucket", "known", "low", "high", "content", "ids", "start", "windows", "offset")}
             for a, b in zip(cuts, cuts[1:]):
                 own = rank[a:b]
                 rows["bucket"].append(int(bucket[a]))
                 rows["known"].append(bool(known[a]))
-                key, body = anchor[own] & _KEY, content[own] & _KEY
-                rows["low"].append(b"" if known[a] else cell(key.astype(np.uint32)) + cell(body.astype(np.uint32)))
-                rows["high"].append(
-                    b"" if known[a] else cell((key >> _U(32)).astype(np.uint8)) + cell((body >> _U(32)).astype(np.uint8))
-                )
+                key = anchor[own] & _KEY
+                rows["low"].append(b"" if known[a] else cell(key.astype(np.uint32)))
+                rows["high"].append(b"" if known[a] else cell((key >> _U(32)).astype(np.uint8)))
+                rows["content"].append(b"" if known[a] else cell(content[own]))
                 rows["ids"].append(_packed_ids(ids[own]))
                 rows["start"].append(_planes(start[own].astype(np.int32)))
                 rows["windows"].append(cell(count[own].astype(np.uint8)))
                 rows["offset"].append(cell(offset[own].astype(np.uint8)))
-            kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 6]
+            kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 7]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds, strict=True)], list(rows))
 
         for batch in batches:
@@ -187,7 +193,7 @@ def _sent_blocks(docs: DataFrame, parts: int) -> DataFrame:
         if total:
             yield out()
 
-    schema = "bucket int, known boolean, low binary, high binary, ids binary, start binary, windows binary, offset binary"
+    schema = "bucket int, known boolean, low binary, high binary, content binary, ids binary, start binary, windows binary, offset binary"
     return docs.mapInArrow(send, schema)
 
 
@@ -224,12 +230,11 @@ def _decided(sent: DataFrame) -> DataFrame:
 
         done = joined(True)
         ids, start, windows, offset = joined(False)
-        lows = [np.frombuffer(x, np.uint32).reshape(2, -1) for x in column("low", False)]
-        highs = [np.frombuffer(x, np.uint8).reshape(2, -1) for x in column("high", False)]
-        none = [np.zeros((2, 0))]
-        keys = np.concatenate(lows or none, axis=1).astype(_U) | np.concatenate(highs or none, axis=1).astype(_U) << _U(32)
-        anchor, content = keys
-        order, new, later = _earliest((content, anchor), ids, start)
+        # Few bits of an anchor do: anchors that share them are told apart by their blocks' bytes.
+        anchor = np.frombuffer(b"".join(column("low", False)), np.uint32).astype(_U)
+        anchor |= np.frombuffer(b"".join(column("high", False)), np.uint8).astype(_U) << _U(32)
+        content = np.frombuffer(b"".join(column("content", False)), _U).reshape(-1, 2)
+        order, new, later = _earliest((*content.T, anchor), ids, start)
         sorted_anchor = anchor[order]
         fresh = np.ones(len(order), bool)
         fresh[1:] = sorted_anchor[1:] != sorted_anchor[:-1]
@@ -407,7 +412,6 @@ def _with_bytes(docs: DataFrame, open_: DataFrame, parts: int) -> DataFrame:
             ids, starts, marks = [], [], []
             for doc, packed, blocks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 text = inflate(packed)
-                hashed = None
                 for block in blocks:
                     start, windows, anchor = block["start"], block["windows"], block["anchor"]
                     if start + windows + LENGTH - 1 > len(text):
@@ -416,16 +420,15 @@ def _with_bytes(docs: DataFrame, open_: DataFrame, parts: int) -> DataFrame:
                         bucket = int(mix(np.array([anchor], np.int64).view(_U))[0] % _U(parts))
                         rows.append((bucket, doc, start, windows, block["offset"], _DIFFERING, anchor, text[start : start + windows + LENGTH - 1]))
                     else:
-                        hashed = hashed or PrefixHash(np.frombuffer(text, np.uint8))
                         at = np.arange(start, start + windows)
-                        marks.append(mix(hashed(at, LENGTH)))
+                        marks.append(_digests(text, at, np.full(windows, LENGTH)))
                         starts.append(at)
                         ids.append(np.full(windows, doc, np.int64))
             if marks:
                 mark, start, owner = np.concatenate(marks), np.concatenate(starts), np.concatenate(ids)
-                order, new, later = _earliest((mark,), owner, start)
+                order, new, later = _earliest(tuple(mark.T), owner, start)
                 for place in order[new]:
-                    rows.append((int(mark[place] % _U(parts)), int(owner[place]), int(start[place]), 1, 0, _CROWDED, int(mark[place].view(np.int64)), b""))
+                    rows.append((int(mark[place, 0] % _U(parts)), int(owner[place]), int(start[place]), 1, 0, _CROWDED, 0, mark[place].tobytes()))
                 # Windows that repeat within the batch need no partner; neighbours go as one run.
                 for doc, first, count in _runs(owner[order[later]], start[order[later]]):
                     bucket = int(mix(np.array([doc + first], np.int64).view(_U))[0] % _U(parts))
@@ -458,7 +461,8 @@ def _compared(cut: DataFrame) -> DataFrame:
         found = [(ids[i], start[i], windows[i]) for i in np.flatnonzero(kind == _REPEATED)]
         single = np.flatnonzero(kind == _CROWDED)
         if len(single):
-            order, _, later = _earliest((anchor[single],), ids[single], start[single])
+            mark = np.frombuffer(b"".join(rows.column("content").take(pa.array(single)).to_pylist()), _U).reshape(-1, 2)
+            order, _, later = _earliest(tuple(mark.T), ids[single], start[single])
             found += [(ids[i], start[i], 1) for i in single[order[later]]]
         some = np.flatnonzero(kind == _DIFFERING)
         if len(some):
