@@ -111,6 +111,31 @@ def test_linked_sets_share_a_first_key(size, seed, frequent):
     assert keys[0] & keys[1] or (len(a) == len(b) and (a == b).all())
 
 
+@pytest.mark.parametrize("frequent", [0.9, 1.0])
+def test_short_sets_of_common_shingles_share_a_first_key(frequent):
+    """The pigeonhole again, where some sets have empty blocks among their first and others do not."""
+    rng = np.random.default_rng(7)
+    bands = jaccard.Bands(80, 1000)
+    lost = linked = 0
+
+    def keys(x):
+        n = np.array([len(x)])
+        own = bands.of(n)
+        some = [int(own[0])] + [int(own[0]) - 1] * bool(bands.reaches_below(n, own)[0])
+        rare = (x % np.uint64(1000)).astype(float) / 1000 >= frequent
+        return {k for band in some if bands.differ[band] for k in jaccard._first_keys(band, x, rare, int(bands.differ[band]), int(bands.spare[band])).tolist()}
+
+    for size in range(12, 26):
+        for _ in range(3000):
+            both = rng.integers(0, 2**63, size, dtype=np.uint64) * np.uint64(2)
+            more = rng.integers(0, 2**63, rng.integers(1, size // 4 + 1), dtype=np.uint64)
+            side = rng.integers(0, 2, len(more)).astype(bool)
+            a, b = np.sort(np.concatenate((both, more[side]))), np.sort(np.concatenate((both, more[~side])))
+            linked += 1
+            lost += not keys(a) & keys(b)
+    assert linked == 42_000 and lost == 0
+
+
 def test_short_texts_and_marks():
     codes, sizes = shingle_sets([b"a b", b"A  b", b"b a", b"", None, b"a b c d e", b"a b c d e f"])
     assert sizes.tolist() == [1, 1, 1, 0, 0, 1, 2]

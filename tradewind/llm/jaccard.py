@@ -88,9 +88,10 @@ def _first_keys(band: int, codes: np.ndarray, rare: np.ndarray, differ: int, spa
         empty = np.setdiff1d(np.arange(blocks, dtype=_U), at)
         at = np.concatenate((at, empty))
         parity = np.concatenate((parity, np.zeros(len(empty), _U)))
-        unknown = np.concatenate((unknown, np.zeros(len(empty), np.int64)))
+        # Behind every filled block, for a set with more of those never gets to its empty ones.
+        unknown = np.concatenate((unknown, np.full(len(empty), -1)))
     keys = mix(parity ^ mix(at + np.array([band], _U) * _KEY_STEP))
-    # One order for all sets: it looks at nothing but the block's own value.
+    # One order for all sets: it looks at nothing but the block's own value and whether it is empty.
     return keys[np.lexsort((keys, -unknown))[: differ + 1]]
 
 
