@@ -59,6 +59,30 @@ def test_without_languages_all_is_rejected(rows):
     assert [(r.lang, r.rejected) for r in got] == [(None, True)]
 
 
+def test_a_rare_language_is_in_the_model(rows):
+    labelled = [(f"{ENGLISH} number {i}", "en") for i in range(2000)] + [("12 34", "de")] * 300 + [(GERMAN, "de")]
+    model = language_id.fit_language_model(rows("text string, lang string", labelled), sample_texts=20)
+    assert model.languages == ["de", "en"]
+    got = verdicts(rows(ROWS, [(1, GERMAN, "de", "h", "org", "x"), (2, ENGLISH, "en", "h", "org", "x")]), model)
+    assert [(got[k].lang, got[k].rejected) for k in (1, 2)] == [("de", False), ("en", False)]
+
+
+def test_many_languages_all_stay(rows):
+    tags = [a + b for a in "abcdefghij" for b in "klmnopqrst"]
+    said = {t: " ".join(t + c + t[::-1] for c in "uvwxyz") * 4 for t in tags}
+    model = language_id.fit_language_model(rows("text string, lang string", [(x, t) for t, x in said.items()]))
+    assert model.languages == tags
+    data = [(i, said[t], t, "h", "org", "x") for i, t in enumerate(tags)]
+    got = verdicts(rows(ROWS, data), model)
+    assert [got[i].lang for i in range(len(tags))] == tags
+
+
+def test_copies_of_a_text_count_once(rows):
+    fit = lambda found: language_id.fit_language_model(rows("text string, lang string", found))
+    once = [(ENGLISH, "en"), (ENGLISH + " more", "en"), (GERMAN, "de")]
+    assert np.array_equal(fit(once).table, fit(once + once[:1] * 500).table)
+
+
 def test_posterior_is_bayes_rule(rows, model):
     """One row against the rule worked out by hand."""
     data = [(1, ENGLISH, "en", "h1", "org", "x"), (2, GERMAN, "de", "h2", "org", "x"), (3, "then", "en", "h2", "org", "x")]

@@ -1,7 +1,7 @@
 """Language identification by fusing evidence in Bayes' way.
 
 Text gives likelihoods: byte trigrams, hashed to a fixed number of buckets, under
-one multinomial per language, fitted on a bounded sample of labelled texts.  The
+one multinomial per language, fitted on a bounded sample of each label's different texts.  The
 language a page declares gives likelihoods too: how often each true
 language is declared so, counted over all rows.  The prior is the host's: its
 languages are counted by grouped aggregation and smoothed towards those of its address
@@ -19,17 +19,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.llm.common import small_batches, texts
+from tradewind.llm.common import constant, small_batches, texts
 from tradewind.sources.shared import staged
 
 BITS = 14
-#: Labelled texts, in expectation, on which the likelihoods are fitted, and languages at most.
+#: Different texts of each language, in expectation, on which its likelihoods are fitted.
 SAMPLE_TEXTS = 8000
-LANGUAGES = 64
 # Neighbouring trigrams share bytes, so each counts for less than an independent one.
 TEMPER = 0.3
 #: Rows of the level above that a host's or suffix's own counts are weighed against.
@@ -40,6 +40,7 @@ _DECLARED_EACH, _GRAM_EACH = 0.5, 0.5
 # numbers and keys in a text can cost it is bounded.
 _CHANCE = 0.1
 # Letters of ASCII in lower case and all bytes beyond; anything else is a space.
+_HAS_LETTER = r"[A-Za-z]|[^\x00-\x7F]"
 _LETTERS = bytes(b if b >= 0x80 or chr(b).islower() else b + 32 if chr(b).isupper() else 32 for b in range(256))
 
 
@@ -67,7 +68,9 @@ class LanguageModel:
 
     def __init__(self, languages: list[str], counts: np.ndarray) -> None:
         self.languages = languages
-        smooth = counts + _GRAM_EACH
+        # Smoothing must not make a language of few texts look like chance, or noise would pass as it.
+        scale = np.maximum(1, (1 << BITS) / np.maximum(1, counts.sum(1, keepdims=True)))
+        smooth = counts * scale + _GRAM_EACH
         shares = smooth / smooth.sum(1, keepdims=True)
         self.table = np.log((1 - _CHANCE) * shares + _CHANCE / (1 << BITS)).astype(np.float32)
 
@@ -84,12 +87,24 @@ class LanguageModel:
 
 
 def fit_language_model(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> LanguageModel:
-    """Count trigrams of a bounded sample of ``labelled`` (text, lang), whichever rows hash lowest."""
+    """Count trigrams of a bounded sample of ``labelled`` (text, lang).
+
+    Of each language whichever ``sample_texts`` different texts hash lowest, all of them where there
+    are fewer; equal texts count once.  So every label with a letter in any text is in the model, and
+    its table grows with their number: 2**BITS cells each.
+    """
     small_batches(labelled.sparkSession)
-    known = labelled.select("text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
-    rows = known.count()
-    bound = int(min(1.0, sample_texts / max(1, rows)) * (1 << 30))
-    sample = known.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < bound)
+    known = labelled.select("text", "lang", F.xxhash64("text").alias("_hash"))
+    # Other texts have no trigram and would take a language's places in vain.
+    known = known.filter(F.col("lang").isNotNull() & F.col("text").rlike(_HAS_LETTER))
+    sizes = known.select("lang", "_hash").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()
+    languages = sorted(row.lang for row in sizes)
+    counts = np.zeros((len(languages), 1 << BITS))
+    if not languages:
+        return LanguageModel(languages, counts)
+    bounds = F.create_map(*[F.lit(x) for row in sizes for x in (row.lang, int(min(1.0, sample_texts / row.n) * (1 << 30)))])
+    sample = known.filter(F.pmod("_hash", F.lit(1 << 30)) < F.element_at(bounds, F.col("lang")))
+    sample = sample.dropDuplicates(["lang", "_hash"]).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -108,13 +123,10 @@ def fit_language_model(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS) ->
             )
 
     cells = sample.mapInArrow(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    cells = staged(cells, "language-counts")
-    by_size = cells.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    languages = sorted(row.lang for row in by_size.collect())
-    counts = np.zeros((len(languages), 1 << BITS))
-    # At most LANGUAGES x 2**BITS cells.
-    for row in cells.filter(F.col("lang").isin(languages)).toArrow().to_pylist():
-        counts[languages.index(row["lang"]), row["bucket"]] = row["n"]
+    # At most 2**BITS cells a language.
+    found = cells.toArrow()
+    place = pc.index_in(found.column("lang"), pa.array(languages)).to_numpy()
+    counts[place, found.column("bucket").to_numpy()] = found.column("n").to_numpy()
     return LanguageModel(languages, counts)
 
 
@@ -175,7 +187,7 @@ def identify(rows: DataFrame, keep: str, model: LanguageModel) -> DataFrame:
     for row in counted.filter(F.col("_tag").isin(model.languages)).groupBy("_tag").agg(sums.alias("n")).collect():
         matrix[model.languages.index(row["_tag"])] += row["n"]
     declared = np.log(matrix / matrix.sum(0))  # of a true language, how it is declared
-    by_tag = F.array(*(F.array(*map(F.lit, line)) for line in declared.tolist()), F.array(*[F.lit(0.0)] * size))
+    by_tag = F.array(*map(constant, [*declared.tolist(), [0.0] * size]))
 
     top = np.array([n or 0.0 for n in counted.agg(sums).first()[0]]) + 1.0
     top = F.array(*map(F.lit, (top / top.sum()).tolist()))
