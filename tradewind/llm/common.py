@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,10 +61,31 @@ def texts(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def table_bytes(separators: bytes) -> bytes:
+    """A table for ``bytes.translate`` that turns separators to spaces."""
+    return bytes(32 if b in separators else b for b in range(256))
+
+
 def cell(array: np.ndarray) -> bytes:
     return np.ascontiguousarray(array).tobytes()
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, and of ``limit`` bytes in ``column`` unless one row holds more.
+
+    Spark bounds the bytes of what it hands over; this bounds what a task makes of it, by no session setting.
+    """
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column).cast(pa.large_binary())), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            end = int(np.searchsorted(ends, before + limit, side="right"))
+            end = min(max(end, start + 1), start + rows, batch.num_rows)
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def grouped(rows: Iterator[tuple], size: Callable[[tuple], int], limit: int) -> Iterator[list[tuple]]:
     """Lists of rows of about ``limit`` in size; a larger row has a list of its own."""
     held, total = [], 0

@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tradewind.llm import (
+    conversation_tree,
     jaccard,
     language_id,
     language_model,
+    minhash,
     mixing,
     quality_rules,
+    resampling,
     secrets,
     sentencepiece_fst,
     sql,
@@ -67,6 +70,19 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, folder, "documents"))
 
 
+def op11_conversation_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_tree.rebuilt_tree(table(spark, folder, "conversations"))
+
+
+def op12_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    scored = resampling.importance_scores(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return scored.drop("mark")
+
+
+def op13_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     listed = [
         op1_near_duplicates,
@@ -79,6 +95,9 @@ def queries() -> dict[str, Query]:
         op8_pieces,
         op9_secrets,
         op10_repeats,
+        op11_conversation_tree,
+        op12_resampling,
+        op13_minhash,
     ]
     return {query.__name__: query for query in listed} | {"pipeline": corpus_pipeline.run}
 

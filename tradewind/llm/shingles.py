@@ -1,4 +1,4 @@
-"""Sets of five-word shingles as 64-bit numbers, for many texts at a time."""
+"""Sets of word shingles as 64-bit numbers, for many texts at a time."""
 
 from __future__ import annotations
 
@@ -29,25 +29,25 @@ def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return flat, counts
 
 
-def shingle_sets(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The texts' distinct shingles, text by text in rising order, and each set's size.
+def shingle_sets(texts: list[bytes | None], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' distinct shingles of ``width`` words, five at most, text by text in rising order, and each set's size.
 
     A text of fewer words than a shingle has its whole sequence as one; a text
     without words, or NULL, has none.
     """
     flat, counts = word_hashes(texts)
     owner = np.repeat(np.arange(len(texts)), counts)
-    last = len(flat) - WIDTH + 1
+    last = len(flat) - width + 1
     parts, owners = [], []
     if last > 0:
         rolled = flat[:last] * _PLACES[0]
-        for place in range(1, WIDTH):
+        for place in range(1, width):
             rolled = rolled + flat[place : place + last] * _PLACES[place]
-        whole = owner[:last] == owner[WIDTH - 1 :]
+        whole = owner[:last] == owner[width - 1 :]
         parts.append(mix(rolled[whole]))
         owners.append(owner[:last][whole])
     starts = np.concatenate(([0], np.cumsum(counts)))
-    short = np.flatnonzero((counts > 0) & (counts < WIDTH))
+    short = np.flatnonzero((counts > 0) & (counts < width))
     if len(short):
         places = np.array(_PLACES, _U)
         codes = [(flat[starts[i] : starts[i + 1]] * places[: counts[i]]).sum(dtype=_U) for i in short]
