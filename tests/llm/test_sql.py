@@ -12,6 +12,6 @@ from tradewind.llm import registered
 @pytest.mark.parametrize("name", sorted(registered.oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     assert difference(entry.queries()[name](spark, SMALL), con, entry.oracle_sql()[name]) is None

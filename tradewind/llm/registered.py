@@ -109,4 +109,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_mix": sql.MIX,
         "op5_top_k": sql.TOP_K,
         "op10_repeats": sql.REPEATS,
+        "op11_conversation_tree": sql.CONVERSATION_TREE,
+        "op12_resampling": sql.RESAMPLING,
+        "op13_minhash": sql.MINHASH,
     }

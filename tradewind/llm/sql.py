@@ -55,11 +55,12 @@ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <=
 # Lower case for A to Z only, words split at the six white spaces.
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
-NEAR_DUPLICATES = f"""
+def _near_duplicates(width: int, more: str = "") -> str:
+    return f"""
 WITH RECURSIVE texts AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
 sets AS (
-  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS s
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {width} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - {width - 2}), lambda i: array_to_string(w[i : i + {width - 1}], ' '))) END AS s
   FROM texts),
 classes AS (SELECT list_sort(s) AS s, min(doc_id) AS first, min(r) AS c, len(any_value(s)) AS n FROM sets
             WHERE len(s) > 0 AND doc_id IS NOT NULL GROUP BY list_sort(s)),
@@ -71,10 +72,16 @@ ties AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
 reach AS (SELECT first AS a, first AS b FROM classes UNION SELECT r.a, t.v FROM reach r JOIN ties t ON r.b = t.u),
 least AS (SELECT a, min(b) AS component FROM reach GROUP BY a)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles,
-       CASE WHEN s.doc_id IS NULL THEN NULL WHEN len(s.s) = 0 THEN s.doc_id ELSE l.component END AS component_id
+       CASE WHEN s.doc_id IS NULL THEN NULL WHEN len(s.s) = 0 THEN s.doc_id ELSE l.component END AS component_id{more}
 FROM sets s LEFT JOIN classes c ON list_sort(s.s) = c.s LEFT JOIN least l ON c.first = l.a
 """
 
+
+NEAR_DUPLICATES = _near_duplicates(5)
+
+# A row without a doc_id is no copy of another.
+MINHASH = _near_duplicates(2, ", coalesce(s.doc_id = component_id, true) AS kept")
+
 # Windows are strings of 200 hex digits; a removed byte is one that a repeated window covers.
 REPEATS = """
 WITH texts AS (
@@ -96,3 +103,80 @@ SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed,
        sha256(unhex(CASE WHEN n_spans IS NULL THEN x ELSE kept || substr(x, 2 * last + 1) END)) AS kept_sha256
 FROM texts LEFT JOIN cut USING (r)
 """
+
+def _crc32(text: str) -> str:
+    """The CRC-32 of a text's UTF-8 bytes: eight steps a byte over the reflected polynomial."""
+    byte = "CAST('0x' || substr(hex(encode({0})), 2 * i - 1, 2) AS BIGINT)".format(text)
+    step = "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda y, z: xor(y >> 1, (y & 1) * 3988292384))"
+    each = f"list_transform(range(1, octet_length(encode({text})) + 1), lambda i: {byte})"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {each}), lambda c, b: {step}), 4294967295)"
+
+
+# A node is the digest of the digests of its turns.
+CONVERSATION_TREE = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+lists AS (
+  SELECT conv_id, list((md5(len(role) || ':' || role || text), CAST(octet_length(encode(text)) AS BIGINT))
+                       ORDER BY turn NULLS FIRST, md5(len(role) || ':' || role || text)) AS own
+  FROM turns GROUP BY conv_id),
+plans AS (SELECT *, CAST({_crc32("CAST(conv_id AS VARCHAR)")} % 9 AS INTEGER) AS h, conv_id - conv_id % 5 AS base FROM lists),
+rebuilt AS (
+  SELECT p.conv_id, list_concat(coalesce(b.own[: p.h], []), p.own[p.h + 1 :]) AS steps
+  FROM plans p LEFT JOIN lists b ON b.conv_id = p.base),
+prefixes AS (
+  SELECT conv_id, unnest(range(len(steps) + 1)) AS depth, steps FROM rebuilt),
+named AS (
+  SELECT conv_id, depth, len(steps) AS n_turns, CASE WHEN depth > 0 THEN steps[depth][2] ELSE 0 END AS size,
+         md5(array_to_string(list_transform(steps[: depth], lambda x: x[1]), ',')) AS node,
+         CASE WHEN depth > 0 THEN md5(array_to_string(list_transform(steps[: depth - 1], lambda x: x[1]), ',')) END AS up
+  FROM prefixes),
+nodes AS (
+  SELECT node, any_value(up) AS up, any_value(depth) AS depth, min(conv_id) AS first, count(*) AS n, (count(*) - 1) * any_value(size) AS saved,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE depth = n_turns), '') AS ends
+  FROM named GROUP BY node),
+children AS (SELECT up AS node, count(*) AS n_children FROM nodes WHERE up IS NOT NULL GROUP BY up),
+whole AS (SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c USING (node)),
+-- Each node below each node on the path of its smallest member.
+below AS (
+  SELECT a.node, w.saved, CASE WHEN w.n_children = 0 THEN 1 ELSE 0 END AS leaf
+  FROM whole w JOIN named a ON a.conv_id = w.first AND a.depth <= w.depth),
+sums AS (SELECT node, sum(saved) AS saved_tokens, sum(leaf) AS n_leaves FROM below GROUP BY node)
+SELECT w.first AS conv_id, w.depth, p.first AS parent_conv_id, w.n AS n_convs, w.n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(w.ends) AS ends_sha256
+FROM whole w JOIN sums s USING (node) LEFT JOIN nodes p ON w.up = p.node
+"""
+
+
+# Words of ASCII digits and lower-case letters and of whatever is not ASCII.
+_RUNS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+RESAMPLING = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, md5(coalesce(text, '')) AS mark, {_RUNS} AS w FROM documents),
+items AS (SELECT unnest({_RUNS}) AS word FROM benchmark),
+words AS (SELECT r, unnest(w) AS word FROM docs),
+buckets AS (
+  SELECT word, CAST({_crc32("word")} % 10000 AS BIGINT) AS bucket FROM (SELECT word FROM words UNION SELECT word FROM items)),
+corpus AS (SELECT bucket, count(*) AS s FROM words JOIN buckets USING (word) GROUP BY bucket),
+wanted AS (SELECT bucket, count(*) AS t FROM items JOIN buckets USING (word) GROUP BY bucket),
+totals AS (SELECT (SELECT count(*) FROM words) AS big_s, (SELECT count(*) FROM items) AS big_t),
+gains AS (
+  SELECT c.bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (big_s + 10000)::DOUBLE
+                                        / ((s + 1)::DOUBLE * (big_t + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM corpus c LEFT JOIN wanted USING (bucket) CROSS JOIN totals),
+weights AS (
+  SELECT r, CAST(sum(gain) AS BIGINT) AS total, count(*) AS n FROM words JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY r),
+scored AS (
+  SELECT doc_id, mark, coalesce(n, 0) AS n_features, CASE WHEN n IS NULL THEN 0 ELSE (total - ((total % n) + n) % n) // n END AS weight,
+         CAST('0x' || sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), ''))[:8] AS BIGINT) AS h
+  FROM docs LEFT JOIN weights USING (r)),
+results AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM scored),
+lined AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features, mark) AS place,
+         count(*) OVER (PARTITION BY n_features >= 20) AS many
+  FROM results)
+SELECT doc_id, n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+       CASE WHEN n_features >= 20 AND place <= 10 * many // 100 THEN place END AS rank
+FROM lined
+"""
