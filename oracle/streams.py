@@ -1,5 +1,6 @@
 """Sources, sinks and streams in DuckDB SQL: what the files must hold in the end."""
 
+from oracle.checks import QUALITY
 from oracle.tables import query
 
 _READING = """SELECT event_id, shipment_id, device_id, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude,
@@ -30,6 +31,42 @@ _STATE = f"""SELECT 'SHIPMENT' AS entity_type, shipment_id AS entity_id, latitud
     CASE WHEN temperature > 8.0 THEN 'BREACH' ELSE 'NORMAL' END AS cold_chain_status, CAST(timestamp AS TIMESTAMP) AS updated_at
     FROM ({_TRACKING}) QUALIFY row_number() OVER (PARTITION BY shipment_id ORDER BY timestamp DESC, event_id DESC) = 1"""
 
+# A timer lasts a day after delivery and thirty after anything else; the watermark ends an hour before the newest event.
+_LIVE = f"""SELECT * FROM ({_STATE})
+    WHERE epoch_us(updated_at) // 1000 + 86400000::BIGINT * CASE WHEN status = 'DELIVERED' THEN 1 ELSE 30 END
+          >= (SELECT max(epoch_us(ts)) // 1000 - 3600000 FROM events)"""
+
+_PLANS = """SELECT 'SHP-' || c_custkey AS entity_id, 'WH-' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS destination_id,
+    'CARRIER-' || (c_custkey % 7) AS carrier, (['Air Freight', 'Sea Freight', 'Road Truckload', 'Rail Express'])[c_custkey % 4 + 1] AS mode,
+    TIMESTAMP '2024-01-20 00:00:00' + to_days(CAST(c_custkey % 15 AS INTEGER)) AS promised_at FROM customer"""
+
+_OBJECTS = f"""SELECT * FROM (
+    WITH ends AS (
+      SELECT warehouse_id, city, CAST(latitude AS DOUBLE) AS lat, CAST(longitude AS DOUBLE) AS lon FROM silver_warehouses),
+    lanes AS (SELECT carrier, mode, CAST(count(*) FILTER (is_delayed) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS late
+              FROM silver_shipments GROUP BY carrier, mode),
+    hubs AS (SELECT entity_id, arg_min(city, (abs(latitude - lat) + abs(longitude - lon), warehouse_id)) AS city
+             FROM ({_STATE}), ends WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY entity_id),
+    planned AS (
+      SELECT s.*, hubs.city, p.promised_at, coalesce(l.late, 0.0::DOUBLE) AS late, e.lat, e.lon,
+             (abs(latitude - e.lat) + abs(longitude - e.lon)) * 111.0::DOUBLE / (CAST(speed AS DOUBLE) * 1.852::DOUBLE) AS hours
+      FROM ({_STATE}) s LEFT JOIN hubs USING (entity_id) LEFT JOIN ({_PLANS}) p USING (entity_id)
+      LEFT JOIN lanes l USING (carrier, mode) LEFT JOIN ends e ON p.destination_id = e.warehouse_id),
+    arriving AS (
+      SELECT *, CASE WHEN status = 'DELIVERED' THEN updated_at
+                     WHEN speed > 0 AND lat IS NOT NULL AND lon IS NOT NULL THEN updated_at + to_seconds(CAST(floor(hours * 3600.0::DOUBLE) AS BIGINT))
+                     ELSE promised_at END AS eta FROM planned),
+    delayed AS (
+      SELECT *, CASE WHEN status = 'DELIVERED' THEN 0.0::DOUBLE ELSE floor((1.0::DOUBLE - (1.0::DOUBLE - late) * (1.0::DOUBLE - coalesce(
+        least(1.0::DOUBLE, greatest(0.0::DOUBLE, CAST(epoch_us(eta) - epoch_us(promised_at) AS DOUBLE) / 3600000000.0::DOUBLE) / 72.0::DOUBLE),
+        0.0::DOUBLE))) * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE END AS delay_probability FROM arriving),
+    scored AS (
+      SELECT *, round_even(25.0::DOUBLE * 0.2::DOUBLE + delay_probability * 100.0::DOUBLE * 0.2::DOUBLE + 30.0::DOUBLE * 0.15::DOUBLE
+                           + 20.0::DOUBLE * 0.2::DOUBLE + 15.0::DOUBLE * 0.15::DOUBLE + 20.0::DOUBLE * 0.1::DOUBLE, 1) AS risk_score FROM delayed)
+    SELECT entity_type, entity_id, status, speed AS speed_knots, eta, delay_probability, risk_score,
+           CASE WHEN risk_score > 80 THEN 'CRITICAL' WHEN risk_score > 60 THEN 'HIGH' WHEN risk_score > 30 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level,
+           cold_chain_status, updated_at, latitude, longitude, city FROM scored)"""
+
 BODIES = {
     "read_layer": "SELECT * FROM silver_customers",
     "write_layer": "SELECT * FROM silver_products UNION ALL SELECT * FROM silver_products",
@@ -69,6 +106,12 @@ BODIES = {
         event_type AS condition FROM events""",
     "entity_state": _STATE,
     "entity_state_stream": _STATE,
+    "entity_state_live": _LIVE,
+    "entity_objects": _OBJECTS,
+    # How long a run takes no SQL can tell, only that it takes some time.
+    "ops_gauges": f"""SELECT metric, value, value > 0 AS measured FROM ({QUALITY['ops_metrics']}) WHERE metric <> 'iot_temp_breach_total'
+        UNION ALL SELECT 'iot_temp_breach_total', CAST(count(*) AS DOUBLE), count(*) > 0 FROM ({_ENRICHED}) WHERE is_temp_breach
+        UNION ALL SELECT 'etl_latency_ms', NULL, TRUE""",
 }
 
 SQL = {name: query(body) for name, body in BODIES.items()}

@@ -13,7 +13,7 @@ from tradewind.sources import driver_tables as feeds
 from tradewind.sources import files, kafka
 from tradewind.sources.driver_tables import DriverTables
 from tradewind.sources.shared import fresh_path
-from tradewind.streaming import jobs, state, transforms
+from tradewind.streaming import expiry, jobs, progress, snapshots, state, transforms
 
 SNAPSHOT_DAYS = ["2001-12-30", "2001-12-31"]
 
@@ -184,10 +184,11 @@ def _console_sink(spark: SparkSession, folder: str) -> DataFrame:
     """The telemetry job printing to the console; readings and breaches as its progress reports them."""
     observed = transforms.counting(_enriched(DriverTables(spark, folder)), "telemetry")
     job = jobs.console_sink(observed).option("numRows", 1)
-    query = job.option("checkpointLocation", fresh_path(spark, "console")).trigger(availableNow=True).start()
-    query.awaitTermination()
-    seen = [p["observedMetrics"]["telemetry"] for p in query.recentProgress if "telemetry" in p["observedMetrics"]]
-    counts = [(sum(s["readings"] for s in seen), sum(s["breaches"] for s in seen))]
+    with progress.listening(spark) as totals:
+        query = job.option("checkpointLocation", fresh_path(spark, "console")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        seen = totals.of(query)
+    counts = [(int(seen.get("telemetry.readings", 0)), int(seen.get("telemetry.breaches", 0)))]
     return spark.createDataFrame(counts, "readings bigint, breaches bigint")
 
 
@@ -249,12 +250,54 @@ def _entity_state(spark: SparkSession, folder: str) -> DataFrame:
     return _flat(state.entity_state(transforms.parse_tracking_events(records)))
 
 
-def _entity_state_stream(spark: SparkSession, folder: str) -> DataFrame:
+def _tracked(spark: SparkSession, folder: str) -> tuple[str, T.StructType]:
+    """All tracking events streamed through expiring state; where its snapshots are, and what they hold."""
     records = tracking_records(DriverTables(spark, folder).stream("events"))
-    updates = state.entity_state_updates(transforms.parse_tracking_events(records))
+    changes = expiry.expiring_state_updates(transforms.parse_tracking_events(records))
     path = fresh_path(spark, "entity-state")
-    state.write_state(updates, f"{path}/log", f"{path}/checkpoint").awaitTermination()
-    return _flat(state.read_state(spark.read.parquet(f"{path}/log")))
+    snapshots.write_changes(changes, f"{path}/state", f"{path}/checkpoint").awaitTermination()
+    snapshots.compact(spark, f"{path}/state", changes.schema)
+    return f"{path}/state", changes.schema
+
+
+def _entity_state_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Whatever was ever tracked, ended or not."""
+    path, schema = _tracked(spark, folder)
+    return _flat(snapshots.read_entities(spark, path, schema, history=True))
+
+
+def _entity_state_live(spark: SparkSession, folder: str) -> DataFrame:
+    """Entities whose timers have not fired when the stream ends."""
+    return _flat(snapshots.read_entities(spark, *_tracked(spark, folder)))
+
+
+def entity_plans(customers: DataFrame) -> DataFrame:
+    """Where each tracked shipment is going, on which lane, and when it was promised."""
+    k = F.col("c_custkey")
+    modes = F.array(*[F.lit(m) for m in fixed.TRANSIT_MODES])
+    return customers.select(
+        F.concat(F.lit("SHP-"), k.cast("string")).alias("entity_id"),
+        F.concat(F.lit("WH-"), F.lpad(F.col("c_nationkey").cast("string"), 3, "0")).alias("destination_id"),
+        F.concat(F.lit("CARRIER-"), (k % feeds.CARRIERS).cast("string")).alias("carrier"),
+        F.element_at(modes, (k % 4 + 1).cast("int")).alias("mode"),
+        F.timestamp_add("DAY", (k % 15).cast("int"), F.lit("2024-01-20 00:00:00").cast("timestamp")).alias("promised_at"),
+    )
+
+
+def entity_states(spark: SparkSession, folder: str) -> DataFrame:
+    return state.entity_state(transforms.parse_tracking_events(tracking_records(DriverTables(spark, folder)["events"])))
+
+
+def telemetry_gauges(spark: SparkSession, folder: str) -> DataFrame:
+    """Breaches seen and milliseconds taken by a run of the telemetry stream, as its listener heard them."""
+    observed = transforms.counting(_enriched(DriverTables(spark, folder)), "telemetry")
+    path = fresh_path(spark, "telemetry")
+    with progress.listening(spark) as totals:
+        query = jobs.bounded_ingest(observed, f"{path}/data", f"{path}/checkpoint")
+        query.awaitTermination()
+        seen = totals.of(query)
+    gauges = [("iot_temp_breach_total", seen.get("telemetry.breaches", 0.0)), (progress.LATENCY, seen[progress.LATENCY])]
+    return spark.createDataFrame(gauges, "metric string, value double")
 
 
 def _bounded_ingest(spark: SparkSession, folder: str) -> DataFrame:
@@ -301,6 +344,7 @@ STREAMS = {
     "parse_weather_events": _parse_weather_events,
     "entity_state": _entity_state,
     "entity_state_stream": _entity_state_stream,
+    "entity_state_live": _entity_state_live,
     "bounded_ingest": _bounded_ingest,
     "land_bronze_stream": _land_bronze_stream,
 }

@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import schemas
-from tradewind.operators import forecasting, kpis, quality, reports, scorecards
+from tradewind.operators import entities, forecasting, kpis, quality, reports, scorecards
 from tradewind.plans.medallion import Medallion
-from tradewind.plans.registered_io import IO, STREAMS
+from tradewind.plans.registered_io import IO, STREAMS, entity_plans, entity_states, telemetry_gauges
 from tradewind.plans.registered_kernels import KERNELS, QUALITY
 from tradewind.session import configure
 from tradewind.sources import driver_tables
@@ -226,8 +226,28 @@ def _dq_gate(spark: SparkSession, folder: str) -> DataFrame:
     return summary
 
 
+def _entity_objects(spark: SparkSession, folder: str) -> DataFrame:
+    """The state object of every tracked shipment, its fields side by side."""
+    m = marts(spark, folder)
+    plans = entity_plans(driver_tables.DriverTables(spark, folder)["customer"])
+    found = entities.entity_objects(entity_states(spark, folder), plans, entities.lane_delays(m.shipments), m.warehouses)
+    return found.select("*", "current_location.*").drop("current_location")
+
+
+def _ops_gauges(spark: SparkSession, folder: str) -> DataFrame:
+    """All four gauges of the board from real runs; how long a run took is told only as more than nothing."""
+    m = marts(spark, folder)
+    batch = kpis.ops_metrics(QUALITY["dq_summary"](m), m.shipments, m.iot_sensors).filter("metric <> 'iot_temp_breach_total'")
+    gauges = batch.unionByName(telemetry_gauges(spark, folder))
+    timed = F.col("metric") == "etl_latency_ms"
+    return gauges.select("metric", F.when(~timed, F.col("value")).alias("value"), (F.col("value") > 0).alias("measured"))
+
+
+WHOLE = {"entity_objects": _entity_objects, "ops_gauges": _ops_gauges, "dq_gate": _dq_gate}
+
+
 def queries() -> dict[str, Query]:
     # Kernels and the tables themselves are computed from the feeds, what uses the tables reads them written.
     built = {name: _over(build) for name, build in (KERNELS | SILVER | STAGED | GOLD).items()}
     read = {name: _over_marts(build) for name, build in (REPORTS | KPIS | SCORES | QUALITY).items()}
-    return built | read | {"dq_gate": _dq_gate} | IO | STREAMS
+    return built | read | WHOLE | IO | STREAMS

@@ -10,10 +10,10 @@ from tradewind import fixed_values as fixed
 from tradewind.functions.measures import exceeds
 from tradewind.operators.dedup import latest_per_key, require_key
 
-_MOMENT, _KEY = "timestamp", "shipment_id"
+MOMENT, _KEY = "timestamp", "shipment_id"
 
 
-def _describe(row: Column | None = None) -> list[Column]:
+def describe(row: Column | None = None) -> list[Column]:
     def field(name: str) -> Column:
         return F.col(name) if row is None else row[name]
 
@@ -25,14 +25,14 @@ def _describe(row: Column | None = None) -> list[Column]:
         field("status").alias("status"),
         field("speed").alias("speed"),
         F.when(warm, "BREACH").otherwise("NORMAL").alias("cold_chain_status"),
-        field(_MOMENT).alias("updated_at"),
+        field(MOMENT).alias("updated_at"),
     ]
 
 
 def entity_state(tracking: DataFrame) -> DataFrame:
     """Newest known state per shipment from bounded tracking events."""
-    timed = require_key(tracking, _KEY).withColumn(_MOMENT, F.try_to_timestamp(F.col(_MOMENT)))
-    return latest_per_key(timed, [_KEY], _MOMENT).select(*_describe())
+    timed = require_key(tracking, _KEY).withColumn(MOMENT, F.try_to_timestamp(F.col(MOMENT)))
+    return latest_per_key(timed, [_KEY], MOMENT).select(*describe())
 
 
 def entity_state_updates(tracking: DataFrame) -> DataFrame:
@@ -41,10 +41,10 @@ def entity_state_updates(tracking: DataFrame) -> DataFrame:
     The state store keeps one row per entity, spread over the executors by id;
     a batch's events of one entity are reduced before they are shuffled.
     """
-    timed = require_key(tracking, _KEY).withColumn(_MOMENT, F.try_to_timestamp(F.col(_MOMENT)))
-    order = [_MOMENT, *[c for c in tracking.columns if c not in (_KEY, _MOMENT)]]
+    timed = require_key(tracking, _KEY).withColumn(MOMENT, F.try_to_timestamp(F.col(MOMENT)))
+    order = [MOMENT, *[c for c in tracking.columns if c not in (_KEY, MOMENT)]]
     newest = timed.groupBy(_KEY).agg(F.max(F.struct(*order)).alias("newest"))
-    return newest.select(*_describe(F.col("newest")))
+    return newest.select(*describe(F.col("newest")))
 
 
 def write_state(updates: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
