@@ -14,6 +14,7 @@ import os
 import re
 import sys
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -40,9 +41,9 @@ def main() -> None:
     seconds = {}
     # Before any query: landing the raw feeds, then building and writing all tables.
     began = time.perf_counter()
-    for feed in schemas.RAW:
-        registry.landed(spark, folder, feed)
-        registry.landed(spark, folder, feed, strict=True)
+    with ThreadPoolExecutor(4) as pool:
+        feeds = [(feed, strict) for strict in (False, True) for feed in schemas.RAW]
+        list(pool.map(lambda one: registry.landed(spark, folder, one[0], strict=one[1]), feeds))
     seconds["landing"] = round(time.perf_counter() - began, 3)
     began = time.perf_counter()
     registry.marts(spark, folder).prefetch(*registry.SILVER_TABLES, *registry.GOLD)

@@ -18,7 +18,11 @@ KERNELS = {
     "require_key": "SELECT order_id, customer_id, status FROM raw_orders WHERE customer_id IS NOT NULL",
     "surrogate_key": """SELECT row_number() OVER (ORDER BY order_id) AS order_key, order_id, total_amount_usd
         FROM silver_orders""",
+    "surrogate_key_loads": """SELECT row_number() OVER (ORDER BY CASE WHEN year(order_date) < 1994 THEN 1 WHEN year(order_date) < 1997 THEN 2 ELSE 3 END,
+        order_id) AS order_key, order_id FROM silver_orders""",
 }
+# Loads merged one after another end as all of them at once.
+KERNELS["dedup_merged"] = KERNELS["dedup_keep_first"]
 
 
 def _rule(name, layer, entity, kind, violations, description="", source=None) -> tuple[str, str, str]:
@@ -247,6 +251,15 @@ SCORES = {
                FROM silver_shipments GROUP BY 1) USING (origin_warehouse_id)""",
 }
 
+# What a forecast or prediction must hold whatever the fitted trees are.
+SCORES["demand_forecast_sound"] = f"""
+    SELECT product_id, CASE WHEN known THEN 'SUCCESS' ELSE 'FALLBACK' END AS status,
+           CASE WHEN known THEN 'v1.2.0-RF' ELSE 'fallback-baseline' END AS model_version,
+           CASE WHEN NOT known THEN CAST(trunc(coalesce(historical_avg, 0.0) * 7) AS INTEGER) END AS average_demand, TRUE AS sound
+    FROM (SELECT *, historical_avg IS NOT NULL AND unit_price_usd IS NOT NULL AS known FROM ({SCORES['upcoming_demand']}))"""
+SCORES["delay_prediction_sound"] = f"""
+    SELECT shipment_id, mode AS transport_mode, weather_severity, port_congestion, TRUE AS sound FROM ({SCORES['delay_features']})"""
+
 # The gate runs on the castable feeds and stops below 70 percent.
 GATE = query(f"SELECT * FROM ({_SUMMARY}) WHERE score_pct >= 70", strict=True)
 

@@ -10,10 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-_RANK = "_rank_in_key"
+from tradewind.sources.shared import staged
+
+_RANK, _FOLDER = "_rank_in_key", "key_folder"
 
 
 def _first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -38,6 +42,52 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], moment: str) -> DataFrame
     return _first_per_key(df, keys, [F.col(c).desc_nulls_last() for c in [moment, *ties]])
 
 
+class FirstArrivals:
+    """A written table of the first row of each key that later loads are merged into.
+
+    Rows lie in folders by a hash of their key.  A load reads and rewrites only the folders that its own keys
+    fall into, so its cost follows the load, and the table is what ``dedup_keep_first`` makes of all loads at
+    once, in whatever order they come.  A load merged twice changes nothing.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], arrival: Sequence[str], folders: int):
+        self.spark, self.path, self.schema = spark, path, schema
+        self.keys, self.arrival, self.folders = list(keys), list(arrival), folders
+
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn(_FOLDER, F.pmod(F.xxhash64(*self.keys), F.lit(self.folders)).cast("int"))
+
+    def _stored(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(StructType([*self.schema.fields, StructField(_FOLDER, IntegerType())])).parquet(self.path)
+        except AnalysisException as gone:
+            if gone.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def touched(self, load: DataFrame) -> DataFrame | None:
+        """Stored rows of the folders that a load's keys fall into."""
+        stored = self._stored()
+        if stored is None:
+            return None
+        # As many numbers as there are folders at most.
+        folders = [r[0] for r in self._placed(load).select(_FOLDER).distinct().collect()]
+        return stored.filter(F.col(_FOLDER).isin(folders))
+
+    def merge(self, load: DataFrame) -> None:
+        """``load`` must give the same rows each time it is read: pass a written table."""
+        known, rows = self.touched(load), self._placed(load.select(*self.schema.fieldNames()))
+        both = rows if known is None else known.unionByName(rows)
+        # Kept apart until whole: the folders that are read are the ones replaced.
+        merged = staged(dedup_keep_first(both, [*self.keys, _FOLDER], self.arrival), "merged")
+        writer = merged.repartition(F.col(_FOLDER)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(_FOLDER).parquet(self.path)
+
+    def rows(self) -> DataFrame:
+        stored = self._stored()
+        return self.spark.createDataFrame([], self.schema) if stored is None else stored.drop(_FOLDER)
+
+
 def require_key(df: DataFrame, *keys: str) -> DataFrame:
     """Rows whose key columns are all present; unlike ``dropna`` this reaches the file scan."""
     for key in keys:

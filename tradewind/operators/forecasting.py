@@ -1,6 +1,6 @@
 """Demand forecast and delay prediction with Spark ML.
 
-Features are plain aggregations; fitting and scoring run on the executors.
+Features are plain aggregations; fitting runs on the executors, and fitted trees score as column expressions.
 """
 
 from __future__ import annotations
@@ -8,13 +8,13 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind import fixed_values as fixed
 from tradewind.functions.scoring import mode_code, risk_level
+from tradewind.functions.trees import boosted_probability, forest
 from tradewind.operators.scorecards import with_distance
 
 DEMAND_INPUTS = ["historical_avg", "month", "is_promotion", "unit_price_usd"]
@@ -92,7 +92,8 @@ def fit_demand_model(features: DataFrame, trees: int = fixed.FOREST_TREES, seed:
 
 def forecast_confidence(model: PipelineModel, held_out: DataFrame) -> DataFrame:
     """One row: 100 less the relative absolute error on months the model has not seen."""
-    scored = model.transform(held_out.dropna(subset=[*DEMAND_INPUTS, "demand_7_days"]))
+    known = held_out.dropna(subset=[*DEMAND_INPUTS, "demand_7_days"])
+    scored = known.withColumn("predicted", forest(model.stages[-1], DEMAND_INPUTS))
     errors = scored.agg(
         F.sum(F.abs(F.col("predicted") - F.col("demand_7_days"))).alias("error"), F.sum("demand_7_days").alias("actual")
     )
@@ -105,9 +106,9 @@ def demand_forecast(upcoming: DataFrame, model: PipelineModel, confidence: DataF
     known = F.lit(True)
     for column in DEMAND_INPUTS:
         known = known & F.col(column).isNotNull()
-    scored = model.transform(upcoming.filter(known)).select(
+    scored = upcoming.filter(known).select(
         "product_id",
-        F.round("predicted").cast("int").alias("next_7_days_demand"),
+        F.round(forest(model.stages[-1], DEMAND_INPUTS)).cast("int").alias("next_7_days_demand"),
         confidence.scalar().alias("forecast_confidence_pct"),
         F.lit(fixed.FOREST_VERSION).alias("model_version"),
         F.lit("SUCCESS").alias("status"),
@@ -167,9 +168,9 @@ def unseen_delay_prediction(features: DataFrame) -> DataFrame:
 
 
 def delay_prediction(features: DataFrame, model: PipelineModel) -> DataFrame:
-    probability = F.round(vector_to_array("probability")[1], 2)
+    probability = F.round(boosted_probability(model.stages[-1], DELAY_INPUTS), 2)
     percent = F.round(probability * 100.0, 1)
-    return model.transform(features).select(
+    return features.select(
         "shipment_id",
         percent.alias("delay_probability_pct"),
         risk_level(percent).alias("risk_level"),

@@ -42,6 +42,21 @@ def surrogate_key(df: DataFrame, natural_id: str, key: str) -> DataFrame:
     return numbered(df, F.col(natural_id).asc_nulls_last(), position=key)
 
 
+def extended_keys(known: DataFrame, rows: DataFrame, natural_id: str, key: str) -> DataFrame:
+    """``natural_id`` and ``key`` of all ids after a later load: those in ``known`` keep theirs, new ones go on after the last.
+
+    New ids are numbered by id, each once however often ``rows`` holds it, and a missing id counts as one.
+    Only they are sorted, over all tasks; there are no gaps if ``known`` has none.  Both frames are read
+    twice: pass written tables.
+    """
+    # Structs compare NULL fields as equal, so a missing id is found again.
+    at = F.struct(natural_id).alias("_at")
+    fresh = rows.select(natural_id).distinct().withColumn("_at", at).join(known.select(at), "_at", "left_anti").drop("_at")
+    last = known.agg(F.coalesce(F.max(key), F.lit(0)).alias("_last")).scalar()
+    placed = numbered(fresh, F.col(natural_id).asc_nulls_last(), position="_position")
+    return known.select(natural_id, key).union(placed.select(natural_id, (F.col("_position") + last).cast(known.schema[key].dataType)))
+
+
 def dense_rank_desc(df: DataFrame, group: str, value: str, rank: str) -> DataFrame:
     """Dense rank of ``value``, largest first, inside ``group``; NULL ranks first.
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tradewind import fixed_values as fixed
 from tradewind import schemas
 from tradewind.operators import gold, silver, staging
+from tradewind.plans import landing
 from tradewind.sources import driver_tables as feeds
 from tradewind.sources import files, kafka
 from tradewind.sources.driver_tables import DriverTables
@@ -97,14 +98,12 @@ def iot_records(tables: DriverTables) -> DataFrame:
     return records.withColumn("value", _broken(number, F.col("value")))
 
 
-def shipment_records(tables: DriverTables) -> DataFrame:
-    """Status messages of order lines, joined to their orders as they pass."""
-    lines = tables.stream("lineitem")
-    orders = tables["orders"]
+def shipment_messages(tables: DriverTables) -> DataFrame:
+    """Status messages of order lines."""
     status = F.when(F.col("o_orderstatus") == "F", "DELIVERED").otherwise("IN_TRANSIT")
     line_id = F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"))
     late = F.greatest(F.lit(0), F.round(F.col("l_discount") * 100).cast("int") - 4) * 12
-    messages = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    messages = feeds.order_lines(tables).select(
         F.concat(F.lit("EVT-"), line_id).alias("event_id"),
         F.concat(F.lit("SHP-"), F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber"))).alias("shipment_id"),
         status.alias("status"),
@@ -115,6 +114,11 @@ def shipment_records(tables: DriverTables) -> DataFrame:
     return kafka.to_kafka_records(messages, fixed.TOPIC_SHIPMENTS, F.col("shipment_id"))
 
 
+def shipment_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The topic of status messages: landed as files once, streamed from there without a join."""
+    return landing.streamed(spark, folder, "shipment_messages", shipment_messages)
+
+
 def _moment() -> Column:
     return F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
@@ -160,7 +164,7 @@ def _stream_kafka_iot(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _stream_kafka_shipments(spark: SparkSession, folder: str) -> DataFrame:
-    return jobs.drained(_as_text(shipment_records(DriverTables(spark, folder))), "shipment-records")
+    return jobs.drained(_as_text(shipment_records(spark, folder)), "shipment-records")
 
 
 def _parsed_iot(tables: DriverTables) -> DataFrame:
@@ -202,7 +206,7 @@ def _unique_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _parse_shipment_stream(spark: SparkSession, folder: str) -> DataFrame:
-    parsed = transforms.parse_shipment_stream(shipment_records(DriverTables(spark, folder)))
+    parsed = transforms.parse_shipment_stream(shipment_records(spark, folder))
     return jobs.drained(parsed, "shipments-parsed")
 
 

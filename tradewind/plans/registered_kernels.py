@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from tradewind import schemas
 from tradewind.functions import cleansing as c
 from tradewind.operators import kpis, quality
-from tradewind.operators.dedup import dedup_keep_first, require_key
-from tradewind.operators.ordinals import surrogate_key
+from tradewind.operators.dedup import FirstArrivals, dedup_keep_first, require_key
+from tradewind.operators.ordinals import extended_keys, surrogate_key
 from tradewind.plans.medallion import Medallion
+from tradewind.sources.shared import fresh_path, staged
 
 
 def _dedup_keep_first(m: Medallion) -> DataFrame:
@@ -65,6 +66,32 @@ def _surrogate_key(m: Medallion) -> DataFrame:
     return surrogate_key(m.orders.select("order_id", "total_amount_usd"), "order_id", "order_key")
 
 
+def _loads(rows: DataFrame, moment: str) -> list[DataFrame]:
+    """A table in three loads by its dates, the last also bringing what has none."""
+    year = F.year(moment)
+    return [rows.filter(year < 1994), rows.filter((year >= 1994) & (year < 1997)), rows.filter(year.isNull() | (year >= 1997))]
+
+
+def _dedup_merged(m: Medallion) -> DataFrame:
+    """Orders of three loads merged one after another, the newest first: as all of them deduplicated at once."""
+    rows = m.raw("raw_orders").select("order_id", "product_id", "supplier_id", "unit_price", "ingested_at")
+    spark = rows.sparkSession
+    folders = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    store = FirstArrivals(spark, fresh_path(spark, "first-orders"), rows.schema, ["order_id"], ["ingested_at"], folders)
+    for load in reversed(_loads(rows, "ingested_at")):
+        store.merge(load)
+    return store.rows()
+
+
+def _surrogate_key_loads(m: Medallion) -> DataFrame:
+    """Keys of orders that come in three loads by date: each load goes on after the last."""
+    orders = m.orders.select("order_id", "order_date")
+    known = orders.sparkSession.createDataFrame([], "order_id string, order_key bigint")
+    for load in _loads(orders, "order_date"):
+        known = staged(extended_keys(known, load, "order_id", "order_key"), "order-keys")
+    return known
+
+
 KERNELS = {
     "dedup_keep_first": _dedup_keep_first,
     "coerce_number": _coerce_number,
@@ -75,6 +102,8 @@ KERNELS = {
     "normalize_text": _normalize_text,
     "require_key": _require_key,
     "surrogate_key": _surrogate_key,
+    "dedup_merged": _dedup_merged,
+    "surrogate_key_loads": _surrogate_key_loads,
 }
 
 

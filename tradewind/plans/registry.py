@@ -7,11 +7,15 @@ from functools import partial
 from threading import RLock
 
 from pyspark.errors import AnalysisException
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import schemas
+from tradewind.functions.scoring import risk_level
 from tradewind.operators import entities, forecasting, kpis, quality, reports, scorecards
+from tradewind.plans.landing import landed, state_of
 from tradewind.plans.medallion import Medallion
 from tradewind.plans.registered_io import IO, STREAMS, entity_plans, entity_states, telemetry_gauges
 from tradewind.plans.registered_kernels import KERNELS, QUALITY
@@ -21,51 +25,12 @@ from tradewind.sources.shared import fresh_path, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Where a session has landed a raw feed: (application, folder, feed, strict) -> (state of the files, path).
-_LANDED: dict[tuple[str, str, str, bool], tuple[str, str]] = {}
-_LANDING: dict[tuple[str, str, str, bool], RLock] = {}
-_LANDING_LOCK = RLock()
-
-
-def _state(spark: SparkSession, folder: str) -> str:
-    """What the files of the driver's tables are by name, size and time; their contents are not read."""
-    paths = [f"{folder}/{table}.parquet" for table in driver_tables.SCHEMAS]
-    files = spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime")
-    return str(files.agg(F.count("*"), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first())
-
-
-def landed(spark: SparkSession, folder: str, feed: str, strict: bool = False, state: str | None = None) -> DataFrame:
-    """A raw feed as a written table, derived from the driver's tables once per session.
-
-    The raw layer is where the platform's own work starts; queries over the
-    same folder share it instead of joining order lines to orders each time.
-    A feed is landed again once the folder's files have changed or the copy is gone.
-    """
-    key = (spark.sparkContext.applicationId, folder, feed, strict)
-    state = state or _state(spark, folder)
-    reader = spark.read.schema(schemas.RAW[feed])
-    with _LANDING_LOCK:
-        own = _LANDING.setdefault(key, RLock())
-    with own:
-        was, path = _LANDED.get(key, (None, None))
-        if was == state:
-            try:
-                return reader.parquet(path)
-            except AnalysisException as gone:
-                if gone.getCondition() != "PATH_NOT_FOUND":
-                    raise
-        path = fresh_path(spark, feed)
-        getattr(driver_tables, feed)(driver_tables.DriverTables(spark, folder), strict).write.parquet(path)
-        _LANDED[key] = (state, path)
-        return reader.parquet(path)
-
-
 def medallion(
     spark: SparkSession, folder: str, write_cleansed: bool = False, strict: bool = False
 ) -> Medallion:
     """All tables over a folder; ``strict`` cleanses the castable feeds as well."""
     configure(spark)
-    state = _state(spark, folder)
+    state = state_of(spark, folder)
     castable = {feed: partial(landed, spark, folder, feed, strict=True, state=state) for feed in schemas.RAW}
     usual = {feed: partial(landed, spark, folder, feed, state=state) for feed in schemas.RAW}
     return Medallion(castable if strict else usual, castable, keep=staged if write_cleansed else None)
@@ -84,7 +49,7 @@ def marts(spark: SparkSession, folder: str) -> Medallion:
     """
     configure(spark)
     key = (spark.sparkContext.applicationId, folder)
-    state = _state(spark, folder)
+    state = state_of(spark, folder)
     with _MARTS_LOCK:
         was, marker, model = _MARTS.get(key, (None, None, None))
         if was == state:
@@ -188,15 +153,53 @@ def _risk(m: Medallion) -> DataFrame:
     return scored.select("supplier_id", "composite_risk_score", "risk_level", "dimension_breakdown.*")
 
 
-def _demand_forecast(m: Medallion) -> DataFrame:
-    """Fit on all months but the last, which measures the confidence."""
+def _demand_model(m: Medallion) -> tuple[DataFrame, PipelineModel]:
+    """Features by month, and a model fitted on all months but the last."""
     features = staged(forecasting.demand_features(m.orders), "demand-features")
     last = features.agg(F.max("month_start")).scalar()
-    model = forecasting.fit_demand_model(features.filter(F.col("month_start") < last))
+    return features, forecasting.fit_demand_model(features.filter(F.col("month_start") < last))
+
+
+def _demand_forecast(m: Medallion) -> DataFrame:
+    """The last month on record, which the model has not seen, measures the confidence."""
+    features, model = _demand_model(m)
+    last = features.agg(F.max("month_start")).scalar()
     confidence = forecasting.forecast_confidence(model, features.filter(F.col("month_start") == last))
     return forecasting.demand_forecast(forecasting.upcoming_demand(m.orders), model, confidence)
 
 
+def _demand_forecast_sound(m: Medallion) -> DataFrame:
+    """What is determined of the forecast: who gets a model's, who the average, and that the model's agrees with Spark's own."""
+    features, model = _demand_model(m)
+    upcoming = staged(forecasting.upcoming_demand(m.orders), "upcoming-demand")
+    nobody = features.limit(0)
+    found = forecasting.demand_forecast(upcoming, model, forecasting.forecast_confidence(model, nobody))
+    own = model.transform(upcoming.dropna(subset=forecasting.DEMAND_INPUTS)).select("product_id", F.round("predicted").cast("int").alias("_own"))
+    most = features.agg(F.ceil(F.max("demand_7_days"))).scalar()
+    demand, modelled = F.col("next_7_days_demand"), F.col("status") == "SUCCESS"
+    sound = F.when(modelled, (demand == F.col("_own")) & demand.between(F.lit(0), most)).otherwise(F.col("_own").isNull())
+    return found.join(own, "product_id", "left").select(
+        "product_id", "status", "model_version", F.when(~modelled, demand).alias("average_demand"), sound.alias("sound")
+    )
+
+
+def _delay_prediction_sound(m: Medallion) -> DataFrame:
+    """What is determined of the prediction: its inputs, its level, and that it agrees with Spark's own on each half."""
+    features = staged(_delay_features(m), "delay-features")
+    parts = []
+    for half in (0, 1):
+        rows = features.filter(forecasting.fold() == half)
+        model = forecasting.fit_delay_model(features.filter(forecasting.fold() != half))
+        own = model.transform(rows).select("shipment_id", vector_to_array("probability")[1].alias("_own"))
+        found = forecasting.delay_prediction(rows, model).select("shipment_id", "delay_probability_pct", "risk_level", "key_factors.*")
+        parts.append(found.join(own, "shipment_id"))
+    both = parts[0].unionByName(parts[1])
+    percent = F.col("delay_probability_pct")
+    # Rounded to a hundredth, so half of one apart at most.
+    sound = (F.abs(percent - F.col("_own") * 100.0) <= 0.5 + 1e-6) & (F.col("risk_level") == risk_level(percent))
+    return both.select("shipment_id", "transport_mode", "weather_severity", "port_congestion", sound.alias("sound"))
+
+
 def _delay_features(m: Medallion) -> DataFrame:
     return forecasting.delay_features(m.shipments, m.warehouses, m.iot_sensors)
 
@@ -216,6 +219,8 @@ SCORES = {
     "demand_forecast": _demand_forecast,
     "delay_features": _delay_features,
     "delay_prediction": _delay_prediction,
+    "demand_forecast_sound": _demand_forecast_sound,
+    "delay_prediction_sound": _delay_prediction_sound,
 }
 
 

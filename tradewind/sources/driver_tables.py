@@ -11,6 +11,8 @@ All arithmetic that ends up in text is integer arithmetic.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,9 +45,11 @@ SCHEMAS = {
 class DriverTables:
     """Named access to ``<folder>/<table>.parquet``, one file or a folder of part files."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, written: Callable[[str, DataFrame], DataFrame] | None = None):
+        """``written`` may keep what several feeds are derived from: it gets a name and the frame, and returns a copy."""
         self.spark = configure(spark)
         self.folder = folder.rstrip("/")
+        self.written = written or (lambda name, frame: frame)
 
     def __getitem__(self, table: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[table]).parquet(f"{self.folder}/{table}.parquet")
@@ -179,8 +183,10 @@ def raw_customers(tables: DriverTables, strict: bool = False) -> DataFrame:
     return _feed(df, "raw_customers", F.lit(STATIC_LOAD))
 
 
-def _order_lines(tables: DriverTables) -> DataFrame:
-    return tables["lineitem"].join(tables["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+def order_lines(tables: DriverTables) -> DataFrame:
+    """Order lines with their orders, spread evenly: the files they come from may be few and large."""
+    lines = tables["lineitem"].join(tables["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+    return tables.written("order_lines", lines.hint("rebalance"))
 
 
 def _line_id(prefix: str) -> Column:
@@ -209,7 +215,7 @@ def raw_orders(tables: DriverTables, strict: bool = False) -> DataFrame:
     )
     ordered = F.col("o_orderdate").cast("timestamp")
     status = F.when((F.col("o_orderstatus") == "P") & (F.col("l_linenumber") == 7), "CANCELLED").otherwise(_line_status())
-    df = _order_lines(tables).select(
+    df = order_lines(tables).select(
         _line_id("ORD-").alias("order_id"),
         _defect(strict, customer, (k % 97 == 0, None), (F.col("o_custkey") % 50 == 7, "CUS-UNKNOWN")).alias("customer_id"),
         _id("PRD-", F.col("l_partkey")).alias("product_id"),
@@ -234,7 +240,7 @@ def raw_shipments(tables: DriverTables, strict: bool = False) -> DataFrame:
     minutes = (discount - 4) * 720 + F.when(discount == 4, 40).otherwise(0)
     actual = F.when(_line_status() == "DELIVERED", F.date_format(F.timestamp_add("MINUTE", minutes, estimated), _ISO))
     modes = F.array(*[F.lit(m) for m in fixed.TRANSIT_MODES])
-    df = _order_lines(tables).select(
+    df = order_lines(tables).select(
         _line_id("SHP-").alias("shipment_id"),
         _defect(strict, _line_id("ORD-"), (k % 89 == 2, "ORD-UNKNOWN")).alias("order_id"),
         _id("WH-", F.col("l_suppkey") % NATIONS, 3).alias("origin_warehouse_id"),
@@ -304,4 +310,4 @@ def order_count(tables: DriverTables) -> Column:
 
 
 def raw_iot_sensors(tables: DriverTables, strict: bool = False) -> DataFrame:
-    return iot_readings(tables["events"], order_count(tables), strict)
+    return iot_readings(tables.written("events", tables["events"].hint("rebalance")), order_count(tables), strict)
