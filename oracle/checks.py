@@ -21,6 +21,13 @@ KERNELS = {
     "surrogate_key_loads": """SELECT row_number() OVER (ORDER BY CASE WHEN year(order_date) < 1994 THEN 1 WHEN year(order_date) < 1997 THEN 2 ELSE 3 END,
         order_id) AS order_key, order_id FROM silver_orders""",
 }
+KERNELS["coerce_timestamp_formats"] = """
+    SELECT order_id, text, coalesce(CASE WHEN k NOT IN (1, 2, 3) THEN TRY_CAST(text AS TIMESTAMP) END, try_strptime(text, '%d/%m/%Y %H:%M'),
+                                    try_strptime(text, '%Y%m%d'), try_strptime(text, '%d.%m.%Y')) AS value
+    FROM (SELECT order_id, k, CASE k WHEN 1 THEN substr(t, 9, 2) || '/' || substr(t, 6, 2) || '/' || substr(t, 1, 4) || ' ' || substr(t, 12, 5)
+                                     WHEN 2 THEN substr(t, 1, 4) || substr(t, 6, 2) || substr(t, 9, 2)
+                                     WHEN 3 THEN substr(t, 9, 2) || '.' || substr(t, 6, 2) || '.' || substr(t, 1, 4) ELSE t END AS text
+          FROM (SELECT order_id, order_date AS t, CAST(substr(order_id, 5, 10) AS BIGINT) % 4 AS k FROM raw_orders))"""
 # Loads merged one after another end as all of them at once.
 KERNELS["dedup_merged"] = KERNELS["dedup_keep_first"]
 

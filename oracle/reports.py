@@ -83,6 +83,23 @@ REPORTS = {
          (SELECT count(*) FILTER (quantity_on_hand <= safety_stock) AS stockout_risk_items FROM silver_inventory),
          (SELECT count(*) AS active_suppliers, CAST(round_even(avg(rating), 2) AS DECIMAL(5,2)) AS avg_supplier_rating
           FROM silver_suppliers)""",
+    "summary_kpis_fallback": """
+    SELECT total_orders, round_even(delivered / total_orders * 100.0, 1) AS fulfillment_rate_pct, total_shipments,
+           delayed_shipments, on_time_shipments, round_even(delayed_shipments / total_shipments * 100.0, 1) AS delay_pct,
+           stockout_risk_items, active_suppliers, avg_supplier_rating
+    FROM (SELECT count(*) AS total_orders, count(*) FILTER (status = 'DELIVERED') AS delivered FROM raw_orders),
+         (SELECT count(*) AS total_shipments, count(*) FILTER (status = 'DELAYED') AS delayed_shipments,
+                 count(*) FILTER (status = 'DELIVERED') AS on_time_shipments FROM silver_shipments),
+         (SELECT count(*) FILTER (coalesce(TRY_CAST(quantity_on_hand AS DECIMAL(28,8)), 0) <= coalesce(TRY_CAST(safety_stock AS DECIMAL(28,8)), 0))
+                 AS stockout_risk_items FROM raw_inventory),
+         (SELECT count(*) AS active_suppliers, CAST(round_even(avg(rating), 2) AS DECIMAL(5,2)) AS avg_supplier_rating
+          FROM silver_suppliers)""",
+    # The sketches' own numbers no SQL can tell: exact counts, and that the estimates lie within their bounds.
+    "distinct_products": """SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, count(DISTINCT product_id) AS distinct_exact, TRUE AS sound
+        FROM silver_orders WHERE order_date IS NOT NULL GROUP BY 1""",
+    "lead_time_quantiles": """SELECT carrier, mode, quantile, count(*) AS delivered, TRUE AS sound
+        FROM silver_shipments, (VALUES (0.5::DOUBLE), (0.9::DOUBLE), (0.99::DOUBLE)) AS q(quantile)
+        WHERE shipped_at IS NOT NULL AND actual_delivery_at IS NOT NULL GROUP BY ALL""",
     "dashboard_kpis": """
     SELECT * FROM (SELECT count(*) AS total_orders, CAST(sum(total_amount_usd) AS DECIMAL(20,2)) AS total_revenue_usd FROM silver_orders),
          (SELECT count(*) FILTER (status = 'IN_TRANSIT') AS active_transit_shipments,

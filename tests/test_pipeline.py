@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradewind import schemas
-from tradewind.operators import kpis
 from tradewind.operators.quality import DECLARED_RULES, QualityGateError, dq_summary, run_rules
 from tradewind.plans import pipeline, registry
 from tradewind.plans.medallion import Medallion
@@ -24,9 +23,11 @@ def test_pipeline_writes_every_layer_and_passes_the_gate(spark):
     assert run.report.count() == 10
     for name in ("silver/orders", "gold/fact_orders", "gold/fact_deliveries", "snapshots/orders/ingest_date=2026-08-13"):
         assert spark.read.parquet(f"{where}/{name}").count() > 0
-    summary = dq_summary(run.report)
-    gauges = kpis.ops_metrics(summary, run.tables["shipments"], run.tables["iot_sensors"], run.elapsed_ms)
-    assert {r.metric: r.value for r in gauges.collect()}["etl_latency_ms"] == run.elapsed_ms
+    gauges = {r.metric: r.value for r in run.metrics.collect()}
+    assert set(gauges) == {"data_quality_score_pct", "active_shipments_total", "iot_temp_breach_total", "etl_latency_ms"}
+    assert gauges["etl_latency_ms"] == run.elapsed_ms > 0 and gauges["data_quality_score_pct"] == run.score_pct
+    summary = run.summary.first()
+    assert (summary.total_tests, summary.passed + summary.failed) == (10, 10) and run.summary.exceptAll(dq_summary(run.report)).isEmpty()
     lazily = Medallion(strict)
     assert run.tables["fact_orders"].exceptAll(lazily.fact_orders).isEmpty()
     assert run.tables["fact_shipments"].exceptAll(lazily.fact_shipments).isEmpty()

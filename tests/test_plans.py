@@ -42,3 +42,31 @@ def test_staging_does_not_shuffle(plans):
 
 def test_key_filter_reaches_the_files(plans):
     assert "PushedFilters: [IsNotNull(order_id)]" in plans["stg_orders"]
+
+
+def test_value_rules_shuffle_once_per_key(spark):
+    """Uniqueness of a key and all references to it are counted by one exchange, without joins."""
+    from tradewind import schemas
+    from tradewind.operators import quality
+
+    rules = quality.contract_rules(schemas.SILVER_CONTRACTS) + quality.contract_rules(schemas.GOLD_CONTRACTS, "gold")
+    by_value = [r for r in rules if r.kind in quality.PER_VALUE]
+    domains = {quality._domain(r) for r in by_value}
+    assert len(domains) < len(by_value)
+    columns = {c for r in by_value for e, c in (quality._domain(r), (r.entity, r.columns[0]))}
+    wide = spark.createDataFrame([], ", ".join(f"{c} string" for c in columns)).repartition(2)
+    tables = {e: wide for r in by_value for e, _ in (quality._domain(r), (r.entity, None))}
+    plan = quality.run_rules(spark, tables, by_value)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == len(domains) and "Join" not in plan
+
+
+def test_feeds_are_spread_over_the_cores(spark):
+    for feed in ("raw_orders", "raw_shipments"):
+        assert registry.landed(spark, "/root/testdata/sf0.01", feed).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_the_shipment_topic_is_streamed_without_a_join(spark):
+    from tradewind.plans.registered_io import shipment_records
+
+    records = shipment_records(spark, FOLDER)
+    assert records.isStreaming and "Join" not in records._jdf.queryExecution().analyzed().toString()

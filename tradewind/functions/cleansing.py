@@ -35,8 +35,9 @@ def parse_currency(text: Column, dtype: str = "decimal(12,2)", strict: bool = Tr
     return bare.cast(dtype) if strict else bare.try_cast(dtype)
 
 
-def coerce_timestamp(text: Column) -> Column:
-    return F.try_to_timestamp(text)
+def coerce_timestamp(text: Column, *formats: str) -> Column:
+    """ISO text, or the first of ``formats`` (Spark's patterns) that reads it; NULL if none does."""
+    return F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(f)) for f in formats]) if formats else F.try_to_timestamp(text)
 
 
 def default_value(value: Column, default) -> Column:

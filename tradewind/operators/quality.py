@@ -104,6 +104,35 @@ def _one_pass(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
+def _domain(rule: Rule) -> tuple[str, str]:
+    """The key that a rule compares values of: the parent's for references, the own one for uniqueness."""
+    return (rule.ref_entity, rule.ref_column) if rule.kind in REFERENCES else (rule.entity, rule.columns[0])
+
+
+def _one_domain(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
+    """All rules on values of one key by one shuffle: rows of parent and children tagged, counted by value and tag.
+
+    Rows of a value are counted before they move, so a hot value sends a row a task, and parent and
+    children meet without a join, whichever of them is large.
+    """
+    columns = list(dict.fromkeys(place for r in rules for place in (_domain(r), (r.entity, r.columns[0]))))
+    tagged = [tables[entity].select(F.col(column).alias("value"), F.lit(tag).alias("tag")) for tag, (entity, column) in enumerate(columns)]
+    rows = [F.count_if(F.col("tag") == tag).alias(f"rows{tag}") for tag in range(len(columns))]
+    values = reduce(DataFrame.union, tagged).groupBy("value").agg(*rows)
+    sums, present = [], F.col("value").isNotNull()
+    for i, rule in enumerate(rules):
+        own, known = (F.col(f"rows{columns.index(place)}") for place in ((rule.entity, rule.columns[0]), _domain(rule)))
+        if rule.kind == "unique":
+            bad = F.when(present, F.greatest(own - 1, F.lit(0)))
+        elif rule.kind == "reference":
+            bad = F.when(present & (known == 0), own)
+        else:  # a missing value refers to nothing, even if the parent has one
+            bad = F.when(~present | (known == 0), own)
+        sums += [F.coalesce(F.sum(own), F.lit(0)).alias(f"n{i}"), F.coalesce(F.sum(bad), F.lit(0)).alias(f"v{i}")]
+    results = F.array(*[_result_row(r, F.col(f"n{i}"), F.col(f"v{i}")) for i, r in enumerate(rules)])
+    return values.agg(*sums).select(F.inline(results))
+
+
 def _per_value(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("rows"))
 
@@ -131,6 +160,19 @@ def _foreign_key(df: DataFrame, rule: Rule, parent: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(_result_row(rule, checked, F.col("v")))))
 
 
+def _bucketed(df: DataFrame, column: str) -> bool:
+    """Whether the table's files are divided by some key, so that rows of a value lie together already."""
+    return "Bucketed: true" in df.groupBy(column).count()._jdf.queryExecution().executedPlan().toString()
+
+
+def _by_value(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> list[DataFrame]:
+    """Results of all rules on values of one key: by one shuffle, or none of the parent where that is bucketed."""
+    entity, column = _domain(rules[0])
+    if not _bucketed(tables[entity], column):
+        return [_one_domain(tables, rules)]
+    return [_unique(tables[entity], r) if r.kind == "unique" else _foreign_key(tables[r.entity], r, tables[entity]) for r in rules]
+
+
 def _problem(rule: Rule, tables: Mapping[str, DataFrame]) -> str | None:
     if rule.kind not in PER_ROW + ROW_COUNT + PER_VALUE:
         return f"unknown rule type {rule.kind}"
@@ -154,11 +196,9 @@ def run_rules(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Seque
     fused = [r for r in sound if r.kind not in PER_VALUE]
     for entity in dict.fromkeys(r.entity for r in fused):
         parts.append(_one_pass(tables[entity], [r for r in fused if r.entity == entity]))
-    for rule in sound:
-        if rule.kind == "unique":
-            parts.append(_unique(tables[rule.entity], rule))
-        elif rule.kind in REFERENCES:
-            parts.append(_foreign_key(tables[rule.entity], rule, tables[rule.ref_entity]))
+    by_value = [r for r in sound if r.kind in PER_VALUE]
+    for domain in dict.fromkeys(map(_domain, by_value)):
+        parts += _by_value(tables, [r for r in by_value if _domain(r) == domain])
     broken = [
         (r.layer, r.name, r.description, r.entity, r.kind, None, None, ERROR, problems[r.name])
         for r in rules

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import fixed_values as fixed
-from tradewind.operators import gold, quality
+from tradewind.operators import gold, kpis, quality
 from tradewind.plans.medallion import Medallion
 from tradewind.sources.files import read_layer, write_bucketed, write_lake_snapshot, write_layer
 
@@ -26,6 +26,8 @@ PARALLEL_TABLES = 4
 class Run:
     tables: dict[str, DataFrame]
     report: DataFrame
+    summary: DataFrame
+    metrics: DataFrame
     score_pct: float
     elapsed_ms: int
 
@@ -107,5 +109,11 @@ def run_pipeline(
     label = time.strftime("%Y%m%d_%H%M%S", time.gmtime())
     write_layer(audit, root, "quality_reports", label)
     report = read_layer(spark, root, "quality_reports", label, audit.schema)
-    score = quality.dq_gate(quality.dq_summary(report), 0.0 if minimum_pct is None else minimum_pct)
-    return Run(tables, report, score, round((time.monotonic() - began) * 1000))
+    # The summary document next to the details, and the board's gauges, whether or not the gate lets the run pass.
+    write_layer(quality.dq_summary(report), root, "quality_summaries", label)
+    summary = read_layer(spark, root, "quality_summaries", label)
+    elapsed = round((time.monotonic() - began) * 1000)
+    write_layer(kpis.ops_metrics(summary, silver["shipments"], silver["iot_sensors"], elapsed), root, "metrics", label)
+    metrics = read_layer(spark, root, "metrics", label)
+    score = quality.dq_gate(summary, 0.0 if minimum_pct is None else minimum_pct)
+    return Run(tables, report, summary, metrics, score, elapsed)

@@ -44,6 +44,21 @@ def _coerce_timestamp(m: Medallion) -> DataFrame:
     return m.raw("raw_orders").select("order_id", F.col("order_date").alias("text"), value.alias("value"))
 
 
+def _coerce_timestamp_formats(m: Medallion) -> DataFrame:
+    """Order dates that arrive in four notations."""
+    iso, k = F.col("order_date"), F.substring("order_id", 5, 10).cast("bigint") % 4
+    year, month, day = F.substring(iso, 1, 4), F.substring(iso, 6, 2), F.substring(iso, 9, 2)
+    clock = F.substring(iso, 12, 5)
+    text = (
+        F.when(k == 1, F.concat(day, F.lit("/"), month, F.lit("/"), year, F.lit(" "), clock))
+        .when(k == 2, F.concat(year, month, day))
+        .when(k == 3, F.concat(day, F.lit("."), month, F.lit("."), year))
+        .otherwise(iso)
+    )
+    value = c.coerce_timestamp(F.col("text"), "dd/MM/yyyy HH:mm", "yyyyMMdd", "dd.MM.yyyy")
+    return m.raw("raw_orders").select("order_id", text.alias("text")).withColumn("value", value)
+
+
 def _default_value(m: Medallion) -> DataFrame:
     return m.raw("raw_products").select("product_id", c.default_value(F.col("currency"), "USD").alias("currency"))
 
@@ -98,6 +113,7 @@ KERNELS = {
     "coerce_int_default": _coerce_int_default,
     "parse_currency": _parse_currency,
     "coerce_timestamp": _coerce_timestamp,
+    "coerce_timestamp_formats": _coerce_timestamp_formats,
     "default_value": _default_value,
     "normalize_text": _normalize_text,
     "require_key": _require_key,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tradewind import schemas
 from tradewind.functions.scoring import risk_level
-from tradewind.operators import entities, forecasting, kpis, quality, reports, scorecards
+from tradewind.operators import entities, forecasting, kpis, quality, reports, scorecards, sketches
 from tradewind.plans.landing import landed, state_of
 from tradewind.plans.medallion import Medallion
 from tradewind.plans.registered_io import IO, STREAMS, entity_plans, entity_states, telemetry_gauges
@@ -135,7 +135,16 @@ REPORTS = {
     "product_revenue_rank": lambda m: reports.product_revenue_rank(m.fact_orders, m.dim_product),
 }
 
+def _summary_before_cleansing(m: Medallion) -> DataFrame:
+    """The summary while orders and inventory have no cleansed rows yet: those come from the raw feeds."""
+    tables = {"orders": m.orders.limit(0), "shipments": m.shipments, "inventory": m.inventory.limit(0), "suppliers": m.suppliers}
+    return kpis.summary_kpis(*[kpis.cleansed_or_raw(frame, m.raw(f"raw_{name}")) for name, frame in tables.items()])
+
+
 KPIS = {
+    "summary_kpis_fallback": _summary_before_cleansing,
+    "distinct_products": lambda m: sketches.sound_distinct(m.orders, "product_id", "order_date"),
+    "lead_time_quantiles": lambda m: sketches.sound_quantiles(m.shipments, ["carrier", "mode"], "shipped_at", "actual_delivery_at"),
     "summary_kpis": lambda m: kpis.summary_kpis(m.orders, m.shipments, m.inventory, m.suppliers),
     "dashboard_kpis": lambda m: kpis.dashboard_kpis(m.orders, m.shipments, m.inventory, m.iot_sensors, m.suppliers),
     "active_shipment_map": lambda m: kpis.active_shipment_map(m.shipments, m.warehouses),
