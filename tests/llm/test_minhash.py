@@ -44,7 +44,10 @@ def found(frame):
     return sorted(map(tuple, minhash.near_duplicates(frame).collect()), key=str)
 
 
-def test_families_chains_and_common_passages(documents):
+@pytest.mark.parametrize("rounds,slice_bytes", [(minhash.ROUNDS, minhash.SLICE_BYTES), (0, 6000), (3, 6000)])
+def test_families_chains_and_common_passages(documents, monkeypatch, rounds, slice_bytes):
+    monkeypatch.setattr(minhash, "ROUNDS", rounds)
+    monkeypatch.setattr(minhash, "SLICE_BYTES", slice_bytes)
     texts = [t for seed in range(5) for t in family(seed, 20, 9, 60 + 30 * seed)]
     passage = " ".join(f"p{i}" for i in range(40))
     texts += [f"{passage} " + " ".join(f"q{k}x{i}" for i in range(8 + k)) for k in range(25)]

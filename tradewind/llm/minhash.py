@@ -10,11 +10,15 @@ draws, while a large set costs little more than one hash a shingle.
 
 Texts of one shingle set are one class.  ``ROWS`` neighbouring coordinates are a band's key, and classes
 with a key in common are candidates: of two sets on the threshold of 0.8, (1 - 0.8 ** ROWS) ** BANDS of such pairs,
-under one in a billion, share none.  In each round a key's smallest classes are its centers, and all its other
-classes meet those they are not connected with yet; a center that met all leaves the key, and a key
+under one in a billion, share none.  In each of ``ROUNDS`` rounds a key's smallest class is its center, which all its other
+classes meet that it is not connected with yet; a center that met all leaves the key, and a key
 whose classes are all connected is done.  Candidates that agree on too few coordinates go; the rest are
-confirmed on the exact sets.  So a thousand near copies cost one comparison each, not one a pair,
-hot keys are joined as rows that Spark can split, and no pair goes unmet unless a path of links connects it already.
+confirmed on the exact sets.  So a round costs one comparison a class and key at most, and a thousand near copies are connected by
+about as many comparisons, while hot keys are joined as rows that Spark can split.
+
+Keys that have unconnected classes left after the rounds are joined to families.  A family's classes are dealt to cells of bounded size,
+each holding two slices of it, so that any two share a cell.  A cell compares sketches across components, confirms
+exact sets, and returns the links that connect something new.  No pair with a common key goes unmet unless a path of links connects it.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import cell, slices, texts
@@ -38,8 +42,9 @@ ROWS, BANDS = 4, 40
 COORDINATES = ROWS * BANDS
 #: Candidates agree on so many coordinates; a link of 80 % does so but for one in a hundred billion.
 AGREE = 88
-#: A key's centers in the first round, and how much more in each further one.
-CENTERS, MORE = 1, 8
+#: Rounds of meeting centers (each costs a search for components), and bytes of sketches and sets in a slice of what they leave.
+ROUNDS = 1
+SLICE_BYTES = 2 << 20
 
 _U = np.uint64
 _EMPTY = _U(2**64 - 1)
@@ -171,13 +176,85 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(two, "v").join(one, "u").mapInArrow(confirm, "u bigint, v bigint")
 
 
-def _met(keys: DataFrame, centers: int) -> tuple[DataFrame, DataFrame]:
-    """The keys' smallest classes, and the pairs (u, v) of classes with them that nothing connects yet."""
-    # Spark limits groups on the map side: a hot key sends a few rows a task.
-    first = keys.withColumn("_place", F.row_number().over(Window.partitionBy("key").orderBy("ref")))
-    first = first.filter(F.col("_place") <= centers).select("key", F.col("ref").alias("u"), F.col("component").alias("own"))
-    pairs = keys.join(first, "key").filter((F.col("ref") > F.col("u")) & (F.col("component") != F.col("own")))
-    return first, pairs.select("u", F.col("ref").alias("v")).distinct()
+def _met(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each key's smallest class, and the pairs (u, v) of classes with it that nothing connects yet."""
+    # Summed up on the map side: a hot key sends one row a task.
+    center = keys.groupBy("key").agg(F.min(F.struct("ref", "component")).alias("_center"))
+    center = center.select("key", F.col("_center.ref").alias("u"), F.col("_center.component").alias("own"))
+    pairs = keys.join(center, "key").filter((F.col("ref") > F.col("u")) & (F.col("component") != F.col("own")))
+    return center, pairs.select("u", F.col("ref").alias("v")).distinct()
+
+
+def _rest(keys: DataFrame, center: DataFrame, labels: DataFrame) -> DataFrame:
+    """The keys' classes without their centers, where some are still unconnected."""
+    rest = keys.join(center.select("key", "u"), "key").filter("ref > u").select("key", "ref").join(labels, "ref", "left")
+    rest = rest.select("key", "ref", F.coalesce("component", "ref").alias("component"))
+    ends = rest.groupBy("key").agg(F.min("component").alias("_least"), F.max("component").alias("_most"))
+    return rest.join(ends.filter("_least < _most").select("key"), "key")
+
+
+def _connect(rows: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """Links between components among the classes of one cell, until all that is linked is connected.
+
+    In a cell of two slices only pairs across them are taken.
+    """
+    ref, own, component = (rows.column(c).to_numpy() for c in ("ref", "own", "component"))
+    i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
+    sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint16).reshape(-1, COORDINATES)
+    sets = [np.frombuffer(x, _U) for x in rows.column("members").to_pylist()]
+    sizes = np.array([len(x) for x in sets])
+    right = np.flatnonzero(own == j)
+    found = []
+    for a in np.flatnonzero(own == i):
+        others = right[right > a] if i == j else right
+        n, m = sizes[a], sizes[others]
+        others = others[(100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (component[others] != component[a])]
+        agree = (sketch[others] == sketch[a]).sum(1)
+        near = agree >= AGREE
+        found.append((np.full(int(near.sum()), a), others[near], agree[near]))
+    if not found:
+        return []
+    one, two, agree = (np.concatenate(x) for x in zip(*found, strict=True))
+    up, links = {c: c for c in component.tolist()}, []
+
+    def root(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for place in np.argsort(-agree, kind="stable"):
+        a, b = one[place], two[place]
+        x, y = root(int(component[a])), root(int(component[b]))
+        if x == y:
+            continue
+        both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+        if 100 * both >= percent * (sizes[a] + sizes[b] - both):
+            up[x] = y
+            links.append((int(ref[a]), int(ref[b])))
+    return links
+
+
+def _family_links(keys: DataFrame, wanted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) that connect every component of links among the classes of ``keys``, given those connected already."""
+    least = keys.groupBy("key").agg(F.min("ref").alias("u"))
+    families = components(keys.join(least, "key").select("u", F.col("ref").alias("v")))
+    families = families.select(F.col("node").alias("ref"), F.col("component").alias("family"))
+    of = keys.select("ref", "component").distinct()
+    members = families.join(of, "ref").join(wanted.select("ref", "sketch"), "ref").join(sets, "ref")
+    members = staged(members, "minhash-families")
+    size = members.groupBy("family").agg(F.sum(F.length("members") + F.length("sketch")).alias("_bytes"))
+    size = size.select("family", F.ceil(F.col("_bytes") / SLICE_BYTES).cast("int").alias("slices"))
+    dealt = members.join(size, "family").withColumn("own", F.pmod(F.xxhash64("ref"), F.col("slices")).cast("int"))
+    # Every slice meets every slice, itself included: a row goes to one cell for each.
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    dealt = dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("slices", "other")
+
+    def connect(rows: pa.Table) -> pa.Table:
+        links = _connect(rows, percent)
+        return pa.table({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
+
+    return dealt.groupBy("family", "i", "j").applyInArrow(connect, "u bigint, v bigint")
 
 
 def linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -189,21 +266,21 @@ def linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int
     wanted = keys.select("ref").distinct().join(classes, "ref")
     wanted = staged(wanted.select("ref", "first", "sketch"), "minhash-wanted")
     sets = staged(_sets(docs, wanted.select(F.col("first").alias("doc_id"), "ref"), width), "minhash-sets")
-    links, labels, centers = None, None, CENTERS
-    while not keys.isEmpty():
-        first, pairs = _met(keys, centers)
+    links = docs.sparkSession.createDataFrame([], "u bigint, v bigint")
+    for _ in range(ROUNDS):
+        if keys.isEmpty():
+            break
+        center, pairs = _met(keys)
         near = staged(_agreeing(pairs, wanted), "minhash-near")
-        found = staged(_confirmed(near, sets, percent), "minhash-links")
-        links = found if links is None else links.union(found)
+        links = links.union(staged(_confirmed(near, sets, percent), "minhash-links"))
+        labels = components(links).select(F.col("node").alias("ref"), "component")
+        keys = staged(_rest(keys, center, labels), "minhash-rest")
+    if not keys.isEmpty():
+        links = links.union(staged(_family_links(keys, wanted, sets, percent), "minhash-links"))
         labels = components(links).select(F.col("node").alias("ref"), "component")
-        # The centers met all others of their keys; keys go on with the rest unless that is connected.
-        last = first.groupBy("key").agg(F.max("u").alias("_last"))
-        rest = keys.join(last, "key").filter("ref > _last").select("key", "ref").join(labels, "ref", "left")
-        rest = rest.select("key", "ref", F.coalesce("component", "ref").alias("component"))
-        ends = rest.groupBy("key").agg(F.min("component").alias("_least"), F.max("component").alias("_most"))
-        keys = staged(rest.join(ends.filter("_least < _most").select("key"), "key"), "minhash-rest")
-        centers *= MORE
-    return labels if labels is not None else classes.select("ref", F.col("ref").alias("component")).limit(0)
+    elif links.isEmpty():
+        labels = links.select(F.col("u").alias("ref"), F.col("v").alias("component"))
+    return labels
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
