@@ -118,10 +118,23 @@ def test_crowded_windows_are_told_by_their_bytes(documents, passages):
     docs = documents(*passages).repartition(5)
     blocks = suffix_dedup.staged(docs.selectExpr("doc_id AS id", "doc_id", "text").filter("octet_length(text) >= 100"), "test-texts")
     told = suffix_dedup.staged(suffix_dedup._decided(suffix_dedup._sent_blocks(blocks.select("id", "text"), 4)), "test-blocks")
-    open_ = told.filter("kind <> 0").selectExpr("id", "start", "windows", "offset", "CAST(2 AS TINYINT) AS kind", "anchor")
+    open_ = told.filter("kind <> 0").selectExpr("id", "start", "windows", "offset", "CAST(2 AS TINYINT) AS kind", "anchor", "check")
     sent = suffix_dedup._with_bytes(blocks, open_, 4).filter("kind = 2").collect()
     text = dict(passages)
     assert sent
     for row in sent:
         window = text[row.id].encode()[row.start : row.start + 100]
         assert bytes(row.content) == hashlib.sha256(window).digest()[:16]
+
+
+def test_texts_that_share_an_id_or_have_none(documents, monkeypatch):
+    rnd = random.Random(9)
+    text = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
+    a, b, c, d = text(60), text(70), text(80), text(90)
+    rows = [(1, a), (None, a), (None, b), (None, b + a), (5, c), (5, d), (5, a + d), (5, text(200)), (6, d + c), (6, c), (None, text(300)), (7, b), (7, b)]
+    check(documents(*rows))
+    # Windows of crowded anchors take another way; several tasks find what repeats.
+    monkeypatch.setattr(suffix_dedup, "MANY_BLOCKS", 1)
+    check(documents(*rows).repartition(4))
+    lost = {(r.doc_id, r.n_bytes): r.n_removed for r in suffix_dedup.remove_repeats(documents(*rows)).collect()}
+    assert lost[None, len(rows[10][1])] == 0 and lost[5, len(rows[7][1])] == 0

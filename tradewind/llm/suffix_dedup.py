@@ -78,6 +78,15 @@ def _digests(text: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.frombuffer(b"".join(cells), _U).reshape(-1, 2)
 
 
+def _checks(digests: np.ndarray) -> np.ndarray:
+    """32 bits of each digest: they tell which of several texts under one id a block is of."""
+    return digests[:, 0].astype(np.uint32)
+
+
+def _check(piece: bytes) -> int:
+    return int.from_bytes(hashlib.sha256(piece).digest()[:4], "little")
+
+
 def _blocks(batch: list[bytes]) -> tuple[np.ndarray, ...]:
     """Place of the text, start, windows, anchor's offset, anchor hash and content digest of all blocks."""
     sizes = np.array([len(t) for t in batch], np.int64)
@@ -163,7 +172,7 @@ def _sent_blocks(docs: DataFrame, parts: int) -> DataFrame:
             rank = rank[(keep | known)[rank]]
             bucket, known = bucket[rank], known[rank]
             cuts = np.flatnonzero(np.concatenate(([True], (bucket[1:] != bucket[:-1]) | (known[1:] != known[:-1]), [True])))
-            rows: dict[str, list] = {n: [] for n in ("bucket", "known", "low", "high", "content", "ids", "start", "windows", "offset")}
+            rows: dict[str, list] = {n: [] for n in ("bucket", "known", "low", "high", "content", "check", "ids", "start", "windows", "offset")}
             for a, b in zip(cuts, cuts[1:]):
                 own = rank[a:b]
                 rows["bucket"].append(int(bucket[a]))
@@ -172,11 +181,12 @@ def _sent_blocks(docs: DataFrame, parts: int) -> DataFrame:
                 rows["low"].append(b"" if known[a] else cell(key.astype(np.uint32)))
                 rows["high"].append(b"" if known[a] else cell((key >> _U(32)).astype(np.uint8)))
                 rows["content"].append(b"" if known[a] else cell(content[own]))
+                rows["check"].append(cell(_checks(content[own])) if known[a] else b"")
                 rows["ids"].append(_packed_ids(ids[own]))
                 rows["start"].append(_planes(start[own].astype(np.int32)))
                 rows["windows"].append(cell(count[own].astype(np.uint8)))
                 rows["offset"].append(cell(offset[own].astype(np.uint8)))
-            kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 7]
+            kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 8]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds, strict=True)], list(rows))
 
         for batch in batches:
@@ -193,14 +203,14 @@ def _sent_blocks(docs: DataFrame, parts: int) -> DataFrame:
         if total:
             yield out()
 
-    schema = "bucket int, known boolean, low binary, high binary, content binary, ids binary, start binary, windows binary, offset binary"
+    schema = "bucket int, known boolean, low binary, high binary, content binary, check binary, ids binary, start binary, windows binary, offset binary"
     return docs.mapInArrow(send, schema)
 
 
-_REPLY = "id bigint, start int, windows smallint, offset smallint, kind tinyint, anchor bigint"
+_REPLY = "id bigint, start int, windows smallint, offset smallint, kind tinyint, anchor bigint, check bigint"
 
 
-def _reply(ids, start, windows, offset, kind, anchor) -> pa.Table:  # noqa: ANN001
+def _reply(ids, start, windows, offset, kind, anchor, check) -> pa.Table:  # noqa: ANN001
     return pa.table(
         {
             "id": pa.array(ids, pa.int64()),
@@ -209,6 +219,7 @@ def _reply(ids, start, windows, offset, kind, anchor) -> pa.Table:  # noqa: ANN0
             "offset": pa.array(offset, pa.int16()),
             "kind": pa.array(kind, pa.int8()),
             "anchor": pa.array(anchor, pa.int64()),
+            "check": pa.array(check, pa.int64()),
         }
     )
 
@@ -247,10 +258,13 @@ def _decided(sent: DataFrame) -> DataFrame:
         told = kind >= 0
         at = order[told]
         zeros = np.zeros(len(done[0]), np.int64)
+        known_checks = np.frombuffer(b"".join(column("check", True)), np.uint32).astype(np.int64)
         out = [
             np.concatenate((mine, theirs))
             for mine, theirs in zip(
-                done + (zeros, zeros), (ids[at], start[at], windows[at], offset[at], kind[told], anchor[at].view(np.int64)), strict=True
+                done + (zeros, zeros, known_checks),
+                (ids[at], start[at], windows[at], offset[at], kind[told], anchor[at].view(np.int64), _checks(content[at]).astype(np.int64)),
+                strict=True,
             )
         ]
         return _reply(*out)
@@ -353,6 +367,13 @@ def repeated_windows(
     anchor: np.ndarray, ids: np.ndarray, start: np.ndarray, windows: np.ndarray, offset: np.ndarray, content: list[bytes]
 ) -> list[tuple[int, int, int]]:
     """(document, start, windows) runs of windows that equal an earlier one at the same anchor."""
+    return [(int(ids[i]), int(start[i] + a), n) for i, a, n in _repeated_runs(anchor, ids, start, windows, offset, content)]
+
+
+def _repeated_runs(
+    anchor: np.ndarray, ids: np.ndarray, start: np.ndarray, windows: np.ndarray, offset: np.ndarray, content: list[bytes]
+) -> list[tuple[int, int, int]]:
+    """The same as (block, first window in it, windows)."""
     count = len(ids)
     after = Suffixes([c[o:] for c, o in zip(content, offset, strict=True)])
     ahead = Suffixes([c[:o][::-1] for c, o in zip(content, offset, strict=True)])
@@ -380,7 +401,7 @@ def repeated_windows(
     out = []
     edges = np.diff(np.pad(hit.astype(np.int8), ((0, 0), (1, 1))), axis=1)
     for (i, a), (_, b) in zip(np.argwhere(edges == 1), np.argwhere(edges == -1), strict=True):
-        out.append((int(ids[i]), int(start[i] + a), int(b - a)))
+        out.append((int(i), int(a), int(b - a)))
     return out
 
 
@@ -401,20 +422,23 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 def _with_bytes(docs: DataFrame, open_: DataFrame, parts: int) -> DataFrame:
     """The blocks still to compare, with their bytes, and single windows of crowded anchors."""
-    listed = open_.groupBy("id").agg(F.collect_list(F.struct("start", "windows", "offset", "kind", "anchor")).alias("blocks"))
+    listed = open_.groupBy("id").agg(F.collect_list(F.struct("start", "windows", "offset", "kind", "anchor", "check")).alias("blocks"))
     joined = _packed(docs).join(listed, "id").select("id", "packed", "blocks")
-    schema = "bucket int, " + _REPLY + ", content binary"
+    schema = "bucket int, " + _REPLY.removesuffix(", check bigint") + ", content binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             inflate = zstandard.ZstdDecompressor().decompress
             rows: list[tuple] = []
             ids, starts, marks = [], [], []
+            docs_, texts_ = [], []
             for doc, packed, blocks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 text = inflate(packed)
+                docs_.append(doc)
+                texts_.append(text)
                 for block in blocks:
                     start, windows, anchor = block["start"], block["windows"], block["anchor"]
-                    if start + windows + LENGTH - 1 > len(text):
+                    if _check(text[start : start + windows + LENGTH - 1]) != block["check"]:
                         continue  # of another text under the same id
                     if block["kind"] == _DIFFERING:
                         bucket = int(mix(np.array([anchor], np.int64).view(_U))[0] % _U(parts))
@@ -423,16 +447,18 @@ def _with_bytes(docs: DataFrame, open_: DataFrame, parts: int) -> DataFrame:
                         at = np.arange(start, start + windows)
                         marks.append(_digests(text, at, np.full(windows, LENGTH)))
                         starts.append(at)
-                        ids.append(np.full(windows, doc, np.int64))
+                        ids.append(np.full(windows, len(docs_) - 1))
             if marks:
-                mark, start, owner = np.concatenate(marks), np.concatenate(starts), np.concatenate(ids)
+                mark, start, text_of = np.concatenate(marks), np.concatenate(starts), np.concatenate(ids)
+                owner = np.array(docs_, np.int64)[text_of]
                 order, new, later = _earliest(tuple(mark.T), owner, start)
                 for place in order[new]:
                     rows.append((int(mark[place, 0] % _U(parts)), int(owner[place]), int(start[place]), 1, 0, _CROWDED, 0, mark[place].tobytes()))
                 # Windows that repeat within the batch need no partner; neighbours go as one run.
-                for doc, first, count in _runs(owner[order[later]], start[order[later]]):
-                    bucket = int(mix(np.array([doc + first], np.int64).view(_U))[0] % _U(parts))
-                    rows.append((bucket, doc, first, count, 0, _REPEATED, 0, b""))
+                for place, first, count in _runs(text_of[order[later]], start[order[later]]):
+                    doc, run = docs_[place], texts_[place][first : first + count + LENGTH - 1]
+                    bucket = int(mix(np.array([doc ^ first], np.int64).view(_U))[0] % _U(parts))
+                    rows.append((bucket, doc, first, count, 0, _REPEATED, 0, hashlib.sha256(run).digest()[:4]))
             if rows:
                 kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int16(), pa.int16(), pa.int8(), pa.int64(), pa.binary()]
                 names = ["bucket", "id", "start", "windows", "offset", "kind", "anchor", "content"]
@@ -453,26 +479,29 @@ def _runs(ids: np.ndarray, starts: np.ndarray) -> list[tuple[int, int, int]]:
 
 
 def _compared(cut: DataFrame) -> DataFrame:
-    """(id, start, windows) of the windows among ``cut`` that repeat."""
+    """(id, start, windows, check) of the windows among ``cut`` that repeat."""
 
     def compare(rows: pa.Table) -> pa.Table:
         kind = rows.column("kind").to_numpy()
         ids, start, windows, offset, anchor = (rows.column(c).to_numpy().astype(np.int64) for c in ("id", "start", "windows", "offset", "anchor"))
-        found = [(ids[i], start[i], windows[i]) for i in np.flatnonzero(kind == _REPEATED)]
+        content = rows.column("content")
+        found = [(ids[i], start[i], windows[i], int.from_bytes(content[int(i)].as_py(), "little")) for i in np.flatnonzero(kind == _REPEATED)]
         single = np.flatnonzero(kind == _CROWDED)
         if len(single):
-            mark = np.frombuffer(b"".join(rows.column("content").take(pa.array(single)).to_pylist()), _U).reshape(-1, 2)
+            mark = np.frombuffer(b"".join(content.take(pa.array(single)).to_pylist()), _U).reshape(-1, 2)
             order, _, later = _earliest(tuple(mark.T), ids[single], start[single])
-            found += [(ids[i], start[i], 1) for i in single[order[later]]]
+            checks = _checks(mark)
+            found += [(ids[single[i]], start[single[i]], 1, int(checks[i])) for i in order[later]]
         some = np.flatnonzero(kind == _DIFFERING)
         if len(some):
-            content = rows.column("content").take(pa.array(some)).to_pylist()
-            found += repeated_windows(anchor[some], ids[some], start[some], windows[some], offset[some], content)
-        columns = list(zip(*found, strict=True)) or [[], [], []]
-        kinds = (pa.int64(), pa.int32(), pa.int16())
-        return pa.table({n: pa.array(c, k) for n, c, k in zip(("id", "start", "windows"), columns, kinds, strict=True)})
+            pieces = content.take(pa.array(some)).to_pylist()
+            for i, a, n in _repeated_runs(anchor[some], ids[some], start[some], windows[some], offset[some], pieces):
+                found.append((ids[some[i]], start[some[i]] + a, n, _check(pieces[i][a : a + n + LENGTH - 1])))
+        columns = list(zip(*found, strict=True)) or [[], [], [], []]
+        kinds = (pa.int64(), pa.int32(), pa.int16(), pa.int64())
+        return pa.table({n: pa.array(c, k) for n, c, k in zip(("id", "start", "windows", "check"), columns, kinds, strict=True)})
 
-    return cut.groupBy("bucket").applyInArrow(compare, "id bigint, start int, windows smallint")
+    return cut.groupBy("bucket").applyInArrow(compare, "id bigint, start int, windows smallint, check bigint")
 
 
 def merged_spans(windows: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
@@ -493,9 +522,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans for every row of ``docs`` (doc_id: long, text).
 
     ``spans`` lists the removed byte ranges as ``start:end``.  Documents are ordered by doc_id, one
-    without an id after all others.  Rows of one doc_id count as one document, so
-    repeated rows do not remove each other; of one doc_id with several texts, what repeats in
-    one is removed at the same place of each.  A NULL or empty text has no bytes.  Texts shorter than a window
+    without an id after all others.  Rows of one doc_id, and rows without one, count as one document, so
+    repeated rows do not remove each other; of several texts under one doc_id each loses what was found in itself.  A NULL or empty text has no bytes.  Texts shorter than a window
     lose nothing.  An empty table gives no rows; other columns are not looked at.
     """
     spark = docs.sparkSession
@@ -507,8 +535,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     told = staged(_decided(_sent_blocks(long.select("id", "text"), parts)), "repeat-blocks")
     open_ = told.filter(F.col("kind") != _REPEATED)
     rest = staged(_compared(_with_bytes(long, open_, parts)), "repeat-windows")
-    windows = told.filter(F.col("kind") == _REPEATED).select("id", "start", "windows").union(rest)
-    listed = windows.groupBy("id").agg(F.collect_list(F.struct("start", "windows")).alias("windows"))
+    windows = told.filter(F.col("kind") == _REPEATED).select("id", "start", "windows", "check").union(rest)
+    listed = windows.groupBy("id").agg(F.collect_list(F.struct("start", "windows", "check")).alias("windows"))
     joined = _packed(docs).join(listed, "id", "left").select("doc_id", "packed", "windows")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -517,7 +545,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             rows = []
             for doc_id, packed, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 text = inflate(packed)
-                spans = merged_spans([(w["start"], w["windows"]) for w in found or ()], len(text))
+                # Of several texts under one id each loses what was found in it.
+                own = [(w["start"], w["windows"]) for w in found or () if _check(text[w["start"] : w["start"] + w["windows"] + LENGTH - 1]) == w["check"]]
+                spans = merged_spans(own, len(text))
                 kept, at = hashlib.sha256(), 0
                 for start, end in spans:
                     kept.update(text[at:start])
