@@ -59,3 +59,30 @@ def test_copies_are_what_the_mix_takes(documents):
 def test_empty_table(nothing):
     assert mixing.mix_sources(nothing).collect() == []
     assert mixing.take_mix(nothing).collect() == []
+
+
+@pytest.mark.parametrize("texts", [1, 40, 600])
+def test_rows_without_ids_come_near_the_target(documents, duck, texts):
+    """A source of 1,000 rows, 600 of them without an id, of one text, some, or a text each."""
+    word = lambda i: " ".join(f"w{i % texts}x{k}" for k in range(20 + i % texts % 5))
+    rows = [(None, word(i), "en", "hot") for i in range(600)] + [(i, "a b c d " * 6, "en", "hot") for i in range(400)]
+    rows += [(5000 + i, "e f g " * 9, "en", "other") for i in range(500)]
+    docs = documents(*rows).repartition(3)
+    mixed = mixing.mix_sources(docs)
+    for source in ("hot", "other"):
+        own = [r for r in mixed.collect() if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= max(r.size for r in own)
+    duck.register("shared_rows", docs.toPandas().astype({"doc_id": "Int64"}))
+    sql = entry.oracle_sql()["op3_mix"].replace("FROM documents)", "FROM shared_rows)")
+    assert difference(mixed, duck, sql) is None
+    copies = mixing.take_mix(docs)
+    assert copies.count() == sum(r.taken // r.size for r in mixed.collect())
+
+
+def test_clashing_columns_keep_their_values(documents):
+    rows = [(i, "a b c", "en", f"s{i % 3}") for i in range(60)]
+    names = ["_source", "_hash", "_mark", "size", "_row", "_copies", "_rest", "_cell", "_before", "_passes", "_upto", "col"]
+    docs = documents(*rows).selectExpr("*", *(f"concat('{n}', doc_id) AS {n}" for n in names))
+    copies = mixing.take_mix(docs)
+    assert copies.columns == docs.columns and copies.exceptAll(docs).distinct().join(docs, docs.columns).count() == copies.exceptAll(docs).distinct().count()
+    assert all(r[n] == f"{n}{r.doc_id}" for r in copies.collect() for n in names)

@@ -31,9 +31,9 @@ LEVELS = 4
 _HASH_BITS = LEVEL_BITS * LEVELS
 
 
-def _hash(doc_id: Column) -> Column:
-    """The first 40 bits of the id's MD5; a missing id counts as an empty string."""
-    digits = F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, _HASH_BITS // 4)
+def _hash(value: Column) -> Column:
+    """The first 40 bits of a value's MD5; a missing one counts as an empty string."""
+    digits = F.substring(F.md5(F.coalesce(value.cast("string"), F.lit(""))), 1, _HASH_BITS // 4)
     return F.conv(digits, 16, 10).cast("bigint")
 
 
@@ -64,54 +64,72 @@ def source_targets(sized: DataFrame, budget: float, weights: tuple[int, ...], ep
     return plan.select("_source", "source_size", F.when(above, cap.cast("double")).otherwise(share).alias("target"))
 
 
-def _thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
-    """Whole passes and the hash threshold of each source."""
-    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    plan = targets.withColumn("_passes", passes.cast("bigint"))
-    plan = plan.withColumn("_rest", F.col("target") - F.col("_passes") * F.col("source_size"))
-    plan = staged(plan.withColumns({"_before": F.lit(0).cast("bigint"), "_cell": F.lit(0).cast("bigint")}), "mix-plan")
-    bucket_words = F.col("_words")
+def _refined(rows: DataFrame, plan: DataFrame, hashed: str, cell: str) -> DataFrame:
+    """``plan`` with ``cell``, the value of ``hashed`` at which a source's words reach ``_rest``, and ``_before``, the words below it.
+
+    Each level sums the words of one bucket's parts and goes on with the part that reaches the rest.
+    """
+    plan = plan.withColumn(cell, F.lit(0).cast("bigint"))
     for level in range(1, LEVELS + 1):
         shift = _HASH_BITS - LEVEL_BITS * level
-        inside = sized.join(plan.filter("_rest > 0").select("_source", "_cell"), "_source")
-        inside = inside.filter(F.shiftright("_hash", shift + LEVEL_BITS) == F.col("_cell"))
-        sums = inside.groupBy("_source", F.shiftright("_hash", shift).alias("_bucket")).agg(F.sum("size").alias("_words"))
+        inside = rows.join(plan.filter("_rest > 0").select("_source", cell), "_source")
+        inside = inside.filter(F.shiftright(hashed, shift + LEVEL_BITS) == F.col(cell))
+        sums = inside.groupBy("_source", F.shiftright(hashed, shift).alias("_bucket")).agg(F.sum("size").alias("_words"))
         # At most 2**LEVEL_BITS rows a source, whatever the input.
         upto = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
         sums = sums.withColumn("_upto", F.sum("_words").over(upto))
-        met = sums.join(plan.select("_source", "_rest", F.col("_before").alias("_base")), "_source").filter(
-            (F.col("_base") + F.col("_upto") - bucket_words < F.col("_rest"))
-            & (F.col("_base") + F.col("_upto") >= F.col("_rest"))
-        )
-        met = met.select(
-            "_source",
-            F.col("_bucket").alias("_at"),
-            (F.col("_base") + F.col("_upto") - bucket_words).alias("_below"),
-            (F.col("_base") + F.col("_upto")).alias("_reached"),
-        )
-        found = plan.drop("_before", "_cell", "_reached").join(met, "_source", "left")
-        found = found.select(
-            "*", F.coalesce("_below", F.lit(0)).alias("_before"), F.coalesce("_at", F.lit(0)).alias("_cell")
-        )
-        plan = staged(found.drop("_at", "_below"), f"mix-level{level}")
-    nearer = F.col("_reached") - F.col("_rest") < F.col("_rest") - F.col("_before")
-    threshold = F.when(F.col("_rest") > 0, F.col("_cell") + F.when(nearer, 1).otherwise(0)).otherwise(0)
-    return staged(plan.select("_source", "source_size", "target", "_passes", threshold.alias("_threshold")), "mix-thresholds")
-
-
-def _plan(docs: DataFrame, budget: float, weights: tuple[int, ...], epochs: int) -> tuple[DataFrame, DataFrame]:
-    """Sizes of the documents, written, and the thresholds of their sources."""
-    keyed = _keyed(docs.select("doc_id", "text", "source"))
-    sized = staged(keyed.select("doc_id", "_source", n_words(F.col("text")).alias("size"), "_hash"), "mix-sizes")
-    return sized, _thresholds(sized, source_targets(sized, budget, weights, epochs))
+        met = sums.join(plan.select("_source", "_rest", F.col("_before").alias("_base")), "_source")
+        reached, below = F.col("_base") + F.col("_upto"), F.col("_base") + F.col("_upto") - F.col("_words")
+        met = met.filter((below < F.col("_rest")) & (reached >= F.col("_rest")))
+        met = met.select("_source", F.col("_bucket").alias("_at"), below.alias("_below"))
+        found = plan.withColumnRenamed("_before", "_old").drop(cell).join(met, "_source", "left")
+        found = found.select("*", F.coalesce("_below", "_old").alias("_before"), F.coalesce("_at", F.lit(0)).alias(cell))
+        plan = staged(found.drop("_at", "_below", "_old"), f"mix-{cell[1:]}{level}")
+    return plan
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({"_source": F.struct("source"), "_hash": _hash(F.col("doc_id"))})
+def _thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
+    """Whole passes of each source, and where its further words end: at a hash of ids, and among those at one of texts."""
+    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    plan = targets.withColumn("_passes", passes.cast("bigint"))
+    plan = plan.withColumn("_rest", F.col("target") - F.col("_passes") * F.col("source_size"))
+    plan = staged(plan.withColumn("_before", F.lit(0).cast("bigint")), "mix-plan")
+    plan = _refined(sized, plan, "_hash", "_cell")
+    # Rows that share an id, or have none, share its hash: there the texts' own hashes go on.
+    shared = sized.join(plan.filter("_rest > 0").select("_source", F.col("_cell").alias("_hash")), ["_source", "_hash"])
+    shared = staged(shared.select("_source", "_mark", "size"), "mix-shared")
+    if shared.groupBy("_source").count().filter("count > 1").isEmpty():
+        return plan.withColumn("_mark_cell", F.lit(None).cast("bigint"))
+    return _refined(shared, plan, "_mark", "_mark_cell")
+
+
+def _taken(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """The rows (_source, _hash, _mark, size, ...) with ``_copies``, how often the mix holds each."""
+    plan = plan.select("_source", "_passes", "_rest", "_cell", "_mark_cell", "_before")
+    joined = rows.join(plan, "_source")
+    open_ = F.col("_rest") > 0
+    last = open_ & (F.col("_hash") == F.col("_cell")) & F.coalesce(F.col("_mark") == F.col("_mark_cell"), F.lit(True))
+    below = (F.col("_hash") < F.col("_cell")) | (F.col("_hash") == F.col("_cell")) & F.coalesce(F.col("_mark") < F.col("_mark_cell"), F.lit(False))
+    more = joined.filter(~last).withColumn("_copies", F.col("_passes") + F.when(open_ & below, 1).otherwise(0))
+    # At the end itself stand copies of one text, most often one: taken one by one while the target comes nearer.
+    line = Window.partitionBy("_source").orderBy("size").rowsBetween(Window.unboundedPreceding, 0)
+    edge = joined.filter(last).withColumn("_upto", F.col("_before") + F.sum("size").over(line))
+    nearer = F.col("_upto") - F.col("_rest") < F.col("_rest") - (F.col("_upto") - F.col("size"))
+    further = (F.col("_upto") < F.col("_rest")) | (F.col("_upto") - F.col("size") < F.col("_rest")) & nearer
+    edge = edge.withColumn("_copies", F.col("_passes") + F.when(further, 1).otherwise(0)).drop("_upto")
+    return more.unionByName(edge).drop("_passes", "_rest", "_cell", "_mark_cell", "_before")
+
+
+def _keys(row: str = "") -> dict[str, Column]:
+    of = lambda name: F.col(f"{row}.{name}" if row else name)
+    return {"_source": F.struct(of("source").alias("source")), "_hash": _hash(of("doc_id")), "_mark": _hash(of("text")), "size": n_words(of("text"))}
 
 
-def _copies() -> Column:
-    return F.col("_passes") + F.when(F.col("_hash") < F.col("_threshold"), 1).otherwise(0)
+def _plan(docs: DataFrame, budget: float, weights: tuple[int, ...], epochs: int) -> tuple[DataFrame, DataFrame]:
+    """Sizes of the documents, written, and where their sources' words end, with each source's size and target."""
+    sized = docs.select("doc_id", *(c.alias(n) for n, c in _keys().items()))
+    sized = staged(sized, "mix-sizes")
+    return sized, staged(_thresholds(sized, source_targets(sized, budget, weights, epochs)), "mix-thresholds")
 
 
 def mix_sources(
@@ -122,23 +140,29 @@ def mix_sources(
     ``budget`` is the mix's size as a share of all words.  ``taken / size`` is how
     often the mix holds the document.  A NULL or empty text has size 0 and takes
     0 words.  A NULL source is a source of its own, ordered last.  Rows of one
-    doc_id, and rows without one, share a hash and are taken alike.  An empty
+    doc_id, and rows without one, share a hash; where a source's target ends among them, they are
+    told apart by their texts, and copies are taken one by one.  An empty
     table gives no rows.  Other columns are not looked at.
     """
     sized, plan = _plan(docs, budget, weights, epochs)
-    return sized.join(plan, "_source").select(
+    taken = _taken(sized, plan).join(plan.select("_source", "source_size", "target"), "_source")
+    return taken.select(
         "doc_id",
         "size",
         "source_size",
         "target",
-        (F.col("size") * _copies()).alias("taken"),
+        (F.col("size") * F.col("_copies")).alias("taken"),
         F.col("_source.source").alias("source"),
     )
 
 
 def take_mix(docs: DataFrame, budget: float = 1.0, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
-    """The rows of ``docs`` as often as ``mix_sources`` takes them, with their columns as they are."""
+    """The rows of ``docs`` as often as ``mix_sources`` takes them, all their columns as they are.
+
+    NULLs, empty texts, repeated rows and an empty table as there; a row whose text has no words is taken like others of its hash.
+    """
     _, plan = _plan(docs, budget, weights, epochs)
-    taken = _keyed(docs).join(plan.select("_source", "_passes", "_threshold"), "_source").withColumn("_copies", _copies())
-    taken = taken.filter("_copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(docs.columns)
+    # The row travels as one struct, so its columns' names meet no others.
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"))
+    taken = _taken(rows.withColumns(_keys("_row")), plan).filter("_copies > 0")
+    return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_row.*")

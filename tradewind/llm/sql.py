@@ -5,6 +5,7 @@ from __future__ import annotations
 MIX = r"""
 WITH sized AS (
   SELECT doc_id, source, ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 10))::BIGINT AS h,
+         ('0x' || substr(md5(coalesce(text, '')), 1, 10))::BIGINT AS mark,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
   FROM documents),
 totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS s FROM sized GROUP BY source),
@@ -28,8 +29,8 @@ passes AS (
   SELECT *, CASE WHEN s > 0 THEN CAST(floor(target / s) AS BIGINT) ELSE 0 END AS q FROM targets),
 runs AS (
   SELECT d.doc_id, d.size, p.s, p.target, p.q, p.target - p.q * p.s AS rest, d.source, d.h,
-         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
-         sum(d.size) OVER (PARTITION BY d.source, d.h) AS cell
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.mark, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+         d.size AS cell
   FROM sized d JOIN passes p ON d.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, CAST(size AS BIGINT) AS size, s AS source_size, target,
        CAST(size * (q + CASE WHEN rest > 0 AND (upto < rest OR upto - cell < rest AND upto - rest < rest - (upto - cell))
