@@ -58,6 +58,7 @@ def test_pieces_are_the_librarys(stages):
     last = stages[5].collect()
     assert len(last) == stages[4].count()
     assert all(r.piece_ids == library.encode(text[r.doc_id]) for r in last)
+    assert all(r.lossless == ("\u2581" not in (text[r.doc_id] or "")) for r in last)
 
 
 def test_query_runs_all_stages(spark, stages):
@@ -72,7 +73,18 @@ def test_awkward_rows(spark, awkward, nothing):
         docs.collect()
 
 
+def test_clashing_columns_keep_their_values(spark, documents):
+    """Columns named like the operators' own pass through the stages that return documents."""
+    rows = [(i, f"password = abcDEF12345{i} and some plain words that go on here " * 4, "en", f"s{i % 2}") for i in range(12)]
+    names = ["_row", "_copy", "_id", "_text", "_spans", "_masked", "_hash", "_mark", "_source", "_passes", "_copies", "size", "component_id"]
+    docs = documents(*rows).selectExpr("*", *(f"concat('{n}', doc_id) AS {n}" for n in names))
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        docs = staged(stage(spark, docs, SMALL), f"clashing-{name}")
+        found = docs.collect()
+        assert found and all(r[n] == f"{n}{r.doc_id}" for r in found for n in names)
+
+
 def test_sql_is_given_where_it_can_be():
-    with_sql = {"op1_near_duplicates", "op3_mix", "op5_top_k", "op10_repeats"}
+    with_sql = {"op1_near_duplicates", "op3_mix", "op5_top_k", "op10_repeats", "op11_conversation_tree", "op12_resampling", "op13_minhash"}
     names = {n for n in entry.queries() if n.startswith("op") and n[2].isdigit() or n == "pipeline"}
-    assert len(names) == 11 and with_sql <= names & set(entry.oracle_sql())
+    assert len(names) == 14 and with_sql <= names & set(entry.oracle_sql())

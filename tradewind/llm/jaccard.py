@@ -356,14 +356,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` (doc_id: long, text, ...) with the smallest doc_id of their component.
+    """The rows of ``docs`` (doc_id: long, text, ...) with the smallest doc_id of their component, all their columns as they are.
 
-    Rows equal in doc_id and text are one document, of which one stays.  Rows without a doc_id all stay.
+    Rows equal in doc_id and text are one document, of which one stays.  Rows without a doc_id all stay.  NULL and empty
+    texts link with nothing; an empty table gives no rows.
     """
     found = near_duplicates(docs, percent)
-    first = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    first = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
+    # The row travels as one struct, so its columns' names meet no others.
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"))
+    rows = rows.select("_row", F.col("_row.doc_id").cast("bigint").alias("_id"), F.col("_row.text").alias("_text"))
     # One shuffle by doc_id serves the join and the numbering of equal rows.
-    same = Window.partitionBy("doc_id", "text").orderBy(F.lit(0))
-    kept = docs.filter("doc_id IS NOT NULL").join(first, "doc_id", "left_semi")
-    kept = kept.withColumn("_copy", F.row_number().over(same)).filter("_copy = 1").drop("_copy")
-    return kept.select(docs.columns).union(docs.filter("doc_id IS NULL"))
+    same = Window.partitionBy("_id", "_text").orderBy(F.lit(0))
+    kept = rows.filter("_id IS NOT NULL").join(first, "_id", "left_semi")
+    kept = kept.withColumn("_copy", F.row_number().over(same)).filter("_copy = 1")
+    return kept.select("_row").union(rows.filter("_id IS NULL").select("_row")).select("_row.*")

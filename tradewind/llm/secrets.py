@@ -204,9 +204,11 @@ def mask_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by a mask; ``n_chars`` follows where there is one.
 
     Overlapping spans are masked together.  NULL texts stay NULL; texts without
-    secrets, and all other columns, stay as they are.
+    secrets, and all other columns, stay as they are.  Repeated rows are masked each; an empty table gives no rows.
     """
-    found = _found(docs)
+    # The row travels as one struct, so its columns' names meet no others.
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"))
+    found = _found(rows.select("_row", F.col("_row.doc_id").alias("doc_id"), F.col("_row.text").alias("text")))
 
     def step(state: Column, span: Column) -> Column:
         gap = F.substring(F.col("text"), state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
@@ -216,5 +218,8 @@ def mask_secrets(docs: DataFrame) -> DataFrame:
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     rest = lambda state: F.concat(state["out"], F.substring(F.col("text"), state["at"] + 1, F.length("text")))
     masked = F.when(F.size("_spans.all") > 0, F.aggregate("_spans.all", start, step, rest)).otherwise(F.col("text"))
-    out = found.withColumn("text", masked).drop("_spans")
-    return out.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else out
+    out = found.select("_row", masked.alias("_masked"))
+    new = {"text": F.col("_masked")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("_masked").cast("bigint")
+    return out.select(*(new[c].alias(c) if c in new else F.col("_row")[c].alias(c) for c in docs.columns))
