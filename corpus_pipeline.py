@@ -17,28 +17,45 @@ VOCABULARY = "piece_bpe_32k.model"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language; ``lang`` becomes the one identified."""
+    """Documents in a language; ``lang`` becomes the one identified.
+
+    A NULL or empty text tells nothing: its declared language and source decide.  Repeated rows are
+    judged each, rows without a doc_id like others; no documents give none.
+    """
     return language_id.keep_identified(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates, that of the smallest doc_id.
+
+    NULL and empty texts and rows without a doc_id all stay; of equal rows one does; no documents give none.
+    """
     return jaccard.keep_one_of_each(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts masked."""
+    """All documents, secrets in their texts masked.
+
+    NULL and empty texts stay as they are, repeated rows are masked each; no documents give none.
+    """
     return secrets.mask_secrets(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them.
+
+    A NULL source is one of its own.  Texts without words and rows without a doc_id are taken like others of their
+    source; repeated rows each; no documents give none.
+    """
     return mixing.take_mix(docs)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their pieces in place of the text."""
-    return sentencepiece_fst.encode(docs, tokenizer_path(VOCABULARY), check=False)
+    """All documents with their pieces in place of the text, decoded again: ``lossless`` says whether that gives the text back.
+
+    NULL and empty texts have no pieces; repeated rows are encoded each; no documents give none.
+    """
+    return sentencepiece_fst.encode(docs, tokenizer_path(VOCABULARY))
 
 
 STAGES = [
