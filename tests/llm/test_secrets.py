@@ -4,10 +4,12 @@ import hashlib
 import random
 import re
 import string
+import time
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.llm.conftest import SMALL
@@ -87,3 +89,32 @@ def test_query_equals_patterns(spark):
         spans = plain(r.text)
         assert got[r.doc_id].base_sha256 == hashlib.sha256(listed(spans).encode()).hexdigest()
         assert {x for x in got[r.doc_id].spans.split(",") if not x.startswith("random")} == set(listed(spans).split(","))
+
+
+def test_very_many_matches_in_one_text(documents):
+    """Fifty thousand matches, and as many strings for the models between them, in seconds."""
+    rnd = random.Random(8)
+    hexes = [f"{rnd.getrandbits(140):035x}" for _ in range(50_000)]
+    letters = string.ascii_letters + string.digits
+    text = " ".join(f"{h} and {''.join(rnd.choices(letters, k=30))}7a" for h in hexes)
+    began = time.time()
+    row = secrets.find_secrets(documents((1, text), (2, "plain words"))).collect()[0]
+    assert time.time() - began < 90
+    spans = [s.split(":") for s in row.spans.split(",")]
+    assert row.n_hex == 50_000 and [text[int(a) : int(b)] for k, a, b in spans if k == "hex"] == hexes
+
+
+@pytest.mark.parametrize("chunk", [2, 128])
+def test_found_spans_outside_the_base(rows, monkeypatch, chunk):
+    monkeypatch.setattr(secrets, "CHUNK", chunk)
+    rnd = random.Random(chunk)
+    data = []
+    for k in range(60):
+        base = [(a, rnd.randrange(3), a + rnd.randrange(1, 30)) for a in (rnd.randrange(300) for _ in range(rnd.randrange(12)))]
+        cuts = sorted(rnd.sample(range(300), 2 * rnd.randrange(12)))
+        data.append((k, [(a, 3, b) for a, b in zip(cuts[::2], cuts[1::2])], base))
+    kind = "array<struct<start:int,kind:int,end:int>>"
+    frame = rows(f"k int, found {kind}, base {kind}", data)
+    got = {r.k: [tuple(s) for s in r.out] for r in frame.select("k", secrets._outside(F.col("found"), F.col("base")).alias("out")).collect()}
+    for k, found, base in data:
+        assert got[k] == [s for s in found if not any(b[0] < s[2] and s[0] < b[2] for b in base)]

@@ -44,6 +44,9 @@ AHEAD_EACH = 0.5
 _RANDOM_WEIGHT, _ORDINARY_WEIGHT, _ORDINARY_EACH = 64.0, 6.4, 0.1
 
 MASK = "[secret]"
+#: Matches of one text that are listed at a time.
+CHUNK = 128
+RANDOM = 3
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
@@ -52,21 +55,53 @@ def _clear(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), "\u0001", "\u0002")
 
 
+def _scanned(items: Column, kind: str, start: int, add: Callable[[Column, Column], Column], emit: Callable[[Column, Column], Column]) -> Column:
+    """``emit(state, item)``, an array of type ``kind``, of all items in order, joined; ``add(state, item)`` is the next state, a number.
+
+    States are first worked out chunk by chunk, by their ``add`` over states too, so that no long list is copied for each item it
+    gains: the work follows the number of items.
+    """
+    empty = F.array().cast(kind)
+
+    def chunk(part: Column, first: Column) -> Column:
+        def step(state: Column, item: Column) -> Column:
+            return F.struct(add(state["at"], item).alias("at"), F.concat(state["out"], emit(state["at"], item)).alias("out"))
+
+        return F.aggregate(part, F.struct(first.alias("at"), empty.alias("out")), step, lambda state: state["out"])
+
+    def whole(parts: Column) -> Column:
+        last = F.transform(parts, lambda part: F.aggregate(part, F.lit(start), add))
+        firsts = F.aggregate(last, F.array(F.lit(start)), lambda done, x: F.concat(done, F.array(_JOINS[add](F.element_at(done, -1), x))))
+        return F.flatten(F.zip_with(parts, F.slice(firsts, 1, F.size(parts)), chunk))
+
+    cut = lambda all_: F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / CHUNK).cast("int")), lambda k: F.slice(all_, k * CHUNK + 1, CHUNK))
+    return let(items, lambda all_: F.when(F.size(all_) > 0, let(cut(all_), whole)).otherwise(empty))
+
+
+def _after(at: Column, piece: Column) -> Column:
+    return at + F.length(piece["text"])
+
+
+def _furthest(at: Column, event: Column) -> Column:
+    return F.greatest(at, event["reach"])
+
+
+# How the state of a chunk joins that of all before it.
+_JOINS = {_after: lambda a, b: a + b, _furthest: lambda a, b: F.greatest(a, b)}
+
+
 def _spans(text: Column, pattern: str, kind: int, keep: Callable[[Column], Column]) -> Column:
     """Leftmost non-overlapping matches as (start, kind, end), those that ``keep`` passes."""
     empty = F.array().cast(_SPANS)
 
-    def step(state: Column, piece: Column) -> Column:
-        end = state["at"] + F.length(piece)
-        span = F.struct(state["at"].alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        taken = F.when(state["hit"] & keep(piece), F.concat(state["found"], F.array(span))).otherwise(state["found"])
-        return F.struct(end.alias("at"), (~state["hit"]).alias("hit"), taken.alias("found"))
+    def emit(at: Column, piece: Column) -> Column:
+        span = F.struct(at.alias("start"), F.lit(kind).alias("kind"), _after(at, piece).alias("end"))
+        return F.when(piece["hit"] & keep(piece["text"]), F.array(span)).otherwise(empty)
 
     # Marks stand around matches, so every second piece is one.
     pieces = F.split(F.regexp_replace(text, pattern, "\u0001$0\u0001"), "\u0001")
-    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("hit"), empty.alias("found"))
-    found = F.aggregate(pieces, start, step, lambda state: state["found"])
-    return F.when(text.rlike(pattern), found).otherwise(empty)
+    marked = F.transform(pieces, lambda p, i: F.struct(p.alias("text"), (i % 2 == 1).alias("hit")))
+    return F.when(text.rlike(pattern), _scanned(marked, _SPANS, 0, _after, emit)).otherwise(empty)
 
 
 def _always(_: Column) -> Column:
@@ -152,8 +187,25 @@ def _judged(text: Column, base: Column, ratios: Column) -> Column:
         likelier = let(ahead, lambda a: (a >= AHEAD) & (a >= AHEAD_EACH * F.length(piece)))
         return _mixed(piece) & likelier
 
-    found = _spans(text, CANDIDATE, 3, random)
-    return F.filter(found, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    found = _spans(text, CANDIDATE, RANDOM, random)
+    return F.when(F.size(base) > 0, _outside(found, base)).otherwise(found)
+
+
+def _outside(found: Column, base: Column) -> Column:
+    """Those of ``found`` that overlap no span of ``base``, by one pass over all their ends and starts in order.
+
+    Where a found span ends, whatever of ``base`` starts earlier has passed; it overlaps one if
+    the furthest end among those lies behind its start.
+    """
+    none = F.lit(-1)
+    passed = F.transform(base, lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("order"), b["end"].alias("reach"), none.alias("start"), none.alias("end")))
+    asked = F.transform(found, lambda s: F.struct(s["end"].alias("at"), F.lit(0).alias("order"), none.alias("reach"), s["start"].alias("start"), s["end"].alias("end")))
+
+    def emit(furthest: Column, event: Column) -> Column:
+        span = F.struct(event["start"].alias("start"), F.lit(RANDOM).alias("kind"), event["end"].alias("end"))
+        return F.when((event["order"] == 0) & (furthest <= event["start"]), F.array(span)).otherwise(F.array().cast(_SPANS))
+
+    return _scanned(F.sort_array(F.concat(passed, asked)), _SPANS, 0, _furthest, emit)
 
 
 def _found(docs: DataFrame) -> DataFrame:
