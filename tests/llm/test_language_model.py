@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 import __spark_entry__ as entry
 from tests.llm.conftest import SMALL
@@ -86,3 +87,68 @@ def test_learning_follows_the_history(weights):
     for _ in range(3):
         weights.learn(numbers, sizes, state)
     assert weights.log10(numbers, sizes).sum() > before / 4
+
+
+def plain_rarer_scores(rows):
+    """Trains and scores the rarer words' softmax word by word; frequent words add nothing."""
+    kind = lambda w: 0 if w is None else xxhash.xxh3_64_intdigest(w[-2:], 5) % language_model.CLASSES
+    mark = lambda w: language_model._END if w is None else xxhash.xxh3_64_intdigest(w) & ~(language_model.CLASSES - 1) | kind(w)
+    texts = [(i, [*(t or "").encode().lower().split(), None]) for i, t in rows]
+    pairs = [(i, [(w, language_model.CLASSES if k == 0 else kind(ws[k - 1])) for k, w in enumerate(ws)]) for i, ws in texts]
+    learned = [p for i, ps in pairs if not language_model.is_held_out(i) for p in ps]
+    counts, seen = collections.Counter(w for w, _ in learned), collections.Counter(learned)
+    frequent = set()
+    for c in range(language_model.CLASSES):
+        ordered = sorted((w for w in counts if kind(w) == c), key=lambda w: (-counts[w], mark(w)))
+        frequent.update(ordered[: language_model.MEMBERS - 1])
+    rare = [w for w in counts if w not in frequent]
+    total, weights = collections.Counter(), {}
+    for (w, h), n in seen.items():
+        if w not in frequent:
+            total[kind(w), h] += n
+            weights[w, h] = 0.0
+
+    def whole(c, h):
+        return 1 + sum((counts[w] + 1) * math.exp(weights.get((w, h), 0.0)) for w in rare if kind(w) == c)
+
+    for _ in range(language_model.STEPS):
+        sums = {cell: whole(*cell) for cell in total}
+        for (w, h), old in list(weights.items()):
+            expected = total[kind(w), h] * (counts[w] + 1) * math.exp(old) / sums[kind(w), h]
+            step = (seen[w, h] - expected - language_model.DECAY * old) / (expected + language_model.DECAY)
+            weights[w, h] = old + max(-1, min(1, step))
+    sums = {(c, h): whole(c, h) for c in range(language_model.CLASSES) for h in range(language_model.HISTORIES)}
+    one = lambda w, h: 0.0 if w in frequent else math.log10((counts[w] + 1) * math.exp(weights.get((w, h), 0.0)) / sums[kind(w), h])
+    return weights, {i: sum(one(w, h) for w, h in ps) for i, ps in pairs}
+
+
+def test_rarer_words_train_and_score_as_word_by_word(documents, spark, monkeypatch):
+    monkeypatch.setattr(language_model, "BATCH_TOKENS", 60)
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{k}{'aa bb cc'.split()[k % 3]}" for k in rng.integers(0, 400, 30) * rng.integers(0, 2, 30) + rng.integers(0, 40, 30))) for i in range(60)]
+    parts = 3
+    batches = language_model._batches(documents(*rows))
+    answers = language_model._counted(batches, parts)
+    words = language_model.Vocabulary(answers)
+    rarer = language_model.Rarer(answers, words)
+    weights, want = plain_rarer_scores(rows)
+    tables = [language_model.Words(r.asDict(), words) for r in answers.filter("marks IS NOT NULL").collect()]
+    got = sorted(float(w) for part in tables for w, rare in zip(rarer.weights(part), part.rare[part.word]) if rare)
+    # Sums carry 16 bits behind the point, so weights agree closely but not to the last digit.
+    assert len(got) > 200 and np.allclose(got, sorted(weights.values()), atol=1e-4)
+    scored = {}
+    for row in language_model._measured(batches, answers, words, rarer, parts).collect():
+        scored.update(zip(row.ids, np.frombuffer(row.rare), strict=True))
+    assert scored.keys() == want.keys()
+    assert all(math.isclose(scored[i], want[i], rel_tol=1e-4, abs_tol=1e-3) for i in want)
+
+
+def test_every_training_word_has_weights_of_its_own(documents):
+    rows = [(i, " ".join(f"w{(i * 7 + k) % 900}" for k in range(40))) for i in range(200)]
+    batches = language_model._batches(documents(*rows))
+    answers = language_model._counted(batches, 2)
+    words = language_model.Vocabulary(answers)
+    tables = [language_model.Words(r.asDict(), words) for r in answers.filter("marks IS NOT NULL").collect()]
+    own = sum(len(np.unique(t.word[t.rare[t.word]])) + int((~t.rare).sum()) for t in tables)
+    assert own == words.types == sum(int((t.counts > 0).sum()) for t in tables)
+    assert sum(int(t.counts.sum()) for t in tables) == words.tokens

@@ -3,12 +3,17 @@
 A token's probability is that of its class given the history, times that of the token
 within its class.  Both are softmaxes over weights of hashed features: the word
 before, the pair before, and words skipped to.  A class gathers words of one ending;
-its members are its most frequent words and one that stands for all others,
-which share its probability by their counts plus one, as in the base score.
+its members are its most frequent words and one that stands for all others.  Among
+those a third softmax decides: every training word has a weight of its own count and
+one for each class of word that came before it, so these weights grow with the
+vocabulary and the corpus.
 
 Counting and training cover every training document.  Texts are written once as
-batches of word numbers; the batches' distinct words are dealt by hash, their
-training counts are summed there and come back to the batches.  Training runs in rounds,
+batches of word numbers.  The batches' distinct words, with the classes before
+them, are dealt by hash; their training counts are summed there and kept as a table.
+The weights of the third softmax are trained on that table: a round needs the sum of each class and
+history over all words, a table of fixed size, and moves each weight by its own gradient; the words'
+log probabilities then go back to the batches.  The frequent words' weights are trained in rounds,
 each over its share of every batch's documents: tasks start from common weights,
 update them by gradients of small groups of tokens, and the updated rows are averaged,
 weighted by how often a task updated each, by slices over several tasks.  Only the mixed weights, of fixed
@@ -18,7 +23,7 @@ size, come to the driver.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import buckets, cell, grouped, small_batches, texts
+from tradewind.llm.common import buckets, cell, grouped, slices, texts
 from tradewind.llm.shingles import word_hashes
 from tradewind.sources.shared import staged
 
@@ -34,13 +39,19 @@ from tradewind.sources.shared import staged
 HELD_OUT_OF, HELD_OUT = 7, 2
 
 CLASSES = 32
-MEMBERS = 32  # the last stands for all rarer words
+MEMBERS = 32  # the last stands for all rarer words, which have weights of their own below it
 ROWS_BITS = 14
 ROUNDS = 2
 RATE = 0.3
 GROUP_TOKENS = 4096
 BATCH_TOKENS = 1 << 19
 _SLICES = 16
+# Histories of a rarer word: the class of the word before, or the start of the text.
+HISTORIES = CLASSES + 1
+STEPS = 4
+DECAY = 1.0
+# Sums of a round are whole numbers of this many parts of one, so that their order does not matter.
+_PARTS = 1 << 16
 
 _U = np.uint64
 _START = CLASSES * MEMBERS
@@ -56,7 +67,7 @@ def is_held_out(doc_id: int | None) -> bool:
 
 
 def _planes(array: np.ndarray) -> bytes:
-    return cell(array.view(np.uint8).reshape(len(array), -1).T)
+    return cell(array.view(np.uint8).reshape(len(array), array.itemsize).T)
 
 
 def _unplaned(data: bytes, kind: type) -> np.ndarray:
@@ -65,7 +76,7 @@ def _unplaned(data: bytes, kind: type) -> np.ndarray:
 
 
 def _batches(docs: DataFrame) -> DataFrame:
-    """Rows of many documents: ids, held out, sizes, word numbers, the words' marks and training counts."""
+    """Rows of many documents: ids, held out, sizes, word numbers and the words' marks."""
 
     def encode(rows: list[tuple[int | None, bytes | None]]) -> tuple:
         held = np.array([is_held_out(i) for i, _ in rows])
@@ -81,24 +92,23 @@ def _batches(docs: DataFrame) -> DataFrame:
         inside = np.ones(len(tokens), bool)
         inside[ends] = False
         tokens[inside] = inverse
-        trained = np.bincount(tokens[np.repeat(~held, sizes)], minlength=len(marks))
         # Frequent words get small numbers, which compress well.
         order = np.argsort(-np.bincount(tokens, minlength=len(marks)), kind="stable")
         number = np.empty(len(order), np.int64)
         number[order] = np.arange(len(order))
         ids = [i for i, _ in rows]
-        return (ids, held.tolist(), cell(sizes.astype(np.int32)), _planes(number[tokens].astype(np.uint32)), cell(marks[order]),
-                cell(trained[order].astype(np.uint32)))
+        return ids, held.tolist(), cell(sizes.astype(np.int32)), _planes(number[tokens].astype(np.uint32)), cell(marks[order])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for b in batches for row in zip(b.column("doc_id").to_pylist(), texts(b.column("text")), strict=True))
+        cut = slices(batches, "text")
+        rows = (row for b in cut for row in zip(b.column("doc_id").to_pylist(), texts(b.column("text")), strict=True))
         # About six bytes a word; a text is never divided.
         for some in grouped(rows, lambda row: len(row[1] or b"") + 6, BATCH_TOKENS * 6):
-            kinds = [pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 4]
-            names = ["ids", "held", "sizes", "tokens", "marks", "trained"]
+            kinds = [pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 3]
+            names = ["ids", "held", "sizes", "tokens", "marks"]
             yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(encode(some), kinds, strict=True)], names)
 
-    schema = "ids array<bigint>, held array<boolean>, sizes binary, tokens binary, marks binary, trained binary"
+    schema = "ids array<bigint>, held array<boolean>, sizes binary, tokens binary, marks binary"
     return staged(docs.mapInArrow(run, schema).withColumn("batch", F.monotonically_increasing_id()), "model-batches")
 
 
@@ -106,49 +116,91 @@ def _bucket_of(marks: np.ndarray, parts: int) -> np.ndarray:
     return ((marks >> _U(32)) % _U(parts)).astype(np.int64)
 
 
-_ANSWER = "batch bigint, bucket int, counts binary, kind int, top binary, n bigint, v bigint"
+def _dealt(marks: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Words in the order of their buckets, the buckets met, and where each one's words lie in that order."""
+    bucket = _bucket_of(marks, parts)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.concatenate(([True], np.diff(bucket[order]) != 0, [True])))
+    return order, bucket[order][cuts[:-1]], list(zip(cuts, cuts[1:]))
+
+
+class Pairs:
+    """The different pairs of a batch's word and history, ordered as ``order`` has the words, and each token's pair."""
+
+    def __init__(self, tokens: np.ndarray, sizes: np.ndarray, marks: np.ndarray, order: np.ndarray) -> None:
+        before = np.empty(len(tokens), np.int64)
+        before[1:] = (marks & _CLASS).astype(np.int64)[tokens[:-1]]
+        before[np.cumsum(sizes) - sizes] = CLASSES
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        keys = place[tokens] * HISTORIES + before
+        met = np.zeros(len(marks) * HISTORIES, bool)
+        met[keys] = True
+        found = np.flatnonzero(met)
+        self.of_token = np.cumsum(met, dtype=np.int32)[keys] - 1
+        self.words, self.histories = found // HISTORIES, found % HISTORIES
+
+
+_ANSWER = "batch bigint, bucket int, at binary, fan binary, hist binary, marks binary, seen binary, kind int, top binary, n bigint, v bigint"
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    parts = [part.split() for part in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [()] * len(parts)
+    return pa.table({name: pa.array(c, kinds[kind]) for (name, kind), c in zip(parts, columns, strict=True)})
 
 
 def _counted(batches: DataFrame, parts: int) -> DataFrame:
-    """Training counts of each batch's words, by bucket; sums and most frequent words of each class."""
+    """By bucket: its words with training counts by history, where each batch's words stand among them; sums and frequent words of classes."""
+    schema = "batch bigint, bucket int, marks binary, fan binary, hist binary, seen binary"
 
     def ask(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in rows:
-            for batch, marks, trained in zip(*(c.to_pylist() for c in some.columns), strict=True):
-                marks, trained = np.frombuffer(marks, _U), np.frombuffer(trained, np.uint32)
-                bucket = _bucket_of(marks, parts)
-                order = np.argsort(bucket, kind="stable")
-                cuts = np.flatnonzero(np.concatenate(([True], np.diff(bucket[order]) != 0, [True])))
-                spans = list(zip(cuts, cuts[1:]))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([batch] * len(spans), pa.int64()),
-                        pa.array(bucket[order][cuts[:-1]], pa.int32()),
-                        pa.array([cell(marks[order[a:b]]) for a, b in spans], pa.binary()),
-                        pa.array([cell(trained[order[a:b]]) for a, b in spans], pa.binary()),
-                    ],
-                    ["batch", "bucket", "marks", "trained"],
-                )
+            for row in some.to_pylist():
+                marks, sizes = np.frombuffer(row["marks"], _U), np.frombuffer(row["sizes"], np.int32)
+                order, met, spans = _dealt(marks, parts)
+                pairs = Pairs(_unplaned(row["tokens"], np.uint32), sizes, marks, order)
+                learned = np.repeat(~np.array(row["held"], bool), sizes)
+                seen = np.bincount(pairs.of_token[learned], minlength=len(pairs.words)).astype(np.uint32)
+                fan = np.bincount(pairs.words, minlength=len(marks)).astype(np.uint8)
+                hist = pairs.histories.astype(np.uint8)
+                out = []
+                for bucket, (a, b) in zip(met.tolist(), spans, strict=True):
+                    x, y = np.searchsorted(pairs.words, (a, b))
+                    out.append((row["batch"], bucket, cell(marks[order[a:b]]), cell(fan[a:b]), cell(hist[x:y]), _planes(seen[x:y])))
+                yield from _table(out, schema).to_batches()
 
     def answer(rows: pa.Table) -> pa.Table:
-        asked = [np.frombuffer(x, _U) for x in rows.column("marks").to_pylist()]
-        own = np.concatenate([np.frombuffer(x, np.uint32) for x in rows.column("trained").to_pylist()])
+        read = lambda name, kind: [np.frombuffer(x, kind) for x in rows.column(name).to_pylist()]
+        asked, fans = read("marks", _U), read("fan", np.uint8)
+        hist = np.concatenate(read("hist", np.uint8))
+        own = np.concatenate([_unplaned(x, np.uint32) for x in rows.column("seen").to_pylist()])
         marks, inverse = np.unique(np.concatenate(asked), return_inverse=True)
-        counts = np.bincount(inverse, weights=own, minlength=len(marks)).astype(np.int64)
-        sizes = [len(x) for x in asked]
-        replies = np.split(counts[inverse], np.cumsum(sizes)[:-1])
-        out = [(b, k, _planes(r), None, None, None, None) for b, k, r in zip(rows.column("batch").to_pylist(), rows.column("bucket").to_pylist(), replies, strict=True)]
-        seen = counts > 0
-        classes = (marks & _CLASS).astype(np.int64)
-        n = np.bincount(classes, weights=counts, minlength=CLASSES).astype(np.int64)
-        v = np.bincount(classes[seen], minlength=CLASSES)
+        keys, where = np.unique(np.repeat(inverse, np.concatenate(fans)) * HISTORIES + hist, return_inverse=True)
+        seen = np.bincount(where, weights=own, minlength=len(keys)).astype(np.int64)
+        keys, seen = keys[seen > 0], seen[seen > 0]
+        word = keys // HISTORIES
+        counts = np.bincount(word, weights=seen, minlength=len(marks)).astype(np.int64)
+        bucket = rows.column("bucket")[0].as_py()
+        none = (None,) * 4
+        fan = np.bincount(word, minlength=len(marks)).astype(np.uint8)
+        out = [(None, bucket, None, cell(fan), cell((keys % HISTORIES).astype(np.uint8)), cell(marks), _planes(seen), *none)]
+        at = np.split(inverse.astype(np.uint32), np.cumsum([len(x) for x in asked])[:-1])
+        for batch, a, f, h in zip(*(c.to_pylist() for c in (rows.column("batch"), at_column(at), rows.column("fan"), rows.column("hist"))), strict=True):
+            out.append((batch, bucket, a, f, h, None, None, *none))
+        kinds = (marks & _CLASS).astype(np.int64)
+        n = np.bincount(kinds, weights=counts, minlength=CLASSES).astype(np.int64)
+        v = np.bincount(kinds[counts > 0], minlength=CLASSES)
         for c in np.flatnonzero(v):
-            out.append((None, None, None, int(c), _top(*(x[seen & (classes == c)] for x in (marks, counts))), int(n[c]), int(v[c])))
-        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
-        names = [part.split()[0] for part in _ANSWER.split(", ")]
-        return pa.table({name: pa.array(c, k) for name, c, k in zip(names, zip(*out, strict=True), kinds, strict=True)})
+            top = _top(*(x[(counts > 0) & (kinds == c)] for x in (marks, counts)))
+            out.append((*(None,) * 7, int(c), top, int(n[c]), int(v[c])))
+        return _table(out, _ANSWER)
+
+    def at_column(at: list[np.ndarray]) -> pa.Array:
+        return pa.array([_planes(x) for x in at], pa.binary())
 
-    asked = batches.select("batch", "marks", "trained").mapInArrow(ask, "batch bigint, bucket int, marks binary, trained binary")
+    asked = batches.select("batch", "held", "sizes", "tokens", "marks").mapInArrow(ask, schema)
     return staged(asked.groupBy("bucket").applyInArrow(answer, _ANSWER), "model-counts")
 
 
@@ -188,7 +240,8 @@ class Vocabulary:
             rest[row.kind] -= row.n
             rest_types[row.kind] -= 1
         self.counts[:, -1] = rest
-        self.spread = np.log10(rest + rest_types + 1.0)
+        # Each rarer word weighs its count plus one, and all words not in training one together.
+        self.spread = rest + rest_types + 1.0
 
     def number(self, marks: np.ndarray) -> np.ndarray:
         """Class and member of each word as one number."""
@@ -200,34 +253,124 @@ class Vocabulary:
         return out
 
 
-def _measured(batches: DataFrame, answers: DataFrame, words: Vocabulary, parts: int) -> DataFrame:
-    """Batches with model numbers for words, and per document the known words, the base score and the rare words' share."""
-    replies = answers.filter("batch IS NOT NULL").groupBy("batch").agg(F.collect_list(F.struct("bucket", "counts")).alias("replies"))
+class Rarer:
+    """The softmax of a class's rarer words by history, trained by gradients over the words' table.
+
+    A word weighs (count + 1) exp(w) after history h, where w belongs to (word, h) and is 0
+    unless the pair is in training.  A round moves each w by the gradient of the
+    training texts' log probability less DECAY w^2 / 2, over that gradient's own slope and by 1 at most.
+    """
+
+    def __init__(self, answers: DataFrame, words: Vocabulary) -> None:
+        self.words = words
+        self.totals = np.zeros((CLASSES, HISTORIES))
+        self.sums: list[np.ndarray] = []
+        self.totals = self._summed(answers, lambda part: part.seen) / _PARTS
+        self.sums.append(np.repeat(words.spread[:, None], HISTORIES, axis=1))
+        for _ in range(STEPS):
+            added = self._summed(answers, lambda part: part.plus[part.word] * np.expm1(self.weights(part)))
+            self.sums.append(self.sums[0] + added / _PARTS)
+
+    def weights(self, part: Words) -> np.ndarray:
+        """Weights of a part's pairs after the rounds that are summed up."""
+        out = np.zeros(len(part.word))
+        at = part.kinds[part.word], part.hist
+        for whole in self.sums[:STEPS]:
+            expected = self.totals[at] * part.plus[part.word] * np.exp(out) / whole[at]
+            out += np.clip((part.seen - expected - DECAY * out) / (expected + DECAY), -1, 1)
+        return out
+
+    def log10(self, part: Words, word: np.ndarray, hist: np.ndarray) -> np.ndarray:
+        """Log probabilities of words of a part after histories, among their class's rarer words; 0 for the frequent ones."""
+        keys, asked = part.word * HISTORIES + part.hist, word * HISTORIES + hist
+        weights = np.zeros(len(word))
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+            weights = np.where(keys[at] == asked, self.weights(part)[at], 0.0)
+        out = np.log10(part.plus[word]) + weights / np.log(10) - np.log10(self.sums[-1][part.kinds[word], hist])
+        return np.where(part.rare[word], out, 0.0)
+
+    def _summed(self, answers: DataFrame, value: Callable[[Words], np.ndarray]) -> np.ndarray:
+        """Sums of a value of each pair over all rarer words, by class and history."""
+
+        def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for some in rows:
+                for row in some.to_pylist():
+                    part = Words(row, self.words)
+                    kept = part.rare[part.word]
+                    each = np.rint(value(part)[kept] * _PARTS)
+                    sums = np.bincount((part.kinds[part.word] * HISTORIES + part.hist)[kept], weights=each, minlength=CLASSES * HISTORIES)
+                    at = np.flatnonzero(sums)
+                    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(sums[at].astype(np.int64))], ["cell", "value"])
+
+        table = answers.filter("marks IS NOT NULL").select("fan", "hist", "marks", "seen")
+        out = np.zeros(CLASSES * HISTORIES)
+        for row in table.mapInArrow(run, "cell int, value bigint").groupBy("cell").agg(F.sum("value").alias("value")).collect():
+            out[row.cell] = row.value
+        return out.reshape(CLASSES, HISTORIES)
+
+
+class Words:
+    """One bucket's words with their counts by history."""
+
+    def __init__(self, row: dict, words: Vocabulary) -> None:
+        self.marks = np.frombuffer(row["marks"], _U)
+        self.word = np.repeat(np.arange(len(self.marks)), np.frombuffer(row["fan"], np.uint8))
+        self.hist = np.frombuffer(row["hist"], np.uint8).astype(np.int64)
+        self.seen = _unplaned(row["seen"], np.int64)
+        self.counts = np.bincount(self.word, weights=self.seen, minlength=len(self.marks)).astype(np.int64)
+        self.plus = self.counts + 1.0
+        number = words.number(self.marks)
+        self.kinds, self.rare = number // MEMBERS, number % MEMBERS == MEMBERS - 1
+
+
+_REPLY = "batch bigint, bucket int, counts binary, inside binary"
+
+
+def _replies(answers: DataFrame, words: Vocabulary, rarer: Rarer) -> DataFrame:
+    """Training counts of each batch's words and log probabilities of its pairs, by bucket."""
+
+    def reply(rows: pa.Table) -> pa.Table:
+        listed = rows.to_pylist()
+        part = Words(next(row for row in listed if row["marks"] is not None), words)
+        out = []
+        for row in listed:
+            if row["marks"] is None:
+                at = _unplaned(row["at"], np.uint32).astype(np.int64)
+                word = np.repeat(at, np.frombuffer(row["fan"], np.uint8))
+                inside = rarer.log10(part, word, np.frombuffer(row["hist"], np.uint8).astype(np.int64))
+                out.append((row["batch"], row["bucket"], _planes(part.counts[at]), cell(inside.astype(np.float32))))
+        return _table(out, _REPLY)
+
+    dealt = answers.filter("kind IS NULL").select("batch", "bucket", "at", "fan", "hist", "marks", "seen")
+    return dealt.groupBy("bucket").applyInArrow(reply, _REPLY)
+
+
+def _measured(batches: DataFrame, answers: DataFrame, words: Vocabulary, rarer: Rarer, parts: int) -> DataFrame:
+    """Batches with model numbers for words, and per document the known words, the base score and the rarer words' share."""
+    replies = _replies(answers, words, rarer).groupBy("batch").agg(F.collect_list(F.struct("bucket", "counts", "inside")).alias("replies"))
     whole = np.log10(words.tokens + words.types + 1.0)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in rows:
             for row in some.to_pylist():
-                marks = np.frombuffer(row["marks"], _U)
-                order = np.argsort(_bucket_of(marks, parts), kind="stable")
+                marks, sizes = np.frombuffer(row["marks"], _U), np.frombuffer(row["sizes"], np.int32)
+                tokens = _unplaned(row["tokens"], np.uint32)
+                order, _, _ = _dealt(marks, parts)
                 counts = np.empty(len(marks), np.int64)
                 parts_ = sorted(row["replies"], key=lambda r: r["bucket"])
                 counts[order] = np.concatenate([_unplaned(r["counts"], np.int64) for r in parts_])
-                number = words.number(marks)
-                plus = np.log10(counts + 1.0)
-                rare = np.where(number % MEMBERS == MEMBERS - 1, plus - words.spread[number // MEMBERS], 0.0)
-                sizes = np.frombuffer(row["sizes"], np.int32)
+                inside = np.concatenate([np.frombuffer(r["inside"], np.float32) for r in parts_]).astype(np.float64)
                 starts = np.cumsum(sizes) - sizes
-                tokens = _unplaned(row["tokens"], np.uint32)
-                add = lambda x: np.add.reduceat(x[tokens], starts)
+                add = lambda x: np.add.reduceat(x, starts)
                 columns = [
                     pa.array([row["ids"]], pa.list_(pa.int64())),
                     pa.array([row["held"]], pa.list_(pa.bool_())),
                     pa.array([row["sizes"]], pa.binary()),
-                    pa.array([cell(add((counts > 0).astype(np.int64)))], pa.binary()),
-                    pa.array([cell(add(plus - whole))], pa.binary()),
-                    pa.array([cell(add(rare))], pa.binary()),
-                    pa.array([_planes(number.astype(np.uint16)[tokens])], pa.binary()),
+                    pa.array([cell(add((counts > 0).astype(np.int64)[tokens]))], pa.binary()),
+                    pa.array([cell(add((np.log10(counts + 1.0) - whole)[tokens]))], pa.binary()),
+                    pa.array([cell(add(inside[Pairs(tokens, sizes, marks, order).of_token]))], pa.binary()),
+                    pa.array([_planes(words.number(marks).astype(np.uint16)[tokens])], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["ids", "held", "sizes", "known", "base", "rare", "numbers"])
 
@@ -388,12 +531,11 @@ def score_texts(docs: DataFrame) -> DataFrame:
     empty table gives no rows; without training rows every word is unseen and the base score 0.
     Other columns are not looked at.
     """
-    small_batches(docs.sparkSession)
     parts = buckets(docs.sparkSession, 1)
     batches = _batches(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
     answers = _counted(batches, parts)
     words = Vocabulary(answers)
-    tokens = _measured(batches, answers, words, parts)
+    tokens = _measured(batches, answers, words, Rarer(answers, words), parts)
     weights = Weights(words.counts)
     for turn in range(ROUNDS):
         _round(tokens, weights, turn)
