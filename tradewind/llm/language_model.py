@@ -280,18 +280,27 @@ class Rarer:
             out += np.clip((part.seen - expected - DECAY * out) / (expected + DECAY), -1, 1)
         return out
 
-    def log10(self, part: Words, word: np.ndarray, hist: np.ndarray) -> np.ndarray:
-        """Log probabilities of words of a part after histories, among their class's rarer words; 0 for the frequent ones."""
-        keys, asked = part.word * HISTORIES + part.hist, word * HISTORIES + hist
-        weights = np.zeros(len(word))
-        if len(keys):
-            at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-            weights = np.where(keys[at] == asked, self.weights(part)[at], 0.0)
-        out = np.log10(part.plus[word]) + weights / np.log(10) - np.log10(self.sums[-1][part.kinds[word], hist])
-        return np.where(part.rare[word], out, 0.0)
+    def log10(self, part: Words) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+        """What gives log probabilities of a part's words after histories, among their class's rarer words; 0 for the frequent ones."""
+        keys = part.word * HISTORIES + part.hist
+        # One more for pairs that are not in training.
+        weights = np.append(self.weights(part) / np.log(10), 0.0)
+        plus, sums = np.log10(part.plus), np.log10(self.sums[-1])
+
+        def of(word: np.ndarray, hist: np.ndarray) -> np.ndarray:
+            asked = word * HISTORIES + hist
+            at = np.searchsorted(keys, asked)
+            met = at < len(keys)
+            met[met] = keys[at[met]] == asked[met]
+            out = plus[word] + weights[np.where(met, at, len(keys))] - sums[part.kinds[word], hist]
+            return np.where(part.rare[word], out, 0.0)
+
+        return of
 
     def _summed(self, answers: DataFrame, value: Callable[[Words], np.ndarray]) -> np.ndarray:
-        """Sums of a value of each pair over all rarer words, by class and history."""
+        """Sums of a value of each pair over all rarer words, by class and history: one row of fixed size a bucket, summed in two steps."""
+        spread = int(buckets(answers.sparkSession, 1) ** 0.5) + 1
+        cells = CLASSES * HISTORIES
 
         def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for some in rows:
@@ -299,14 +308,18 @@ class Rarer:
                     part = Words(row, self.words)
                     kept = part.rare[part.word]
                     each = np.rint(value(part)[kept] * _PARTS)
-                    sums = np.bincount((part.kinds[part.word] * HISTORIES + part.hist)[kept], weights=each, minlength=CLASSES * HISTORIES)
-                    at = np.flatnonzero(sums)
-                    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(sums[at].astype(np.int64))], ["cell", "value"])
-
-        table = answers.filter("marks IS NOT NULL").select("fan", "hist", "marks", "seen")
-        out = np.zeros(CLASSES * HISTORIES)
-        for row in table.mapInArrow(run, "cell int, value bigint").groupBy("cell").agg(F.sum("value").alias("value")).collect():
-            out[row.cell] = row.value
+                    sums = np.bincount((part.kinds[part.word] * HISTORIES + part.hist)[kept], weights=each, minlength=cells)
+                    yield from _table([(row["bucket"] % spread, cell(sums.astype(np.int64)))], "share int, sums binary").to_batches()
+
+        def add(rows: pa.Table) -> pa.Table:
+            total = sum(np.frombuffer(x, np.int64) for x in rows.column("sums").to_pylist())
+            return _table([(rows.column("share")[0].as_py(), cell(total))], "share int, sums binary")
+
+        table = answers.filter("marks IS NOT NULL").select("bucket", "fan", "hist", "marks", "seen")
+        shares = table.mapInArrow(run, "share int, sums binary").groupBy("share").applyInArrow(add, "share int, sums binary")
+        out = np.zeros(cells, np.int64)
+        for row in shares.collect():
+            out += np.frombuffer(row.sums, np.int64)
         return out.reshape(CLASSES, HISTORIES)
 
 
@@ -333,12 +346,12 @@ def _replies(answers: DataFrame, words: Vocabulary, rarer: Rarer) -> DataFrame:
     def reply(rows: pa.Table) -> pa.Table:
         listed = rows.to_pylist()
         part = Words(next(row for row in listed if row["marks"] is not None), words)
-        out = []
+        inside_of, out = rarer.log10(part), []
         for row in listed:
             if row["marks"] is None:
                 at = _unplaned(row["at"], np.uint32).astype(np.int64)
                 word = np.repeat(at, np.frombuffer(row["fan"], np.uint8))
-                inside = rarer.log10(part, word, np.frombuffer(row["hist"], np.uint8).astype(np.int64))
+                inside = inside_of(word, np.frombuffer(row["hist"], np.uint8).astype(np.int64))
                 out.append((row["batch"], row["bucket"], _planes(part.counts[at]), cell(inside.astype(np.float32))))
         return _table(out, _REPLY)
 
