@@ -187,7 +187,7 @@ def _enrich_iot_stream(spark: SparkSession, folder: str) -> DataFrame:
 def _console_sink(spark: SparkSession, folder: str) -> DataFrame:
     """The telemetry job printing to the console; readings and breaches as its progress reports them."""
     observed = transforms.counting(_enriched(DriverTables(spark, folder)), "telemetry")
-    job = jobs.console_sink(observed).option("numRows", 1)
+    job = jobs.console_sink(observed, rows=1)
     with progress.listening(spark) as totals:
         query = job.option("checkpointLocation", fresh_path(spark, "console")).trigger(availableNow=True).start()
         query.awaitTermination()
