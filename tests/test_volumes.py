@@ -3,8 +3,12 @@
 import subprocess
 import sys
 
+from tradewind.plans import registry
+from tradewind.sources.driver_tables import DriverTables, order_lines
 from tradewind.streaming import jobs
 
+FOLDER = "/root/testdata/sf0.001"
+
 _LARGE_BATCH = """
 from pyspark.sql import SparkSession, functions as F
 from tradewind.session import configure
@@ -36,3 +40,17 @@ def test_console_rows_are_the_first_of_the_batch(spark, rows, tmp_path, capsys):
     query.awaitTermination()
     shown = capsys.readouterr().out
     assert [line for line in shown.splitlines() if line.startswith("|")] == ["|n  |", "|0  |", "|1  |"]
+
+
+def test_order_lines_move_once_and_only_what_feeds_take(spark):
+    joined = order_lines(DriverTables(spark, FOLDER))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2  # lines and orders, to their join
+    assert not {"l_tax", "l_returnflag", "l_linestatus", "o_totalprice", "o_orderpriority"} & set(joined.columns)
+
+
+def test_shuffles_start_with_many_partitions(spark):
+    """Few partitions set for the session must not make a task sort more than it can hold."""
+    orders = registry.medallion(spark, FOLDER).orders
+    assert "hashpartitioning(order_id" in (plan := orders._jdf.queryExecution().executedPlan().toString())
+    assert ", 256)" in plan.split("hashpartitioning(order_id")[1].split("\n")[0]
