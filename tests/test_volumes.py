@@ -4,6 +4,7 @@ import subprocess
 import sys
 
 from tradewind.plans import registry
+from tradewind.sources import files
 from tradewind.sources.driver_tables import DriverTables, order_lines
 from tradewind.streaming import jobs
 
@@ -54,3 +55,9 @@ def test_shuffles_start_with_many_partitions(spark):
     orders = registry.medallion(spark, FOLDER).orders
     assert "hashpartitioning(order_id" in (plan := orders._jdf.queryExecution().executedPlan().toString())
     assert ", 256)" in plan.split("hashpartitioning(order_id")[1].split("\n")[0]
+
+
+def test_array_files_grow_with_the_rows():
+    assert files.array_files(10, 8) == 8
+    assert files.array_files(8 * files.ROWS_PER_ARRAY_FILE, 8) == 8
+    assert files.array_files(7_200_000, 8) == 1440

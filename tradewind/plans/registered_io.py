@@ -47,7 +47,8 @@ def _read_bronze_json(spark: SparkSession, folder: str) -> DataFrame:
     products = feeds.raw_products(DriverTables(spark, folder), strict=True).select(*schemas.RAW_COLUMNS["raw_products"])
     numeric = products.withColumn("weight_kg", F.col("weight_kg").cast("double"))
     path = fresh_path(spark, "bronze-json")
-    files.write_bronze_json(numeric, path, "product_id", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files.write_bronze_json(numeric, path, "product_id", files.array_files(products.count(), least))
     return files.read_bronze_json(spark, path, products.schema).drop("file")
 
 

@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from tradewind import fixed_values as fixed
 
 SNAPSHOT_DAY = "ingest_date"
+#: An array file is read by one task, so it stays this small however many rows there are.  Spark fetches each number
+#: that the schema takes as text from its place in the file, about 12 KB a time, so a task reads far more than the file.
+ROWS_PER_ARRAY_FILE = 5_000
 WRITE_MODES = {"replace": "overwrite", "append": "append"}
 
 
@@ -46,6 +49,11 @@ def read_bronze_json(spark: SparkSession, path: str, schema: T.StructType, array
     return spark.read.schema(schema).option("multiLine", array_files).json(path)
 
 
+def array_files(rows: int, least: int) -> int:
+    """How many array files ``rows`` rows take: ``least``, or more where those would hold too many rows each."""
+    return max(least, -(-rows // ROWS_PER_ARRAY_FILE))
+
+
 def write_bronze_json(df: DataFrame, path: str, unique_id: str, files: int) -> None:
     """Write ``files`` JSON arrays, rows spread over them by a unique id.
 
