@@ -78,3 +78,11 @@ def test_score_is_the_mean_log_ratio(documents, rows):
     down = [math.log(1 / (seen + cells)) - math.log((n + 1) / (2 * seen + cells)) for n in (60, 59)]
     assert math.isclose(got[1], (60 * up[0] + 59 * up[1]) / seen, rel_tol=1e-9)
     assert math.isclose(got[2], (60 * down[0] + 59 * down[1]) / seen, rel_tol=1e-9)
+
+
+def test_every_good_label_counts(spark):
+    """All of many documents are trusted, so both multinomials are the same and no score is off zero."""
+    ids = spark.range(40_000).selectExpr("id AS doc_id")
+    frame = ids.selectExpr("doc_id", "concat('word', doc_id % 997, ' other', doc_id % 1009) AS text")
+    scores = quality_rules.quality_rules(frame, ids.selectExpr("doc_id", "1 AS quality")).select("score").distinct().collect()
+    assert [r.score for r in scores] == [0.0]

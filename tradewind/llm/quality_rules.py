@@ -1,10 +1,11 @@
 """Quality rules: fixed counts, and a log-likelihood ratio of hashed n-grams.
 
 Words and word pairs are hashed to a fixed number of buckets.  Two multinomials
-over the buckets are counted: one over all documents, one over trusted ones, the
-documents of a bounded sample of labels that call them good.  A document's score is
-the mean log ratio of the two over its n-grams; the same threshold, a low quantile of the
-trusted documents' own scores less a margin, decides for every document.
+over the buckets are counted: one over all documents, one over trusted ones, all
+documents that labels call good.  A document's score is
+the mean log ratio of the two over its n-grams; the same threshold, a low quantile of all
+trusted documents' own scores less a margin, decides for every document.  Rows are measured
+once and written without their texts; the threshold is read off what was written.
 
 Everything is a column expression.  Repeated windows are found in the row:
 window hashes, with their position in the low bits, are sorted as long integers, equal
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import WORD, constant, let
+from tradewind.sources.shared import staged
 
 # Fixed values of the rules.
 LEAST_WORDS = 50
@@ -28,8 +30,6 @@ SYMBOLS = "#*$%&|<>"
 _SPACES = " \t\n\x0b\x0c\r"
 
 BUCKETS = 4096
-#: Trusted documents, in expectation: a bounded sample of the labelled rows.
-TRUSTED = 20_000
 #: Quantile of the trusted scores, and how far below it a document may lie.
 QUANTILE, MARGIN = 0.005, 0.03
 _PSEUDO = 1.0
@@ -92,7 +92,8 @@ def _repeated(words: Column, hashes: Column) -> Column:
 
 def _ratios(docs: DataFrame, trusted: DataFrame) -> Column:
     """Log ratio of every bucket, a constant array of fixed size."""
-    flagged = docs.join(F.broadcast(trusted.withColumn("_good", F.lit(True))), "doc_id", "left")
+    # The trusted ids are the side that is held; texts are dealt out, not sorted.
+    flagged = docs.join(trusted.withColumn("_good", F.lit(True)).hint("shuffle_hash"), "doc_id", "left")
     hashes = F.transform(_words(F.coalesce("text", F.lit(""))), lambda w: F.xxhash64(w))
     grams = flagged.select(F.coalesce("_good", F.lit(False)).alias("good"), F.explode(let(hashes, _grams)).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count_if("good").alias("target"))
@@ -123,18 +124,10 @@ def quality_rules(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE
     judged but never trusted; an empty table gives no rows; other columns are not looked at.
     """
     docs = docs.select("doc_id", "text")
-    good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id")
-    share = min(1.0, TRUSTED / max(1, good.count()))
-    bound = int(share * (1 << 30))
-    trusted = good.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < bound).distinct()
+    trusted = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     ratios = _ratios(docs, trusted)
 
     text = F.coalesce("text", F.lit(""))
-    hashed = lambda use: let(F.transform(_words(text), lambda w: F.xxhash64(w)), use)
-    of_trusted = docs.join(F.broadcast(trusted), "doc_id").select(hashed(lambda h: _score(h, ratios)).alias("score"))
-    lowest = of_trusted.agg(F.percentile_approx("score", quantile, 100_000)).first()[0]
-    threshold = float("-inf") if lowest is None else lowest - margin
-
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
     plain = F.translate(text, _SPACES, "")
 
@@ -154,7 +147,12 @@ def quality_rules(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE
         F.length(plain).cast("bigint").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
-    ).select("*", "_m.*")
+    ).select("*", "_m.*").drop("_m")
+    out = staged(out, "quality-counts")
+    of_trusted = out.select("doc_id", "score").join(trusted, "doc_id", "left_semi")
+    lowest = of_trusted.agg(F.percentile_approx("score", quantile, 100_000)).first()[0]
+    threshold = float("-inf") if lowest is None else lowest - margin
+
     failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * REPEATED_PERCENT)
     return out.select(
         "doc_id",
