@@ -2,8 +2,11 @@
 
 import subprocess
 import sys
+import threading
 
+from tradewind import schemas
 from tradewind.plans import registry
+from tradewind.plans.medallion import Medallion
 from tradewind.sources import files
 from tradewind.sources.driver_tables import DriverTables, order_lines
 from tradewind.streaming import jobs
@@ -61,3 +64,15 @@ def test_array_files_grow_with_the_rows():
     assert files.array_files(10, 8) == 8
     assert files.array_files(8 * files.ROWS_PER_ARRAY_FILE, 8) == 8
     assert files.array_files(7_200_000, 8) == 1440
+
+
+def test_the_summary_builds_its_tables_side_by_side(spark):
+    """Tables wait for each other: one after another they would wait for ever."""
+    met = threading.Barrier(4)
+
+    def keep(frame, label):
+        met.wait(60)
+        return frame
+
+    feeds = {name: spark.createDataFrame([], schema) for name, schema in schemas.RAW.items()}
+    assert registry.KPIS["summary_kpis"](Medallion(feeds, keep=keep)).first()["total_orders"] == 0

@@ -141,11 +141,16 @@ def _summary_before_cleansing(m: Medallion) -> DataFrame:
     return kpis.summary_kpis(*[kpis.cleansed_or_raw(frame, m.raw(f"raw_{name}")) for name, frame in tables.items()])
 
 
+def _summary_kpis(m: Medallion) -> DataFrame:
+    m.prefetch("orders", "shipments", "inventory", "suppliers")
+    return kpis.summary_kpis(m.orders, m.shipments, m.inventory, m.suppliers)
+
+
 KPIS = {
     "summary_kpis_fallback": _summary_before_cleansing,
     "distinct_products": lambda m: sketches.sound_distinct(m.orders, "product_id", "order_date"),
     "lead_time_quantiles": lambda m: sketches.sound_quantiles(m.shipments, ["carrier", "mode"], "shipped_at", "actual_delivery_at"),
-    "summary_kpis": lambda m: kpis.summary_kpis(m.orders, m.shipments, m.inventory, m.suppliers),
+    "summary_kpis": _summary_kpis,
     "dashboard_kpis": lambda m: kpis.dashboard_kpis(m.orders, m.shipments, m.inventory, m.iot_sensors, m.suppliers),
     "active_shipment_map": lambda m: kpis.active_shipment_map(m.shipments, m.warehouses),
     "warehouse_nodes": lambda m: kpis.warehouse_nodes(m.warehouses),
