@@ -8,7 +8,7 @@ from tradewind import schemas
 from tradewind.plans import registry
 from tradewind.plans.medallion import Medallion
 from tradewind.sources import files
-from tradewind.sources.driver_tables import DriverTables, order_lines
+from tradewind.sources.driver_tables import DriverTables, order_lines, raw_inventory
 from tradewind.streaming import jobs
 
 FOLDER = "/root/testdata/sf0.001"
@@ -76,3 +76,12 @@ def test_the_summary_builds_its_tables_side_by_side(spark):
 
     feeds = {name: spark.createDataFrame([], schema) for name, schema in schemas.RAW.items()}
     assert registry.KPIS["summary_kpis"](Medallion(feeds, keep=keep)).first()["total_orders"] == 0
+
+
+def test_stock_is_counted_once_for_both_inventory_feeds(spark):
+    kept = {}
+    tables = DriverTables(spark, FOLDER, lambda name, frame: kept.setdefault(name, frame.localCheckpoint()))
+    for strict in (False, True):
+        plan = raw_inventory(tables, strict)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+    assert list(kept) == ["stock"]

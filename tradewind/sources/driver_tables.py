@@ -266,15 +266,20 @@ def raw_shipments(tables: DriverTables, strict: bool = False) -> DataFrame:
     return _feed(df, "raw_shipments", F.col("l_shipdate"))
 
 
-def raw_inventory(tables: DriverTables, strict: bool = False) -> DataFrame:
-    p, w = F.col("l_partkey"), F.col("warehouse")
-    stock = (
+def stock(tables: DriverTables) -> DataFrame:
+    """Units of each part by warehouse, counted once for both feeds of the inventory."""
+    counted = (
         tables["lineitem"]
         .groupBy("l_partkey", (F.col("l_suppkey") % NATIONS).alias("warehouse"))
         .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("units"), F.max("l_shipdate").alias("counted"))
     )
+    return tables.written("stock", counted)
+
+
+def raw_inventory(tables: DriverTables, strict: bool = False) -> DataFrame:
+    p, w = F.col("l_partkey"), F.col("warehouse")
     quantity = ((F.col("units") * 31 + p * 17) % 1500).cast("string")
-    df = stock.select(
+    df = stock(tables).select(
         F.concat(_id("INV-", w, 3), F.lit("-"), F.lpad(p.cast("string"), 10, "0")).alias("inventory_id"),
         _id("WH-", w, 3).alias("warehouse_id"),
         _id("PRD-", p).alias("product_id"),
