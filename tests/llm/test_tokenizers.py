@@ -101,6 +101,22 @@ def test_an_arc_is_open_iff_merging_keeps_it(machine):
     assert not fst._open("▁t", "he") and fst._open("▁the", "▁the")
 
 
+def test_a_word_is_worked_out_once_whatever_sign_follows(machine):
+    fresh = sentencepiece_fst.Transducer(PIECES)
+    text = "zqxj, zqxj. zqxj"
+    assert ids(fresh, text) == machine[1].encode(text)
+    assert list(fresh.known) == ["▁zqxj", ",", "."]
+
+
+def test_letters_beside_signs_encode_as_the_library_does(machine, monkeypatch):
+    monkeypatch.setattr(sentencepiece_fst, "REMEMBERED", 50)
+    rnd, some = random.Random(2), ["ab", "é", "日", "”", ",", ".", "...", "12", "-", "_", "'s", "½", "😀", " ", "  ", "\n", "▁", "²"]
+    fresh = sentencepiece_fst.Transducer(PIECES)
+    for _ in range(500):
+        text = "".join(rnd.choices(some, k=rnd.randrange(12)))
+        assert ids(fresh, text) == machine[1].encode(text), text
+
+
 def test_piece_query_equals_the_library(spark, machine):
     got = {r.doc_id: r for r in entry.queries()["op8_pieces"](spark, SMALL).collect()}
     for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect():

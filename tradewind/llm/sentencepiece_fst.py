@@ -10,15 +10,15 @@ so the shortest path through the composition with a text, of weight zero, spells
 exactly the pieces that merging the whole text gives.
 
 Composition runs from left to right and keeps the one live state of each position.  Pieces never hold a mark
-after another character, so texts fall apart before marks into chunks; a bounded table remembers
-chunks.  Weights are worked out when first needed and kept, likewise bounded.
+after another character, nor certain signs after a letter, so texts fall apart there into chunks; a bounded
+table remembers chunks.  Weights are worked out when first needed and kept with the state they leave, likewise bounded.
 """
 
 from __future__ import annotations
 
 import codecs
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -39,6 +39,25 @@ REMEMBERED = 400_000
 _CHUNK_LETTERS = 64
 
 
+def _cell(numbers: list[int]) -> bytes:
+    return np.array(numbers, np.int32).tobytes()
+
+
+class _Known(dict):
+    """Chunks and their piece numbers; the numbers of one not listed are worked out."""
+
+    def __init__(self, find: Callable[[str], bytes]) -> None:
+        self.find = find
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.find(chunk)
+        if len(chunk) <= _CHUNK_LETTERS:
+            if len(self) > REMEMBERED:
+                self.clear()
+            self[chunk] = ids
+        return ids
+
+
 def _each_byte(error: UnicodeError) -> tuple[str, int]:
     return "�", error.start + 1
 
@@ -65,19 +84,37 @@ class Transducer:
         self.letters = {c for piece in self.ids for c in piece}
         self.spelled = [self._spelled(p) for p in model.pieces]
 
+        #: By piece, what is known of the arcs that leave it.
+        self.fits: dict[str, dict[str, bool]] = {}
+        self.n_fits = 0
+        # A state: its length, the piece just written, the arcs that leave it, and its numbers.
+        self.start = (0, "", {}, b"")
         self.pieces = ahocorasick.Automaton()
-        for piece in self.ids:
+        for piece, number in self.ids.items():
             if self.merge(piece) == [piece]:
-                self.pieces.add_word(piece, piece)
+                self.pieces.add_word(piece, (len(piece), piece, self.fits.setdefault(piece, {}), _cell([number])))
         self.pieces.make_automaton()
-        # Chunks may be cut before marks, and around characters that no piece holds.
+        # Chunks may be cut before marks, around characters that no piece holds, and before signs that follow no letter.
         if any(MARK in piece.lstrip(MARK) for piece in self.ids):
             self.chunk = re.compile(r"(?s).+")
         else:
             alone = "".join(re.escape(c) for c in "\n\t\r" if c not in self.letters)
-            self.chunk = re.compile(rf"{MARK}*[^{MARK}{alone}]+|{MARK}+|[{alone}]" if alone else rf"{MARK}*[^{MARK}]+|{MARK}+")
-        self.known: dict[str, bytes] = {}
-        self.fits: dict[tuple[str, str], bool] = {}
+            signs = "".join(re.escape(c) for c in sorted(self._signs()))
+            other = f"[^{MARK}{alone}{signs}]"
+            kinds = [f"{MARK}?{other}+", *([f"{MARK}*[{signs}]+{other}*"] if signs else []), f"{MARK}+{other}*"]
+            self.chunk = re.compile("|".join([*kinds, *([f"[{alone}]"] if alone else [])]))
+        self.known = _Known(self._chunk_ids)
+
+    def _signs(self) -> set[str]:
+        """Characters but letters that no piece holds right after one that is neither of them nor the mark: merges never cross there.
+
+        Those beyond 16 bits are left out, as a pattern compares them one by one.
+        """
+        follows = {(a, b) for piece in self.ids for a, b in zip(piece, piece[1:])}
+        signs = {c for c in self.letters if not c.isalpha() and c != MARK and ord(c) < 1 << 16}
+        while crossed := {b for a, b in follows if b in signs and a not in signs and a != MARK}:
+            signs -= crossed
+        return signs
 
     @staticmethod
     def _spelled(piece) -> bytes:  # noqa: ANN001
@@ -91,76 +128,74 @@ class Transducer:
 
     def merge(self, text: str) -> list[str]:
         """Pieces by merging, best score first, leftmost among equals: what arcs are weighed by."""
-        parts = list(text)
-        while len(parts) > 1:
-            best = max(
-                ((self.scores[a + b], -i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.scores),
-                default=None,
-            )
-            if best is None:
-                break
-            at = -best[1]
+        parts, score, none = list(text), self.scores.get, -float("inf")
+        found = [score(a + b, none) for a, b in zip(parts, parts[1:])]
+        while found and (best := max(found)) != none:
+            at = found.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del found[at]
+            if at:
+                found[at - 1] = score(parts[at - 1] + parts[at], none)
+            if at < len(found):
+                found[at] = score(parts[at] + parts[at + 1], none)
         return parts
 
     def _open(self, before: str, piece: str) -> bool:
         """Whether the arc from one piece to the next weighs nothing."""
-        arc = (before, piece)
-        found = self.fits.get(arc)
+        arcs = self.fits.setdefault(before, {})
+        found = arcs.get(piece)
         if found is None:
-            if len(self.fits) > REMEMBERED:
-                self.fits.clear()
-            found = self.fits[arc] = self.merge(before + piece) == [before, piece]
+            if self.n_fits > REMEMBERED:
+                for some in self.fits.values():
+                    some.clear()
+                self.n_fits = 0
+            found = arcs[piece] = self.merge(before + piece) == [before, piece]
+            self.n_fits += 1
         return found
 
-    def path(self, chunk: str) -> list[str]:
-        """The pieces of the shortest path, single characters where bytes are written."""
-        live: list[str | None] = [""] + [None] * len(chunk)
-        fits, is_open = self.fits, self._open
-        arcs = self.pieces.iter(chunk)
-        end, piece = next(arcs, (len(chunk), ""))
-        for at, letter in enumerate(chunk):
-            while end == at:
-                if live[at + 1] is None:
-                    before = live[at + 1 - len(piece)]
-                    if before == "" or (f := fits.get((before, piece))) or (f is None and is_open(before, piece)):
-                        live[at + 1] = piece
-                end, piece = next(arcs, (len(chunk), ""))
-            if live[at + 1] is None:
-                if letter in self.ids:
-                    raise ValueError(f"no path through {chunk!r}")
-                live[at + 1] = letter
+    def _spelling(self, letter: str) -> tuple[int, str, dict[str, bool], bytes]:
+        """The state after a character that is written in bytes."""
+        if letter in self.ids:
+            raise ValueError(f"no path to {letter!r}")
+        # Nothing merges with a character that no piece holds: it is left as the start is.
+        arcs = self.fits.setdefault(letter, {}) if letter in self.letters else self.start[2]
+        return 1, letter, arcs, _cell([self.byte_ids[b] for b in letter.encode()])
+
+    def _states(self, chunk: str) -> list[tuple[int, str, dict[str, bool], bytes]]:
+        """The states of the shortest path."""
+        live, free, is_open = [self.start], self.start[2], self._open
+        for end, state in self.pieces.iter(chunk):
+            done = len(live) - 1
+            if end < done:
+                continue
+            while done < end:
+                live.append(self._spelling(chunk[done]))
+                done += 1
+            before = live[end + 1 - state[0]]
+            arcs = before[2]
+            if arcs is free or (f := arcs.get(state[1])) or (f is None and is_open(before[1], state[1])):
+                live.append(state)
+        for letter in chunk[len(live) - 1 :]:
+            live.append(self._spelling(letter))
         out, at = [], len(chunk)
         while at:
             out.append(live[at])
-            at -= len(live[at])
+            at -= live[at][0]
         return out[::-1]
 
+    def path(self, chunk: str) -> list[str]:
+        """The pieces of the shortest path, single characters where bytes are written."""
+        return [state[1] for state in self._states(chunk)]
+
     def _chunk_ids(self, chunk: str) -> bytes:
-        ids: list[int] = []
-        for piece in self.path(chunk):
-            if (known := self.ids.get(piece)) is not None:
-                ids.append(known)
-            else:
-                ids += [self.byte_ids[b] for b in piece.encode()]
-        return np.array(ids, np.int32).tobytes()
+        return b"".join([state[3] for state in self._states(chunk)])
 
     def encode(self, text: str) -> bytes:
         """Piece numbers of a text as 32-bit integers."""
         if not text:
             return b""
         plain = text.replace(" ", MARK)
-        known, out = self.known, []
-        for chunk in self.chunk.findall(MARK + plain if self.prefix else plain):
-            ids = known.get(chunk)
-            if ids is None:
-                ids = self._chunk_ids(chunk)
-                if len(chunk) <= _CHUNK_LETTERS:
-                    if len(known) > REMEMBERED:
-                        known.clear()
-                    known[chunk] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.known.__getitem__, self.chunk.findall(MARK + plain if self.prefix else plain)))
 
     def decode(self, ids: list[int]) -> str:
         """The text that pieces spell; bytes that spell no character become replacement characters."""
