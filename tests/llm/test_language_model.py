@@ -89,6 +89,30 @@ def test_learning_follows_the_history(weights):
     assert weights.log10(numbers, sizes).sum() > before / 4
 
 
+def test_sums_of_few_and_of_many_rows_are_those_of_reduceat(monkeypatch):
+    rng = np.random.default_rng(3)
+    sizes = np.concatenate(([1, 2, 7, 8, 9, 10, 300], rng.integers(1, 20, 200)))
+    rows = rng.normal(size=(sizes.sum(), 32)).astype(np.float32)
+    heads = np.cumsum(sizes) - sizes
+    for few in (language_model._FEW_ROWS, 1):
+        monkeypatch.setattr(language_model, "_FEW_ROWS", few)
+        assert np.array_equal(language_model._sums(rows, heads), np.add.reduceat(rows, heads, axis=0))
+
+
+def test_scores_are_logarithms_of_the_softmaxes(weights):
+    rng = np.random.default_rng(4)
+    weights.by_kind += rng.normal(size=weights.by_kind.shape).astype(np.float32)
+    weights.by_member += rng.normal(size=weights.by_member.shape).astype(np.float32)
+    numbers, sizes = rng.integers(0, 1024, 500).astype(np.uint32), np.array([1, 99, 400])
+    rows, before = weights.features(numbers, sizes)
+    kinds, members, each = (numbers // 32).astype(np.int64), numbers % 32, np.arange(500)
+    x, y, _ = weights._softmax(rows, before, kinds)
+    plain = weights.kind + weights.by_kind[rows].sum(1)
+    plain = np.exp(plain - plain.max(1, keepdims=True))
+    assert np.allclose(x, plain / plain.sum(1, keepdims=True), rtol=1e-5)
+    assert np.array_equal(weights.log10(numbers, sizes), np.log10(x[each, kinds].astype(float)) + np.log10(y[each, members].astype(float)))
+
+
 def plain_rarer_scores(rows):
     """Trains and scores the rarer words' softmax word by word; frequent words add nothing."""
     kind = lambda w: 0 if w is None else xxhash.xxh3_64_intdigest(w[-2:], 5) % language_model.CLASSES

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import buckets, cell, grouped, slices, texts
-from tradewind.llm.shingles import word_hashes
+from tradewind.llm.shingles import hashes_of
 from tradewind.sources.shared import staged
 
 # Fixed values of the split asked for.
@@ -46,6 +47,7 @@ RATE = 0.3
 GROUP_TOKENS = 4096
 BATCH_TOKENS = 1 << 19
 _SLICES = 16
+_FEW_ROWS = 8
 # Histories of a rarer word: the class of the word before, or the start of the text.
 HISTORIES = CLASSES + 1
 STEPS = 4
@@ -80,11 +82,14 @@ def _batches(docs: DataFrame) -> DataFrame:
 
     def encode(rows: list[tuple[int | None, bytes | None]]) -> tuple:
         held = np.array([is_held_out(i) for i, _ in rows])
-        flat, counts = word_hashes([t for _, t in rows])
-        words = [w for _, t in rows for w in (t or b"").lower().split()]
+        words = [(t or b"").lower().split() for _, t in rows]
+        flat, counts = hashes_of(words)
         marks, first, inverse = np.unique(flat, return_index=True, return_inverse=True)
-        ending = xxhash.xxh3_64_intdigest
-        kinds = np.array([ending(words[i][-2:], 5) & (CLASSES - 1) for i in first], _U)
+        # Endings are few: each is hashed once.
+        words = list(chain.from_iterable(words))
+        endings = [words[i][-2:] for i in first.tolist()]
+        kind = {e: xxhash.xxh3_64_intdigest(e, 5) & (CLASSES - 1) for e in set(endings)}
+        kinds = np.fromiter(map(kind.__getitem__, endings), _U, len(endings))
         marks = np.concatenate(((marks & ~_CLASS) | kinds, [_END]))
         sizes = counts + 1
         ends = np.cumsum(sizes) - 1
@@ -395,6 +400,23 @@ def _measured(batches: DataFrame, answers: DataFrame, words: Vocabulary, rarer:
 # --- the model ---------------------------------------------------------------
 
 
+def _sums(x: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Sums of rows from each head to the next: of few rows for all heads at once, of many each by itself."""
+    sizes = np.diff(np.append(heads, len(x)))
+    few, many = np.flatnonzero(sizes <= _FEW_ROWS), np.flatnonzero(sizes > _FEW_ROWS)
+    out = x.take(heads, 0)
+    more = few[sizes[few] > 1]
+    rest, place = x.take(heads[more] + 1, 0), np.arange(len(more))
+    for k in range(2, _FEW_ROWS):
+        place = place[sizes[more[place]] > k]
+        rest[place] += x.take(heads[more[place]] + k, 0)
+    out[more] += rest
+    if len(many):
+        own = sizes[many]
+        out[many] = np.add.reduceat(x[np.repeat(sizes > _FEW_ROWS, sizes)], np.cumsum(own) - own, axis=0)
+    return out
+
+
 class Weights:
     """Weights of class and member softmaxes, beside the logarithms of plain frequencies."""
 
@@ -420,13 +442,24 @@ class Weights:
         codes = (codes * np.uint32(0x9E3779B1)) ^ (codes >> np.uint32(13)) * np.uint32(0x85EBCA77)
         return (codes >> np.uint32(32 - ROWS_BITS)).astype(np.int64), one.astype(np.int64)
 
-    def _softmax(self, rows: np.ndarray, before: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        a = self.kind + self.by_kind[rows].sum(1)
+    def _powers(self, rows: np.ndarray, before: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Both softmaxes before their division by the sums of each row, and the rows of the second."""
+        # Rows are added one feature after another: what is summed stays in the processor's cache.
+        a = self.by_kind.take(rows[:, 0], 0)
+        for k in range(1, rows.shape[1]):
+            a += self.by_kind.take(rows[:, k], 0)
+        a += self.kind
         at = before * CLASSES + kinds
-        b = self.member[kinds] + self.by_member[at]
+        b = self.by_member.take(at, 0)
+        b += self.member.take(kinds, 0)
         for x in (a, b):
             x -= x.max(1, keepdims=True)
             np.exp(x, out=x)
+        return a, b, at
+
+    def _softmax(self, rows: np.ndarray, before: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        a, b, at = self._powers(rows, before, kinds)
+        for x in (a, b):
             x /= x.sum(1, keepdims=True)
         return a, b, at
 
@@ -438,9 +471,10 @@ class Weights:
         for a in range(0, len(numbers), GROUP_TOKENS):
             some = slice(a, a + GROUP_TOKENS)
             k, m = kinds[some].astype(np.int64), members[some]
-            x, y, _ = self._softmax(rows[some], before[some], k)
+            x, y, _ = self._powers(rows[some], before[some], k)
             each = np.arange(len(k))
-            out[some] = np.log10(x[each, k].astype(np.float64)) + np.log10(y[each, m].astype(np.float64))
+            kind, member = x[each, k] / x.sum(1), y[each, m] / y.sum(1)
+            out[some] = np.log10(kind.astype(np.float64)) + np.log10(member.astype(np.float64))
         return out
 
     def learn(self, numbers: np.ndarray, sizes: np.ndarray, state: tuple[np.ndarray, ...]) -> None:
@@ -460,10 +494,11 @@ class Weights:
 
     @staticmethod
     def _update(weights: np.ndarray, squares: np.ndarray, visits: np.ndarray, at: np.ndarray, of: np.ndarray, slope: np.ndarray) -> None:
-        order = np.argsort(at, kind="stable")
+        # Numbers of 16 bits are sorted by their digits.
+        order = np.argsort(at.astype(np.uint16) if len(weights) <= 1 << 16 else at, kind="stable")
         at = at[order]
         heads = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        sums = np.add.reduceat(slope[of[order]], heads, axis=0)
+        sums = _sums(slope.take(of[order], 0), heads)
         rows = at[heads]
         squares[rows] += (sums * sums).mean(1)
         weights[rows] -= (RATE / np.sqrt(squares[rows] + 1.0))[:, None] * sums

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import xxhash
 
@@ -22,10 +24,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all lower-cased words, and how many each text has."""
-    words = [(t or b"").lower().split() for t in texts]
+    return hashes_of([(t or b"").lower().split() for t in texts])
+
+
+def hashes_of(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """The same of texts that are split already."""
     counts = np.fromiter(map(len, words), np.int64, len(words))
-    digest = xxhash.xxh3_64_intdigest
-    flat = np.fromiter((digest(w) for ws in words for w in ws), _U, int(counts.sum()))
+    flat = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(words)), _U, int(counts.sum()))
     return flat, counts
 
 
