@@ -4,6 +4,8 @@ import subprocess
 import sys
 import threading
 
+from pyspark.sql import functions as F
+
 from tradewind import schemas
 from tradewind.plans import registry
 from tradewind.plans.medallion import Medallion
@@ -60,6 +62,14 @@ def test_shuffles_start_with_many_partitions(spark):
     assert ", 256)" in plan.split("hashpartitioning(order_id")[1].split("\n")[0]
 
 
+def test_a_task_reads_few_files_and_writes_small_ones(spark, tmp_path):
+    """Two files of 7 MB in one task were sorted with spills once they held much text."""
+    hashes = spark.range(0, 8 * 850_000, 1, 8).select(F.xxhash64("id").alias("l_orderkey"))
+    hashes.write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert DriverTables(spark, str(tmp_path))["lineitem"].select("l_orderkey").rdd.getNumPartitions() == 8
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
 def test_array_files_grow_with_the_rows():
     assert files.array_files(10, 8) == 8
     assert files.array_files(8 * files.ROWS_PER_ARRAY_FILE, 8) == 8
