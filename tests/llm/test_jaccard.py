@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.llm.conftest import SMALL
@@ -148,3 +149,34 @@ def test_one_of_each_stays(documents, families):
     kept = jaccard.keep_one_of_each(documents(*rows))
     heads = {c for _, _, c in plain_components(families)}
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([*heads, None, None], key=str)
+
+
+def chained(count, width=80):
+    """Texts of which each shares one half with the next, so that ties chain them and no two link."""
+    passage = [[f"p{k}x{i}" for i in range(width)] for k in range(count + 1)]
+    return [(k, " ".join([*passage[k], *passage[k + 1]])) for k in range(count)]
+
+
+def test_a_chain_moves_each_set_a_few_times(documents, monkeypatch):
+    """Of a family of many slices each set went to a cell for every slice."""
+    rows = chained(200)
+    rows += [(1000 + k, f"{text} more words") for k, text in rows[:20]]
+    moved = []
+
+    def links(sets, *rest, own=jaccard._links):
+        moved.append(sets.agg(F.coalesce(F.sum("slices"), F.lit(0))).first()[0])
+        return own(sets, *rest)
+
+    monkeypatch.setattr(jaccard, "SLICE_BYTES", 4000)
+    monkeypatch.setattr(jaccard, "_links", links)
+    assert found(documents(*rows)) == plain_components(rows)
+    assert sum(moved) <= 2 * len(rows)
+
+
+def test_hot_values_of_a_large_family(documents, monkeypatch):
+    """Texts that share a passage, some of which link with each other and not with the first of them."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    bases = [f"{passage} " + " ".join(f"b{k}x{i}" for i in range(30)) for k in range(12)]
+    rows = [(k + 100 * copy, f"{base} " + " ".join(f"c{k}x{copy}x{i}" for i in range(copy))) for k, base in enumerate(bases) for copy in range(4)]
+    monkeypatch.setattr(jaccard, "SLICE_BYTES", 1500)
+    assert found(documents(*rows)) == plain_components(rows)

@@ -14,12 +14,19 @@ of frequent ones, so common passages drop out of the keys unless a text
 consists of little else.
 
 Classes that meet on a value are tied to the smallest of them; what such ties
-connect is a family.  All links lie within families.  A family's sets are dealt to
-cells, each holding two slices of it, so that any two members share a cell and no cell
-outgrows a task.  A cell takes pairs by the Hamming distance of their sketches, which
+connect is a family.  All links lie within families.  The sets of a family that fits a
+task meet in one cell.  A cell takes pairs by the Hamming distance of their sketches, which
 never exceeds the symmetric difference, compares the exact sets, and skips pairs that
 links have connected already.  So thousands of near copies cost a
 comparison per member, not per pair, and no connection is lost.
+
+Ties also chain classes that have little in common, and the more texts there are the longer such chains
+grow.  A family too large for a task is therefore taken apart first: each value's
+smallest class meets the others by sketch, and what is near enough is confirmed on the exact
+sets.  Values whose other classes are connected then are done, so near copies leave few and
+the many values of two classes none.  Classes left on a value form smaller families; of one that still
+outgrows a task each value has cells of its own, each holding two slices of its classes, so that any two meet.
+So a set moves as often as values are left that it may link on, not once a slice of its whole chain.
 """
 
 from __future__ import annotations
@@ -29,20 +36,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.llm.common import buckets, cell, small_batches, texts
 from tradewind.llm.graph import components
-from tradewind.llm.shingles import mix, set_marks, shingle_sets
+from tradewind.llm.shingles import confirmed, mix, set_marks, shingle_sets
 from tradewind.sources.shared import staged
 
 PERCENT = 80
 #: Texts, in expectation, whose shingles tell which are frequent, and in how many of them.
 SAMPLE_TEXTS = 2000
 FREQUENT = 8
-#: Keys a task holds before it passes them on, and bytes of sets in a slice of a family.
+#: Keys a task holds before it passes them on, and bytes of sets in a family or slice that one cell takes.
 HELD_KEYS = 1 << 20
 SLICE_BYTES = 4 << 20
 SKETCH_BITS = 2048
@@ -185,7 +192,7 @@ def _keys(docs: DataFrame, bands: Bands, frequent: np.ndarray, parts: int) -> Da
 
 
 def _ties(keys: DataFrame) -> DataFrame:
-    """References of classes that share a block value, each with the smallest that does."""
+    """Each block value that classes share, with references of the smallest that has it and of each other one."""
 
     def meet(rows: pa.Table) -> pa.Table:
         def joined(name: str, kind: type) -> np.ndarray:
@@ -195,13 +202,16 @@ def _ties(keys: DataFrame) -> DataFrame:
         ref = joined("ref_low", np.uint32) | joined("ref_high", np.uint16) << _U(32)
         order = np.lexsort((ref, key))
         key, ref = key[order], ref[order]
+        # A class met in several tasks sends its keys from each.
+        once = np.concatenate(([True], (key[1:] != key[:-1]) | (ref[1:] != ref[:-1])))
+        key, ref = key[once], ref[once]
         starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         least = np.repeat(ref[starts], np.diff(np.concatenate((starts, [len(key)]))))
         tied = least != ref
-        pairs = np.unique(np.stack((least[tied], ref[tied])), axis=1) if tied.any() else np.zeros((2, 0), _U)
-        return pa.table({"ref_a": pa.array(pairs[0].view(np.int64)), "ref_b": pa.array(pairs[1].view(np.int64))})
+        key = key[tied] | _U(rows.column("bucket")[0].as_py()) << _KEY_BITS
+        return pa.table([pa.array(x.view(np.int64)) for x in (key, least[tied], ref[tied])], ["key", "ref_a", "ref_b"])
 
-    return keys.groupBy("bucket").applyInArrow(meet, "ref_a bigint, ref_b bigint").distinct()
+    return keys.groupBy("bucket").applyInArrow(meet, "key bigint, ref_a bigint, ref_b bigint")
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -250,23 +260,26 @@ class _Forest:
         return x
 
 
-def _connect(sets: list[np.ndarray], slices: np.ndarray, pair: tuple[int, int], percent: int) -> list[tuple[int, int]]:
-    """Links that connect what is connected among the sets of one cell.
+def _sketch(members: np.ndarray) -> np.ndarray:
+    bits = np.bincount((members >> _U(20)) % _U(SKETCH_BITS), minlength=SKETCH_BITS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(_U)
+
+
+def _connect(sets: list[np.ndarray], component: np.ndarray, slices: np.ndarray, pair: tuple[int, int], percent: int) -> list[tuple[int, int]]:
+    """Links that connect what is connected among the sets of one cell and in different components so far.
 
     ``slices`` holds the slice of each set; in a cell of two slices only pairs across them are taken.
     """
     sizes = np.array([len(x) for x in sets])
-    sketches = np.zeros((len(sets), SKETCH_BITS // 64), _U)
-    for place, members in enumerate(sets):
-        bits = np.bincount((members >> _U(20)) % _U(SKETCH_BITS), minlength=SKETCH_BITS) & 1
-        sketches[place] = np.packbits(bits.astype(np.uint8)).view(_U)
+    sketches = np.stack([_sketch(x) for x in sets])
+    component = np.unique(component, return_inverse=True)[1]
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     left = np.flatnonzero(slices == pair[0])
     right = np.flatnonzero(slices == pair[1])
     for a in left:
         others = right[right > a] if pair[0] == pair[1] else right
         n, m = sizes[a], sizes[others]
-        others = others[100 * np.minimum(n, m) >= percent * np.maximum(n, m)]
+        others = others[(100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (component[others] != component[a])]
         apart = np.bitwise_count(sketches[others] ^ sketches[a]).sum(1, dtype=np.int64)
         near = apart * (100 + percent) <= (n + sizes[others]) * (100 - percent)
         found.append((np.full(near.sum(), a), others[near], apart[near]))
@@ -276,7 +289,7 @@ def _connect(sets: list[np.ndarray], slices: np.ndarray, pair: tuple[int, int],
     forest, links = _Forest(len(sets)), []
     for place in np.argsort(apart, kind="stable"):
         a, b = int(one[place]), int(two[place])
-        x, y = forest.root(a), forest.root(b)
+        x, y = forest.root(int(component[a])), forest.root(int(component[b]))
         if x == y:
             continue
         both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
@@ -287,23 +300,23 @@ def _connect(sets: list[np.ndarray], slices: np.ndarray, pair: tuple[int, int],
 
 
 def _links(sets: DataFrame, parts: int, percent: int) -> DataFrame:
-    """Links (u, v) that connect every component of links within its family."""
+    """Links (u, v) that connect every component of links within its family, given the components so far."""
     # Every slice meets every slice, itself included: a row goes to one cell for each.
     other = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
     dealt = sets.withColumn("other", other).select(
-        "family", "first", "members", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+        "family", "first", "component", "members", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
     )
     bucket = F.pmod(F.xxhash64("family", "i", "j"), F.lit(parts))
 
     def connect(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([(c, "ascending") for c in ("family", "i", "j", "first")])
-        family, i, j, first, own = (rows.column(c).to_numpy() for c in ("family", "i", "j", "first", "own"))
+        family, i, j, first, component, own = (rows.column(c).to_numpy() for c in ("family", "i", "j", "first", "component", "own"))
         new = (family[1:] != family[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
         cuts = np.flatnonzero(np.concatenate(([True], new, [True])))
         u, v = [], []
         for a, b in zip(cuts, cuts[1:]):
             sets = [np.frombuffer(x, _U) for x in rows.column("members").slice(a, b - a).to_pylist()]
-            for x, y in _connect(sets, own[a:b], (int(i[a]), int(j[a])), percent):
+            for x, y in _connect(sets, component[a:b], own[a:b], (int(i[a]), int(j[a])), percent):
                 u.append(first[a + x])
                 v.append(first[a + y])
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
@@ -311,6 +324,78 @@ def _links(sets: DataFrame, parts: int, percent: int) -> DataFrame:
     return dealt.groupBy(bucket.alias("bucket")).applyInArrow(connect, "u bigint, v bigint")
 
 
+def _sketched(sets: DataFrame) -> DataFrame:
+    """first, n, sketch and members of the sets of classes."""
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sketches = [cell(_sketch(np.frombuffer(x, _U))) for x in batch.column("members").to_pylist()]
+            columns = [batch.column("first"), batch.column("n"), pa.array(sketches, pa.binary()), batch.column("members")]
+            yield pa.RecordBatch.from_arrays(columns, ["first", "n", "sketch", "members"])
+
+    return sets.mapInArrow(draw, "first bigint, n bigint, sketch binary, members binary")
+
+
+def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (u, v) whose sizes and sketches leave a link possible."""
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), _U).reshape(-1, SKETCH_BITS // 64) for c in ("one", "two"))
+            n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
+            apart = np.bitwise_count(one ^ two).sum(1, dtype=np.int64)
+            near = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (apart * (100 + percent) <= (n + m) * (100 - percent))
+            yield batch.select(["u", "v"]).filter(pa.array(near))
+
+    one = sets.select(F.col("first").alias("u"), "n", F.col("sketch").alias("one"))
+    two = sets.select(F.col("first").alias("v"), F.col("n").alias("m"), F.col("sketch").alias("two"))
+    return pairs.join(two, "v").join(one, "u").mapInArrow(close, "u bigint, v bigint")
+
+
+def _unconnected(rows: DataFrame, links: DataFrame, *columns: str) -> DataFrame:
+    """The rows with the component of each column's class, itself without links, as ``<column>_in``."""
+    labels = components(links)
+    for column in columns:
+        own = labels.select(F.col("node").alias(column), F.col("component").alias("_of"))
+        rows = rows.join(own, column, "left").withColumn(f"{column}_in", F.coalesce("_of", column)).drop("_of")
+    return rows
+
+
+def _slices(size: Column) -> Column:
+    """How many slices sets of so many shingles take together."""
+    return F.ceil(size * 8 / SLICE_BYTES).cast("int")
+
+
+def _links_apart(keys: DataFrame, sets: DataFrame, parts: int, percent: int) -> DataFrame:
+    """Links (u, v) that connect every component among classes that share block values (key, u: the smallest, v).
+
+    ``sets`` holds first, n, sketch and members of each.
+    """
+    near = staged(_near(keys.select("u", "v").distinct(), sets, percent), "shingle-near")
+    exact = sets.select(F.col("first").alias("ref"), "members")
+    # One pair a class connects most; of the others those go on that it left apart.
+    links = staged(confirmed(near.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), exact, percent), "shingle-links")
+    rest = _unconnected(near, links, "u", "v").filter("u_in <> v_in").select("u", "v")
+    links = staged(links.union(confirmed(rest, exact, percent)), "shingle-links")
+
+    # A value's smallest class has met all others; they have not met each other.
+    left = _unconnected(keys.select("key", "v"), links, "v")
+    apart = left.groupBy("key").agg(F.min("v_in").alias("_least"), F.max("v_in").alias("_most")).filter("_least < _most")
+    left = staged(left.join(apart.select("key"), "key"), "shingle-left")
+    least = left.groupBy("key").agg(F.min("v").alias("u"))
+    families = components(left.join(least, "key").select("u", "v")).select(F.col("node").alias("v"), F.col("component").alias("family"))
+    sizes = sets.select(F.col("first").alias("v"), "n")
+    size = families.join(sizes, "v").groupBy("family").agg(F.sum("n").alias("_n"))
+    size = size.select("family", (_slices(F.col("_n")) > 1).alias("_large"))
+    groups = left.join(families, "v").join(size, "family")
+    groups = groups.select(F.when(F.col("_large"), F.col("key")).otherwise(F.col("family")).alias("family"), "v", "v_in").distinct()
+    groups = staged(groups, "shingle-groups")
+    slices = groups.join(sizes, "v").groupBy("family").agg(_slices(F.sum("n")).alias("slices"))
+    dealt = groups.join(slices, "family").select("family", F.col("v").alias("first"), F.col("v_in").alias("component"), "slices")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("first"), F.col("slices")).cast("int"))
+    return links.union(_links(dealt.join(sets.select("first", "members"), "first"), parts, percent))
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id: long, text).
 
@@ -329,7 +414,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = staged(linkable.groupBy("mark").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n")), "shingle-classes")
     # The mark's first six bytes, lowest first.
     digits = F.concat(*(F.hex(F.substring("mark", place, 1)) for place in range(6, 0, -1)))
-    named = classes.withColumn("ref", F.conv(digits, 16, 10).cast("bigint"))
+    ref = F.conv(digits, 16, 10).cast("bigint")
+    named = classes.withColumn("ref", ref)
 
     bands = Bands(percent, stats[1] or 1)
     present = docs.filter("text IS NOT NULL AND doc_id IS NOT NULL")
@@ -338,15 +424,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     ties = staged(_ties(keys), "shingle-ties")
     one = named.select(F.col("ref").alias("ref_a"), F.col("first").alias("u"))
     two = named.select(F.col("ref").alias("ref_b"), F.col("first").alias("v"))
-    tied = ties.join(one, "ref_a").join(two, "ref_b").select("u", "v")
+    tied = ties.select("ref_a", "ref_b").distinct().join(one, "ref_a").join(two, "ref_b").select("u", "v")
     families = components(tied).select(F.col("node").alias("first"), F.col("component").alias("family"))
-    members = staged(classes.join(families, "first"), "shingle-families")
-    size = members.groupBy("family").agg(F.sum("n").alias("_n"))
-    slices = F.ceil(F.col("_n") * 8 / SLICE_BYTES).cast("int")
-    members = members.join(size.select("family", slices.alias("slices")), "family")
-    members = members.withColumn("own", F.pmod(F.xxhash64("mark"), F.col("slices")).cast("int"))
-    sets = _sets(present, members.select(F.col("first").alias("doc_id"), "first", "mark", "family", "slices", "own"))
-    labels = components(_links(sets, parts, percent))
+    members = classes.join(families, "first")
+    size = members.groupBy("family").agg((_slices(F.sum("n")) > 1).alias("large"))
+    members = staged(members.join(size, "family"), "shingle-families")
+    member = [F.col("first").alias("doc_id"), "first", "mark"]
+    small = members.filter("NOT large").select(*member, "family", F.col("first").alias("component"), F.lit(1).alias("slices"), F.lit(0).alias("own"))
+    links = _links(_sets(present, small), parts, percent)
+    large = members.filter("large")
+    if not large.isEmpty():
+        found = large.select(ref.alias("ref"), "first")
+        one, two = found.toDF("ref_a", "u"), found.toDF("ref_b", "v")
+        shared = staged(ties.join(one, "ref_a").join(two, "ref_b").select("key", "u", "v"), "shingle-shared")
+        sets = staged(_sketched(_sets(present, large.select(*member, "n"))), "shingle-sets")
+        links = links.union(_links_apart(shared, sets, parts, percent))
+    labels = components(links)
 
     reach = classes.join(labels.withColumnRenamed("node", "first"), "first", "left")
     reach = reach.select("mark", F.coalesce("component", "first").alias("_component"))

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.common import cell, slices, texts
 from tradewind.llm.graph import components
-from tradewind.llm.shingles import mix, set_marks, shingle_sets
+from tradewind.llm.shingles import confirmed, mix, set_marks, shingle_sets
 from tradewind.sources.shared import staged
 
 WIDTH = 2
@@ -157,25 +157,6 @@ def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(two, "v").join(one, "u").mapInArrow(agree, "u bigint, v bigint")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (u, v) whose exact sets overlap enough."""
-
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "one"):
-            keep = []
-            for a, b in zip(batch.column("one"), batch.column("two")):
-                a, b = np.frombuffer(a.as_buffer(), _U), np.frombuffer(b.as_buffer(), _U)
-                low, high = sorted((len(a), len(b)))
-                both = len(np.intersect1d(a, b, assume_unique=True)) if 100 * low >= percent * high else 0
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    one = sets.select(F.col("ref").alias("u"), F.col("members").alias("one"))
-    two = sets.select(F.col("ref").alias("v"), F.col("members").alias("two"))
-    # By ``v`` first: of a hot center only the own set is moved to all its pairs.
-    return pairs.join(two, "v").join(one, "u").mapInArrow(confirm, "u bigint, v bigint")
-
-
 def _met(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Each key's smallest class, and the pairs (u, v) of classes with it that nothing connects yet."""
     # Summed up on the map side: a hot key sends one row a task.
@@ -272,7 +253,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int
             break
         center, pairs = _met(keys)
         near = staged(_agreeing(pairs, wanted), "minhash-near")
-        links = links.union(staged(_confirmed(near, sets, percent), "minhash-links"))
+        links = links.union(staged(confirmed(near, sets, percent), "minhash-links"))
         labels = components(links).select(F.col("node").alias("ref"), "component")
         keys = staged(_rest(keys, center, labels), "minhash-rest")
     if not keys.isEmpty():

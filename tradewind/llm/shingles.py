@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tradewind.llm.common import slices
 
 WIDTH = 5
 _U = np.uint64
@@ -81,3 +87,22 @@ def set_marks(codes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         for place, mark in zip(np.flatnonzero(full), marks, strict=True):
             out[place] = mark.tobytes()
     return out
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (u, v) whose exact sets (ref, members) overlap enough."""
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "one"):
+            keep = []
+            for a, b in zip(batch.column("one"), batch.column("two")):
+                a, b = np.frombuffer(a.as_buffer(), _U), np.frombuffer(b.as_buffer(), _U)
+                low, high = sorted((len(a), len(b)))
+                both = len(np.intersect1d(a, b, assume_unique=True)) if 100 * low >= percent * high else 0
+                keep.append(100 * both >= percent * (len(a) + len(b) - both))
+            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    one = sets.select(F.col("ref").alias("u"), F.col("members").alias("one"))
+    two = sets.select(F.col("ref").alias("v"), F.col("members").alias("two"))
+    # By ``v`` first: of a hot center only the own set is moved to all its pairs.
+    return pairs.join(two, "v").join(one, "u").mapInArrow(confirm, "u bigint, v bigint")
