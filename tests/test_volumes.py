@@ -7,7 +7,8 @@ import threading
 from pyspark.sql import functions as F
 
 from tradewind import schemas
-from tradewind.plans import registry
+from tradewind.operators import quality
+from tradewind.plans import registered_kernels, registry
 from tradewind.plans.medallion import Medallion
 from tradewind.sources import files
 from tradewind.sources.driver_tables import DriverTables, order_lines, raw_inventory
@@ -95,3 +96,40 @@ def test_stock_is_counted_once_for_both_inventory_feeds(spark):
         plan = raw_inventory(tables, strict)._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan
     assert list(kept) == ["stock"]
+
+
+def test_feeds_of_shared_tables_are_not_written_again(spark):
+    shared = {"raw_orders": "order_lines-", "raw_shipments": "order_lines-", "raw_inventory": "stock-", "raw_iot_sensors": "events-"}
+    for feed, table in shared.items():
+        for strict in (False, True):
+            found = registry.landed(spark, FOLDER, feed, strict)
+            read = [path for path in found.inputFiles() if "/orders.parquet" not in path]
+            assert read and all(f"/tradewind/{table}" in path for path in read)
+            assert found.columns == schemas.RAW[feed].fieldNames()
+
+
+def test_rules_write_of_facts_only_what_they_read_twice(spark):
+    written = []
+
+    def keep(frame, label):
+        written.append(label)
+        return frame
+
+    feeds = {name: spark.createDataFrame([], schema) for name, schema in schemas.RAW.items()}
+    model = Medallion(feeds, keep_star=keep)
+    tables = registered_kernels._Tables(model, quality.STANDING_CHECKS)
+    tables.prefetch()
+    assert sorted(tables["fact_orders"].columns) == ["customer_key", "product_key", "supplier_key"]
+    assert "dim-product" in written and "fact-orders" not in written and "fact_orders" not in vars(model)
+    tables = registered_kernels._Tables(model, [*quality.DECLARED_RULES, quality.Rule("X", "gold", "fact_orders", "unique", ("order_id",))])
+    tables.prefetch()
+    assert set(tables["fact_orders"].columns) == {"order_id", "customer_key", "product_key", "supplier_key", "order_date_key"}
+    assert all("/checked-fact_orders-" in path for path in tables["fact_orders"].inputFiles())
+    found = quality.run_rules(spark, tables, [quality.Rule("Y", "gold", "fact_orders", "unique", ("nowhere",))])
+    assert found.first().status == quality.ERROR
+
+
+def test_scans_of_rules():
+    rule = lambda name, kind, *columns, **more: quality.Rule(name, "gold", "f", kind, columns, **more)
+    rules = [rule("a", "not_null", "x", "y"), rule("b", "positive", "z"), rule("c", "unique", "x"), rule("d", "reference", "y", ref_entity="g", ref_column="k")]
+    assert quality.scans(rules) == {"f": [{"x", "y", "z"}, {"x"}, {"y"}], "g": [{"k"}]}

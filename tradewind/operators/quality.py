@@ -188,6 +188,25 @@ def _problem(rule: Rule, tables: Mapping[str, DataFrame]) -> str | None:
     return None
 
 
+def scans(rules: Sequence[Rule]) -> dict[str, list[set[str]]]:
+    """Entities in the order the rules name them, and the columns of each scan that ``run_rules`` makes of them."""
+    fused: dict[str, set[str]] = {}
+    found: dict[str, list[set[str]]] = {}
+    by_value: set[tuple] = set()
+    for rule in rules:
+        if rule.kind not in PER_VALUE:
+            if rule.entity not in fused:
+                fused[rule.entity] = set()
+                found.setdefault(rule.entity, []).append(fused[rule.entity])
+            fused[rule.entity].update(rule.columns)
+            continue
+        for entity, column in dict.fromkeys(((rule.entity, rule.columns[0]), _domain(rule))):
+            if (_domain(rule), entity, column) not in by_value:
+                by_value.add((_domain(rule), entity, column))
+                found.setdefault(entity, []).append({column})
+    return found
+
+
 def run_rules(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
     """One row per rule.  ``tables`` maps entity names to frames."""
     problems = {r.name: _problem(r, tables) for r in rules}

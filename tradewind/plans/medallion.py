@@ -29,6 +29,19 @@ class _table(cached_property):  # noqa: N801 - used as a decorator
             return super().__get__(instance, owner)
 
 
+class _Unkept:
+    """A ``Medallion`` that does not keep the table of the star schema built through it, but all that this is built from."""
+
+    def __init__(self, model: Medallion):
+        self._model = model
+
+    def __getattr__(self, name: str):
+        return getattr(self._model, name)
+
+    def _star(self, frame: DataFrame, label: str) -> DataFrame:
+        return frame
+
+
 class Medallion:
     """Every table of the model over a mapping of raw feeds.
 
@@ -64,6 +77,10 @@ class Medallion:
         with ThreadPoolExecutor(max(1, len(names))) as pool:
             list(pool.map(partial(getattr, self), names))
 
+    def read_once(self, name: str) -> DataFrame:
+        """A table for a plan that reads it in one place: not written for that alone, so only the columns read are computed."""
+        return vars(self)[name] if name in vars(self) else vars(Medallion)[name].func(_Unkept(self))
+
     def raw(self, name: str) -> DataFrame:
         return self._feed(self._raw, name)
 

@@ -325,3 +325,7 @@ def order_count(tables: DriverTables) -> Column:
 
 def raw_iot_sensors(tables: DriverTables, strict: bool = False) -> DataFrame:
     return iot_readings(tables.written("events", tables["events"].hint("rebalance")), order_count(tables), strict)
+
+
+#: Feeds that rewrite the rows of one shared table one by one.
+REWRITTEN = {"raw_orders", "raw_shipments", "raw_inventory", "raw_iot_sensors"}
