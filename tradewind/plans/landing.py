@@ -71,19 +71,19 @@ def streamed(spark: SparkSession, folder: str, name: str, build: Callable[[drive
     return spark.readStream.schema(records.schema).parquet(path)
 
 
-def landed(spark: SparkSession, folder: str, feed: str, strict: bool = False, state: str | None = None) -> DataFrame:
+def landed(spark: SparkSession, folder: str, feed: str, strict: bool = False, state: str | None = None, written: bool = False) -> DataFrame:
     """A raw feed, derived from the driver's tables once per session.
 
     The raw layer is where the platform's own work starts; queries over the
     same folder share it instead of joining order lines to orders each time.  Feeds that only rewrite the rows of a
     table written already, one join of order lines for two of them, are read from there and not written again;
-    the others are written.  What is written is renewed once the folder's files have changed or the copy is gone.
+    the others, and those with ``written``, are.  What is written is renewed once the folder's files have changed or the copy is gone.
     """
     state = state or state_of(spark, folder)
 
     def build() -> DataFrame:
         return getattr(driver_tables, feed)(sharing_tables(spark, folder, state), strict)
 
-    if feed in driver_tables.REWRITTEN:
+    if feed in driver_tables.REWRITTEN and not written:
         return build()
     return kept(spark, folder, f"{feed}-strict" if strict else feed, state, schemas.RAW[feed], build)

@@ -25,15 +25,19 @@ from tradewind.sources.shared import fresh_path, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Feeds whose staged path filters by key where the files are scanned.
+FILTERED = {"raw_orders"}
+
+
 def medallion(
     spark: SparkSession, folder: str, write_cleansed: bool = False, strict: bool = False
 ) -> Medallion:
     """All tables over a folder; ``strict`` cleanses the castable feeds as well."""
     configure(spark)
     state = state_of(spark, folder)
-    castable = {feed: partial(landed, spark, folder, feed, strict=True, state=state) for feed in schemas.RAW}
-    usual = {feed: partial(landed, spark, folder, feed, state=state) for feed in schemas.RAW}
-    return Medallion(castable if strict else usual, castable, keep=staged if write_cleansed else None)
+    castable = {feed: partial(landed, spark, folder, feed, strict=True, state=state, written=feed in FILTERED) for feed in schemas.RAW}
+    usual = {feed: partial(landed, spark, folder, feed, strict=strict, state=state) for feed in schemas.RAW}
+    return Medallion(usual, castable, keep=staged if write_cleansed else None)
 
 
 # Where a session keeps its written tables: (application, folder) -> (state of the files, marker, model).
@@ -62,7 +66,7 @@ def marts(spark: SparkSession, folder: str) -> Medallion:
         marker = fresh_path(spark, "marts")
         spark.createDataFrame([(state,)], "state string").write.text(marker)
         usual = {feed: partial(landed, spark, folder, feed, state=state) for feed in schemas.RAW}
-        castable = {feed: partial(landed, spark, folder, feed, strict=True, state=state) for feed in schemas.RAW}
+        castable = {feed: partial(landed, spark, folder, feed, strict=True, state=state, written=feed in FILTERED) for feed in schemas.RAW}
         model = Medallion(usual, castable, keep=staged, keep_star=staged)
         _MARTS[key] = (state, marker, model)
         return model

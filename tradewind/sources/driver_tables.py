@@ -328,4 +328,4 @@ def raw_iot_sensors(tables: DriverTables, strict: bool = False) -> DataFrame:
 
 
 #: Feeds that rewrite the rows of one shared table one by one.
-REWRITTEN = {"raw_orders", "raw_shipments", "raw_inventory", "raw_iot_sensors"}
+REWRITTEN = {"raw_orders", "raw_shipments", "raw_inventory"}
